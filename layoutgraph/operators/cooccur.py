@@ -52,11 +52,10 @@ def pair_counts(members: DataFrame, n: int, min_count: int = 1, min_lift: float
         left = left.select("basket", "item", "n_item", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
         right = left.select("basket", "lo", "hi", F.col("item").alias("b"), F.col("n_item").alias("n_b"))
         met = left.withColumnsRenamed({"item": "a", "n_item": "n_a"}).join(right, ["basket", "lo", "hi"]).filter("a < b")
-        # two items of one block meet in every pair of blocks that holds it; only the block's pair with itself counts
-        same = F.pmod(F.xxhash64("a"), F.lit(1 << 30)) >= 0
-        size = met.join(large, "basket").withColumn("blocks", blocks)
-        both = F.pmod(F.xxhash64("a"), F.col("blocks")) == F.pmod(F.xxhash64("b"), F.col("blocks"))
-        pairs = size.filter(same & (~both | (F.col("lo") == F.col("hi")))).select("a", "b", "n_a", "n_b")
+        # two items of one block meet in every pair of blocks that holds theirs; only (block, block) itself counts
+        own_of = lambda c: F.pmod(F.xxhash64(c), F.col("blocks"))
+        met = met.join(large.select("basket", blocks.alias("blocks")), "basket")
+        pairs = met.filter((own_of("a") != own_of("b")) | (F.col("lo") == F.col("hi"))).select("a", "b", "n_a", "n_b")
     lists = small_rows.groupBy("basket").agg(F.sort_array(F.collect_list(F.struct("item", "n_item"))).alias("xs")).filter(F.size("xs") > 1)
     met = F.expr("explode(flatten(transform(xs, (x, i) -> transform(slice(xs, i + 2, size(xs)), y -> struct(x.item as a, y.item as b, x.n_item as n_a, y.n_item as n_b)))))")
     small = lists.select(met.alias("p")).select("p.*")
