@@ -6,7 +6,8 @@ vector arithmetic. Documents with a hit are verified by aligning their words wit
 
 With errors in at most one of eight words, a repeat of 15 or more words holds an unbroken run of at least five:
 L words with e <= L/8 errors leave a run of ceil((L-e)/(e+1)), which is smallest, five, for L = 16. Seeds of four
-words therefore miss none.
+words therefore miss none. Such a repeat holds at least L-4e-3 seeds, hence five or more (L = 16, e = 2); passages with
+fewer hits in a document are not aligned.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 SEED = 4
 MIN_WORDS = 15
 ONE_ERROR_IN = 8
+MIN_SEEDS = 5
 BLOCK_CHARS = 8_000_000  # characters of passages in one broadcast hash set
 
 _BREAK = re.compile(r"(?<=\w)[-‐‑¬­][ \t]*\r?\n\s*(?=\w)")
@@ -73,7 +75,7 @@ class PassageIndex:
         out: dict[tuple[int, int], list[int]] = {}
         if len(ids) < self.seed or not len(self.hashes):
             return out
-        arr = np.array(ids, np.int64)
+        arr, begins = np.array(ids, np.int64), np.array(starts)
         known = arr > 0
         full = np.flatnonzero(np.convolve(known, np.ones(self.seed, int), "valid") == self.seed)
         if not len(full):
@@ -82,7 +84,7 @@ class PassageIndex:
         at = np.searchsorted(self.hashes, h)
         at[at == len(self.hashes)] = 0
         for pos, value in zip(full[self.hashes[at] == h].tolist(), h[self.hashes[at] == h].tolist()):
-            doc = int(np.searchsorted(starts, pos, "right")) - 1
+            doc = int(np.searchsorted(begins, pos, "right")) - 1
             for k in self.grams[value]:
                 out.setdefault((doc, k), []).append(pos - starts[doc])
         return out
@@ -135,6 +137,7 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
             for pdf in batches:
                 texts, ids, found = pdf.text.tolist(), pdf.doc_id.tolist(), []
                 hits = index.value.hits(texts)
+                hits = {key: seeds for key, seeds in hits.items() if len(seeds) >= MIN_SEEDS}
                 words = {d: normal_words(texts[d]) for d in {d for d, _ in hits}}
                 for (d, k), seeds in hits.items():
                     best = index.value.verify(words[d], k, seeds)
