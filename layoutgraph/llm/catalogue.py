@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from layoutgraph.llm import leakage, packing
+from layoutgraph.llm import leakage, packing, sentences
 from layoutgraph.sources.tables import table
 
 
+def p4_sentences(spark: SparkSession, sf: str) -> DataFrame:
+    return sentences.sentences(table(spark, sf, "chunks"), table(spark, sf, "entities"))
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p4_sentences(spark, sf).drop("unit_no")
+
+
 def p8_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(packing.token_counts(table(spark, sf, "documents")), table(spark, sf, "containers"))
 
@@ -26,7 +34,7 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return p9_leaks(spark, sf).select("doc_id", "item_id").distinct()
 
 
-_QUERIES = [p8_packing, p8_fill, p9_found, p9_leaks]
+_QUERIES = [p4_found, p4_sentences, p8_packing, p8_fill, p9_found, p9_leaks]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
