@@ -365,7 +365,7 @@ def sentences(chunks: DataFrame, mentions: DataFrame, model: BoundaryModel | Non
     model = model or fit(chunks, mentions)
     shared = chunks.sparkSession.sparkContext.broadcast(model)
     one = chunks.filter("chunk_id is not null and text is not null").groupBy("chunk_id").agg(F.max("text").alias("text"))
-    latest = mentions.filter("mention_id is not null").groupBy("mention_id").agg(F.max_by("context", F.struct(F.coalesce(F.col("ingested_at").cast("long"), F.lit(-(1 << 62))), F.coalesce("context", F.lit("")))).alias("text"))
+    latest = mentions.filter("mention_id is not null").groupBy("mention_id").agg(F.max_by("context", F.struct("ingested_at", "context")).alias("text"))
     rows = one.select(F.lit("chunks").alias("rec_table"), F.col("chunk_id").alias("rec_id"), "text").unionByName(latest.filter("text is not null").select(F.lit("entities").alias("rec_table"), F.col("mention_id").cast("string").alias("rec_id"), "text"))
 
     def run(batches):
