@@ -4,12 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from layoutgraph.llm import leakage, packing, sentences
+from layoutgraph.llm import language, leakage, packing, sentences
 from layoutgraph.sources.tables import table
 
 
+def _languages(spark: SparkSession, sf: str) -> DataFrame:
+    chunks = table(spark, sf, "chunks")
+    return language.languages(chunks, sentences.fit(chunks, table(spark, sf, "entities")))
+
+
+def p1_languages(spark: SparkSession, sf: str) -> DataFrame:
+    return _languages(spark, sf).select("chunk_id", "declared", "lang", "confidence")
+
+
+def p1_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return _languages(spark, sf).select("chunk_id", F.explode("runs").alias("r")).select("chunk_id", "r.*")
+
+
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return language.wrong_labels(_languages(spark, sf))
+
+
 def p4_sentences(spark: SparkSession, sf: str) -> DataFrame:
     return sentences.sentences(table(spark, sf, "chunks"), table(spark, sf, "entities"))
 
@@ -34,7 +51,7 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return p9_leaks(spark, sf).select("doc_id", "item_id").distinct()
 
 
-_QUERIES = [p4_found, p4_sentences, p8_packing, p8_fill, p9_found, p9_leaks]
+_QUERIES = [p1_found, p1_languages, p1_runs, p4_found, p4_sentences, p8_packing, p8_fill, p9_found, p9_leaks]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, functions as F
 _FINAL, _WIDE, _CLOSE, _THAI = ".!?…।॥", "。！？", "\"'»”“’)\\]}」』）】*_", "฀-๿"
 _PAIRS = {"«": "»", "„": "“”", "“": "”", "「": "」", "『": "』", "(": ")", "（": "）", "[": "]", "【": "】"}
 _QUOTE = re.compile(r"[«»„“”「」『』()（）\[\]【】\"]")
-_SPACED = re.compile(rf"[{_FINAL}]+[{_CLOSE}]*(?=\s)|[{_WIDE}]+[{_CLOSE}]*")
-_SPACED_THAI = re.compile(rf"[{_FINAL}]+[{_CLOSE}]*(?=\s)|[{_WIDE}]+[{_CLOSE}]*|(?<=\S)(?=\s+[{_THAI}])|(?<=\S)(?=\s+[^\W\d_a-zа-яёіїєґ]\w)")
+_PLACES = rf"[{_FINAL}]+[{_CLOSE}]*(?=\s)|[{_WIDE}]+[{_CLOSE}]*|(?<=[^\W_]{{2}})[{_FINAL}]+[{_CLOSE}]*(?=[^\W\d_a-zа-яёіїєґ])"
+_SPACED = re.compile(_PLACES)
+_SPACED_THAI = re.compile(rf"{_PLACES}|(?<=\S)(?=\s+[{_THAI}])|(?<=\S)(?=\s+[^\W\d_a-zа-яёіїєґ]\w)")
 _HAS_THAI = re.compile(f"[{_THAI}]")
 _DIGITS = re.compile(r"\d+(?:[.,:]\d+)*")
 _INITIALS = re.compile(r"^[\"«„“(]*(?:[^\W\d_]\.){1,3}$")
