@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from layoutgraph.llm import language, leakage, packing, sentences
+from layoutgraph.llm import language, leakage, ocr, packing, sentences
 from layoutgraph.sources.tables import table
 
 
@@ -35,6 +35,18 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return p4_sentences(spark, sf).drop("unit_no")
 
 
+def _scans(spark: SparkSession, sf: str) -> DataFrame:
+    return ocr.noise(table(spark, sf, "blocks"), table(spark, sf, "entities"))
+
+
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _scans(spark, sf).select("rec_table", "rec_id", F.explode("noise").alias("noise")).distinct()
+
+
+def p7_repaired(spark: SparkSession, sf: str) -> DataFrame:
+    return _scans(spark, sf).filter(F.size("noise") > 0).select("rec_table", "rec_id", "text").distinct()
+
+
 def p8_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(packing.token_counts(table(spark, sf, "documents")), table(spark, sf, "containers"))
 
@@ -51,7 +63,7 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return p9_leaks(spark, sf).select("doc_id", "item_id").distinct()
 
 
-_QUERIES = [p1_found, p1_languages, p1_runs, p4_found, p4_sentences, p8_packing, p8_fill, p9_found, p9_leaks]
+_QUERIES = [p1_found, p1_languages, p1_runs, p4_found, p4_sentences, p7_found, p7_repaired, p8_packing, p8_fill, p9_found, p9_leaks]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
