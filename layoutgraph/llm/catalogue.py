@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from layoutgraph.llm import language, leakage, ocr, packing, sentences
+from layoutgraph.llm import language, leakage, markup, ocr, packing, sentences
 from layoutgraph.sources.tables import table
 
 
@@ -35,6 +35,22 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return p4_sentences(spark, sf).drop("unit_no")
 
 
+def _markup(spark: SparkSession, sf: str) -> DataFrame:
+    return markup.records(table(spark, sf, "blocks"), table(spark, sf, "elements"))
+
+
+def p6_units(spark: SparkSession, sf: str) -> DataFrame:
+    return markup.units(_markup(spark, sf))
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p6_units(spark, sf).drop("text")
+
+
+def p6_clean(spark: SparkSession, sf: str) -> DataFrame:
+    return markup.unique_text(_markup(spark, sf))
+
+
 def _scans(spark: SparkSession, sf: str) -> DataFrame:
     return ocr.noise(table(spark, sf, "blocks"), table(spark, sf, "entities"))
 
@@ -63,7 +79,7 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return p9_leaks(spark, sf).select("doc_id", "item_id").distinct()
 
 
-_QUERIES = [p1_found, p1_languages, p1_runs, p4_found, p4_sentences, p7_found, p7_repaired, p8_packing, p8_fill, p9_found, p9_leaks]
+_QUERIES = [p1_found, p1_languages, p1_runs, p4_found, p4_sentences, p6_found, p6_units, p6_clean, p7_found, p7_repaired, p8_packing, p8_fill, p9_found, p9_leaks]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -94,7 +94,7 @@ class Editor:
         fix = f"{fits}{same}"
         return [
             "bias", f"op {g}>{c}", f"fit {fix} {odd}", f"near {_kind(left)} {_kind(right)} {odd}", f"size {letters} {odd}", f"lex {a} {b} {fix}", f"lexop {a > b} {len(g)} {a >= 3} {b >= 2}",
-            f"case {case} {around} {odd} {fits}", f"end {not right} {word.isupper()} {odd}", f"blend {min(latin, cyr)} {fits} {odd}",
+            f"oplex {g}>{c} {a >= 2} {b >= 2}", f"case {case} {around} {odd} {fits}", f"end {not right} {word.isupper()} {odd}", f"blend {min(latin, cyr)} {fits} {odd}",
         ]
 
     def score(self, word: str, place, blind: bool = False) -> float:
