@@ -1,0 +1,351 @@
+"""Problem 5: spellings of people's and organisations' names that mean the same one.
+
+A name is brought to Latin letters (romanisation, look-alike letters, accents, words broken at a hyphen) and cut into
+words and initials. Each name has one telling word, a surname or an organisation's own word; the other words are its
+given name or what kind of organisation it is. Telling words within one edit of each other are found by a
+symmetric-delete index: words that share a form with one letter deleted meet, and every such meeting place holds at
+most (length + 1) * alphabet words, so no group grows with the data. The other words are aligned by optimal
+assignment, permitting initials, abbreviations, nicknames and slips. Names with a full given name form classes (connected
+components of the index); names with only initials, or a surname alone, join the class that fits them best.
+"""
+
+from __future__ import annotations
+
+import re
+import unicodedata
+from itertools import permutations
+
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F, Window
+
+from layoutgraph.plans.session import cut
+
+COMMON_LIMIT = 20_000  # words with several partners that are broadcast
+PHRASE_LIMIT = 2_000
+MAX_ROUNDS = 40
+
+#: Romanisation, look-alikes by script, titles and legal forms, given names with their short and Russian
+#: forms, words of organisations with their Russian forms.
+ROMAN = dict(zip("абвгдеёжзийклмнопрстуфхцчшщъыьэюяіїєґ", "a b v g d e e zh z i i k l m n o p r s t u f kh ts ch sh shch - y - e yu ya i yi ye g".split(" ")))
+TO_LATIN = dict(zip("аеосрхуіцвнкмтʌı", "aeocpxyiubhkmtli"))
+TO_CYRILLIC = dict(zip("aeocpxyhnkmtbiuʌ", "аеосрхуникмтвіцл"))
+SIGNS_LATIN = dict(zip("015964!|378", "olsgbail" + "zto"))
+SIGNS_CYRILLIC = dict(zip("04369!|", "очзбділ"))
+TITLES = set("prof professor dr doctor mr mrs ms miss sir gov governor president akad akademik doc dots gn gzha herr frau dipl ing hon rev capt lt col jr sr phd md mme mlle don dona senor senora sr sra".split())
+LEGAL = set("inc ltd llc llp plc corp co company limited incorporated gmbh ag sa srl spa nv bv oy ab pty ooo ao zao pao oao tov the".split())
+GIVEN = """
+alexander aleksandr alexandre alejandro alex sasha sanya; robert rob bob bobby bert; william uilyam bill billy will uill willy; elizabeth elizabet liz lizzie beth betty liza; henrietta genrietta hetty khetti getti;
+charlotte sharlotta sharlotte lottie lotti; tatiana tatyana tanya tania; olga olya olia; nikolai nikolay nicolas nicholas kolya kolia nick; ekaterina katerina catherine katherine katya katia kate; dmitri dmitrii dmitry dmitriy dima mitya;
+vladislav vlad vladik; zacharias zakhariya zachary zack zak zach; frederick frederik frederic fred freddie; gregory gregori grigori greg; jonathan dzhonatan jon john dzhon jonny; samuel samuil sam sem sammy; margaret margarita maggie meggi meg peggy;
+ludmila lyudmila lucy lyuda lyusi mila luda; ivan vanya vania; michael mikhail misha mike; maria mariya mary masha; anna anya ann; andrew andrei andrey andy; peter petr pyotr pete; george georgi georgy yuri; james jim jimmy; thomas tom tommy; joseph iosif joe;
+richard dick rick; edward eduard ed eddie ted; alexandra aleksandra; sergei sergey seryozha; vladimir volodya vova; natalia natalya natasha; irina ira; svetlana sveta; paul pavel pasha; daniel danila dan danny; david dave; stephen stepan steven steve
+"""
+ORG_WORDS = """
+energy energo; holding kholding; insurance strakhovaya strakhovoi; group gruppa; capital kapital; management menedzhment; statistical statisticheskoe statisticheskii; bureau byuro; research issledovatelskii issledovatelskaya;
+institute institut; commercial kommercheskii; bank; university universitet; company kompaniya; agency agentstvo; fund fond; central tsentralnyi; national natsionalnyi; investment investitsionnyi; trust trast; partners partnery; international mezhdunarodnyi
+"""
+CANON_GIVEN = {form: row.split()[0] for row in GIVEN.replace("\n", " ").split(";") if row.strip() for form in row.split()}
+CANON_ORG = {form: row.split()[0] for row in ORG_WORDS.replace("\n", " ").split(";") if row.strip() for form in row.split()}
+#: First letters of the Russian forms, romanised, where they differ from the canonical name's.
+RUSSIAN_INITIAL = {"william": "u", "henrietta": "g", "charlotte": "sh", "jonathan": "d", "elizabeth": "e", "james": "d", "joseph": "i", "george": "g"}
+
+
+def clean_word(word: str) -> str:
+    """A word in one script without look-alikes, accents or signs, romanised."""
+    cyr = sum("Ѐ" <= ch < "԰" for ch in word)
+    latin = sum(ch.isalpha() and ord(ch) < 0x250 for ch in word)
+    word = word.replace("lı", "h")
+    if cyr > latin:
+        word = "".join(TO_CYRILLIC.get(ch, SIGNS_CYRILLIC.get(ch, ch)) for ch in word)
+    else:
+        word = "".join(TO_LATIN.get(ch, SIGNS_LATIN.get(ch, ch)) for ch in word)
+    word = "".join(ROMAN.get(ch, ch) for ch in word)
+    return "".join(ch for ch in unicodedata.normalize("NFKD", word) if ch.isalpha() and ord(ch) < 0x250)
+
+
+_BROKEN = re.compile(r"(?<=\w)[-‐‑¬­]\s+(?=\w)|­|¬")
+_PIECE = re.compile(r"[^\s.,;:«»\"“”„()\[\]‐‑-]+|[,.]")
+
+
+def split_name(value: str) -> tuple[list[str], list[str], bool]:
+    """(words, initials, whether a comma follows the first word). Initials keep 'c:' in front where they are Cyrillic."""
+    low = unicodedata.normalize("NFC", value.lower())
+    low = _BROKEN.sub("", low)
+    words, initials, comma = [], [], False
+    for piece in _PIECE.findall(low):
+        if piece == ",":
+            comma = comma or len(words) == 1
+        elif piece != ".":
+            if sum(ch.isalpha() for ch in piece) == 1 and len(piece) == 1:
+                initials.append(("c:" if "Ѐ" <= piece < "԰" else "") + clean_word(piece))
+            else:
+                w = clean_word(piece)
+                if len(w) == 1:
+                    initials.append(w)
+                elif w:
+                    words.append(w)
+    return words, initials, comma
+
+
+def near(a: str, b: str) -> bool:
+    """At most one insertion, deletion, substitution or exchange of neighbours apart."""
+    if a == b:
+        return True
+    la, lb = len(a), len(b)
+    if abs(la - lb) > 1:
+        return False
+    k = 0
+    while k < min(la, lb) and a[k] == b[k]:
+        k += 1
+    if la == lb:
+        return a[k + 1 :] == b[k + 1 :] or (a[k : k + 2] == b[k : k + 2][::-1] and a[k + 2 :] == b[k + 2 :])
+    return a[k + 1 :] == b[k:] if la > lb else a[k:] == b[k + 1 :]
+
+
+#: Letter groups that are one letter in the other script, or read as one.
+GROUPS = [("shch", "ŝ"), ("sh", "š"), ("ch", "č"), ("zh", "ž"), ("kh", "ĥ"), ("ts", "ċ"), ("ya", "ă"), ("yu", "ŭ")]
+
+
+def readings(word: str) -> tuple[str, str, str]:
+    """A word as it stands, with the groups of other scripts as single letters, and with rn read as m. One slip in
+    either script, or one misreading, is one edit in one of these."""
+    short = word
+    for group, letter in GROUPS:
+        short = short.replace(group, letter)
+    return word, short, word.replace("rn", "m")
+
+
+def same_but_slip(a: str, b: str) -> bool:
+    return any(near(p, q) for p, q in zip(readings(a), readings(b)))
+
+
+def deletes(word: str) -> set[str]:
+    """The word and its forms with one letter deleted. Two words within one edit share one of these, but for an
+    exchange of neighbours, which shares the form without either letter too."""
+    return {word, *(word[:k] + word[k + 1 :] for k in range(len(word)))}
+
+
+class Vocabulary:
+    """Common words of names: how many partners each has, found also through one slip."""
+
+    def __init__(self, partners: dict[tuple[str, str], int]):
+        self.partners = partners
+        self.known = {"PERSON": CANON_GIVEN, "ORG": CANON_ORG}
+        self.index: dict[str, dict[str, list[str]]] = {"PERSON": {}, "ORG": {}}
+        for kind in self.index:
+            for w in {*self.known[kind], *(w for k, w in partners if k == kind and partners[k, w] >= 6)}:
+                if len(w) >= 4:
+                    for d in deletes(w):
+                        self.index[kind].setdefault(d, []).append(w)
+        self.memo: dict[tuple[str, str], tuple[str, int]] = {}
+
+    def common(self, kind: str, word: str) -> tuple[str, int]:
+        """(canonical form, weight): 0 for a word that is not common; the fixed lists outweigh counts."""
+        key = (kind, word)
+        found = self.memo.get(key)
+        if found is None:
+            known = self.known[kind]
+            if word in known:
+                found = (known[word], 1_000_000 + self.partners.get(key, 0))
+            else:
+                own = self.partners.get(key, 0)
+                best = ("", own)
+                if len(word) >= 4:
+                    for d in deletes(word) | ({word.replace("rn", "m")} if "rn" in word else set()):
+                        for w in self.index[kind].get(d, ()):
+                            if w != word and (near(w, word) or w == word.replace("rn", "m")):
+                                weight = self.partners.get((kind, w), 0) + (500_000 if w in known else 0)
+                                if weight > best[1] * 4:
+                                    best = (w, weight)
+                found = (known.get(best[0], best[0]), best[1]) if best[0] else (word, own)
+            self.memo[key] = found
+        return found
+
+    def __getstate__(self):
+        return {"partners": self.partners, "known": self.known, "index": self.index}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state, memo={})
+
+
+def abbreviates(short: str, full: str) -> bool:
+    """Whether ``short`` may stand for ``full``: an initial, a beginning, or letters of it in order from its first."""
+    if not short or short[0] != full[0] or len(short) >= len(full):
+        return False
+    at = 0
+    for ch in short:
+        at = full.find(ch, at) + 1
+        if not at:
+            return False
+    return True
+
+
+def align(words: list[str], phrase: list[str]) -> float:
+    """Cost of the best assignment of ``words`` to the words of ``phrase`` (0 = the same words); inf without one."""
+    if len(words) != len(phrase) or len(words) > 5:
+        return float("inf")
+
+    def cost(a: str, b: str) -> float:
+        if a == b:
+            return 0.0
+        if len(a) > 3 and near(a, b):
+            return 0.5
+        return 1.0 if abbreviates(a, b) else float("inf")
+
+    return min(sum(cost(a, b) + 0.01 * (i != j) for i, (a, (j, b)) in enumerate(zip(words, p))) for p in permutations(list(enumerate(phrase))))
+
+
+def read_person(value: str, vocab: Vocabulary) -> tuple[str, str, str]:
+    """(surname, canonical given name or '', initial of the given name or '')."""
+    words, initials, comma = split_name(value)
+    words = [w for w in words if w not in TITLES] or words
+    first = initials[0] if initials else ""
+    if not words:
+        return "", "", first
+    if len(words) == 1:
+        return words[0], "", first
+    weights = [vocab.common("PERSON", w)[1] for w in words]
+    if comma:
+        at = 1
+    else:
+        at = max(range(len(words)), key=lambda k: (weights[k], -k))
+    rest = [k for k in range(len(words)) if k != at]
+    surname = min(rest, key=lambda k: (weights[k], -len(words[k])))
+    given = vocab.common("PERSON", words[at])[0]
+    return words[surname], given, given[:1]
+
+
+def read_org(value: str, vocab: Vocabulary, phrases: list[tuple[str, ...]]) -> tuple[str, str]:
+    """(own word, kind of organisation: its other words in canonical form, in the order of a known phrase)."""
+    words, initials, _ = split_name(value)
+    words = [w for w in words if w not in LEGAL] or words
+    if not words:
+        return "", " ".join(i.removeprefix("c:") for i in initials)
+    read = [vocab.common("ORG", w) for w in words]
+    own = min(range(len(words)), key=lambda k: (read[k][1] >= 500_000, read[k][1] if len(words[k]) > 4 else 10**5, k))
+    rest = [read[k][0] if read[k][1] >= 6 else words[k] for k in range(len(words)) if k != own] + [i.removeprefix("c:") for i in initials]
+    if rest and phrases and tuple(rest) not in phrases:
+        costs = sorted((align(rest, list(p)), n) for n, p in enumerate(phrases) if len(p) == len(rest))
+        if costs and costs[0][0] < float("inf"):
+            rest = list(phrases[costs[0][1]])
+    return words[own], " ".join(rest)
+
+
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(id, cls): the least id of each node's connected component. Labels spread over the edges and are shortened by
+    pointer jumping; each round is cut to the shared folder. ``edges``: (a, b) in one direction."""
+    both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    labels = cut(nodes.select("id", F.col("id").alias("cls")), "labels")
+    for _ in range(MAX_ROUNDS):
+        spread = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("cls").alias("other"))
+        new = labels.join(spread.withColumnRenamed("a", "id"), "id", "left").select("id", F.least("cls", F.coalesce("other", "cls")).alias("new"), F.col("cls").alias("old"))
+        jump = new.select(F.col("id").alias("new"), F.col("new").alias("further"))
+        step = cut(new.join(jump, "new", "left").select("id", F.coalesce("further", "new").alias("cls"), "old"), "labels")
+        labels = step.select("id", "cls")
+        if step.filter("cls <> old").isEmpty():
+            break
+    return labels
+
+
+def classes(mentions: DataFrame) -> DataFrame:
+    """(value, kind, cls): the class of every distinct normalized value of PERSON and ORG rows.
+
+    Null and blank values, and values without a letter, have no class. A value that rows of both types carry has a class
+    for each. Columns used: normalized, entity_type, source_doc.
+    """
+    rows = mentions.filter(F.col("entity_type").isin("PERSON", "ORG") & F.col("normalized").rlike(r"\S")).select(F.col("normalized").alias("value"), F.col("entity_type").alias("kind"), F.col("source_doc").alias("doc"))
+    values = cut(rows.groupBy("value", "kind").agg(F.count(F.lit(1)).alias("n")), "names")
+
+    @F.pandas_udf("array<string>")
+    def words_of(s: pd.Series) -> pd.Series:
+        return s.map(lambda v: [w for w in split_name(v)[0] if w not in TITLES and w not in LEGAL])
+
+    parts = values.select("kind", words_of("value").alias("ws")).filter(F.size("ws").between(2, 6))
+    pairs = parts.select("kind", F.explode("ws").alias("w"), "ws").select("kind", "w", F.array_join(F.array_sort(F.array_except("ws", F.array("w"))), " ").alias("others"))
+    common = pairs.groupBy("kind", "w").agg(F.countDistinct("others").alias("k")).filter("k >= 3").orderBy(F.desc("k"), "kind", "w").limit(COMMON_LIMIT)
+    vocab = Vocabulary({(r["kind"], r["w"]): r["k"] for r in common.collect()})
+    spark = mentions.sparkSession
+    shared = spark.sparkContext.broadcast(vocab)
+
+    @F.pandas_udf("string")
+    def phrase_of(s: pd.Series) -> pd.Series:
+        v = shared.value
+
+        def one(value: str):
+            words = [w for w in split_name(value)[0] if w not in LEGAL]
+            read = [v.common("ORG", w) for w in words]
+            rest = [c for c, weight in read if weight >= 6]
+            return " ".join(rest) if rest and len(rest) == len(words) - 1 else None
+
+        return s.map(one)
+
+    seen = values.filter("kind = 'ORG'").select(phrase_of("value").alias("p")).filter("p is not null").groupBy("p").count().filter("count >= 2").orderBy(F.desc("count"), "p").limit(PHRASE_LIMIT)
+    known_phrases: list[tuple[str, ...]] = []
+    for r in seen.collect():  # most frequent first; a phrase that abbreviates a more frequent one is no kind of its own
+        phrase = tuple(r["p"].split())
+        if not any(len(q) == len(phrase) and align(list(phrase), list(q)) < float("inf") for q in known_phrases):
+            known_phrases.append(phrase)
+    listed = spark.sparkContext.broadcast(known_phrases)
+
+    def read(batches):
+        v, phrases = shared.value, listed.value
+        for pdf in batches:
+            out = []
+            for value, kind, n in zip(pdf.value, pdf.kind, pdf.n):
+                if kind == "PERSON":
+                    token, group, initial = read_person(value, v)
+                else:
+                    (token, group), initial = read_org(value, v, phrases), ""
+                if token:
+                    out.append((value, kind, n, token, group, initial))
+            yield pd.DataFrame(out, columns=["value", "kind", "n", "token", "grp", "initial"])
+
+    parsed = cut(values.mapInPandas(read, "value string, kind string, n long, token string, grp string, initial string"), "parsed")
+
+    # telling words within one edit, through the forms with one letter deleted
+    @F.pandas_udf("array<string>")
+    def forms(s: pd.Series) -> pd.Series:
+        return s.map(lambda w: sorted({d for r in readings(w) for d in deletes(r)}) if len(w) >= 5 else [w])
+
+    tokens = parsed.select("kind", "token").distinct()
+    index = tokens.select("kind", "token", F.explode(forms("token")).alias("form"))
+    met = index.alias("x").join(index.alias("y"), ["kind", "form"]).filter("x.token < y.token").select("kind", F.col("x.token").alias("t1"), F.col("y.token").alias("t2")).distinct()
+
+    @F.pandas_udf("boolean")
+    def close(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([same_but_slip(p, q) for p, q in zip(a, b)], dtype=bool)
+
+    linked = cut(met.filter(close("t1", "t2")), "near")
+
+    # classes of names with a full given name (people) or kind (organisations)
+    full = parsed.filter("grp <> '' or kind = 'ORG'")
+    node = F.concat_ws("\t", "kind", "token", "grp")
+    nodes = full.groupBy("kind", "token", "grp").agg(F.sum("n").alias("n")).withColumn("id", node)
+    left = linked.join(nodes.select("kind", F.col("token").alias("t1"), "grp"), ["kind", "t1"])
+    links = left.join(nodes.select("kind", F.col("token").alias("t2"), "grp"), ["kind", "t2", "grp"]).select(F.concat_ws("\t", "kind", "t1", "grp").alias("a"), F.concat_ws("\t", "kind", "t2", "grp").alias("b"))
+    found = components(nodes, links)
+    whole = cut(nodes.join(found, "id").select("kind", "token", "grp", "n", "cls"), "classes")
+    of_full = full.join(whole.select("kind", "token", "grp", "cls"), ["kind", "token", "grp"]).select("value", "kind", "cls")
+
+    # initials, or a surname alone: the class that fits best by surname, then by documents in common, then by weight
+    bare = parsed.filter("grp = '' and kind = 'PERSON'").select("value", "token", "initial")
+    around = linked.filter("kind = 'PERSON'").select(F.col("t1").alias("token"), F.col("t2").alias("other")).unionByName(linked.filter("kind = 'PERSON'").select(F.col("t2").alias("token"), F.col("t1").alias("other")))
+    around = around.withColumn("far", F.lit(1)).unionByName(tokens.filter("kind = 'PERSON'").select("token", F.col("token").alias("other"), F.lit(0).alias("far")))
+    russian = F.create_map(*[F.lit(x) for pair in RUSSIAN_INITIAL.items() for x in pair])
+    people = whole.filter("kind = 'PERSON'").select(F.col("token").alias("other"), "grp", "cls", "n")
+    fits = (F.col("initial") == "") | (F.when(F.col("initial").startswith("c:"), F.coalesce(F.element_at(russian, F.col("grp")), F.substring("grp", 1, 1))).otherwise(F.substring("grp", 1, 1)) == F.regexp_replace("initial", "^c:", ""))
+    options = bare.join(around, "token").join(people, "other").filter(fits).groupBy("value", "cls").agg(F.min("far").alias("far"), F.sum("n").alias("n"))
+    docs_of_class = rows.filter("kind = 'PERSON' and doc is not null").join(of_full.filter("kind = 'PERSON'").select("value", "cls"), "value").select("cls", "doc").distinct()
+    docs_of_bare = rows.filter("kind = 'PERSON' and doc is not null").join(bare.select("value"), "value").select("value", "doc").distinct()
+    shared_docs = docs_of_bare.join(docs_of_class, "doc").groupBy("value", "cls").agg(F.count(F.lit(1)).alias("docs"))
+    ranked = options.join(shared_docs, ["value", "cls"], "left").withColumn("r", F.row_number().over(Window.partitionBy("value").orderBy("far", F.desc_nulls_last("docs"), F.desc("n"), "cls")))
+    chosen = ranked.filter("r = 1").select("value", "cls")
+    alone = bare.join(chosen, "value", "left").select("value", F.lit("PERSON").alias("kind"), F.coalesce("cls", F.concat(F.lit("PERSON\t"), "token", F.lit("\t?"), F.regexp_replace("initial", "^c:", ""))).alias("cls"))
+    return of_full.unionByName(alone)
+
+
+def variant_pairs(classed: DataFrame) -> DataFrame:
+    """(normalized_a, normalized_b), a < b: all pairs of different values of a class."""
+    x = classed.select(F.col("value").alias("normalized_a"), "cls", "kind")
+    y = classed.select(F.col("value").alias("normalized_b"), "cls", "kind")
+    return x.join(y, ["cls", "kind"]).filter("normalized_a < normalized_b").select("normalized_a", "normalized_b").distinct()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from layoutgraph.operators import cooccur, topn
+from layoutgraph.operators import cooccur, names, topn
 from layoutgraph.sources.tables import table
 
 
@@ -38,7 +38,18 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.select(F.col("a").alias("normalized_a"), F.col("b").alias("normalized_b"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_best_mentions": p2_best_mentions, "p3_found": p3_found, "p3_pairs": p3_pairs, "p3_pair_counts": p3_pair_counts}
+def p5_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Every PERSON or ORG spelling with its class and the class's size."""
+    classed = names.classes(table(spark, sf, "entities"))
+    sizes = classed.groupBy("kind", "cls").agg(F.count(F.lit(1)).alias("spellings"))
+    return classed.join(sizes, ["kind", "cls"]).select("value", "kind", "cls", "spellings")
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return names.variant_pairs(names.classes(table(spark, sf, "entities")))
+
+
+QUERIES = {"p5_found": p5_found, "p5_classes": p5_classes, "p2_found": p2_found, "p2_best_mentions": p2_best_mentions, "p3_found": p3_found, "p3_pairs": p3_pairs, "p3_pair_counts": p3_pair_counts}
 
 _BEST = """
 WITH latest AS (
