@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from layoutgraph.llm import language, leakage, markup, ocr, packing, sentences
+from layoutgraph.llm import language, leakage, markup, ocr, packing, sentences, toxicity
 from layoutgraph.sources.tables import table
 
 
@@ -79,7 +79,20 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return p9_leaks(spark, sf).select("doc_id", "item_id").distinct()
 
 
-_QUERIES = [p1_found, p1_languages, p1_runs, p4_found, p4_sentences, p6_found, p6_units, p6_clean, p7_found, p7_repaired, p8_packing, p8_fill, p9_found, p9_leaks]
+def p10_scores(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents")
+    return toxicity.scores(documents, toxicity.fit(documents, table(spark, sf, "content_labels")))
+
+
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.flagged(p10_scores(spark, sf))
+
+
+def p10_rates(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.rates(p10_scores(spark, sf))
+
+
+_QUERIES = [p1_found, p1_languages, p1_runs, p4_found, p4_sentences, p6_found, p6_units, p6_clean, p7_found, p7_repaired, p8_packing, p8_fill, p9_found, p9_leaks, p10_found, p10_scores, p10_rates]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
