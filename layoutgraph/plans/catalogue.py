@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from layoutgraph.plans import problems
+from layoutgraph.plans import documents, documents_sql, problems
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
@@ -14,8 +14,8 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(problems.QUERIES)
+    return problems.QUERIES | documents.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(problems.SQL)
+    return problems.SQL | documents_sql.SQL
