@@ -259,7 +259,7 @@ def furniture(blocks: DataFrame) -> DataFrame:
     lines = F.filter(F.split(F.col("content"), r"\r?\n"), lambda x: x.rlike(r"\S"))
     rows = blocks.withColumn("lines", F.when(F.col("content").isNotNull(), lines))
     short = lambda x: F.when((F.length(F.trim(x)).between(4, 90)) & ~x.rlike(r"[.!?।。！？:;,]\s*$") & x.rlike(r"\p{L}{3}") & ~x.rlike(r"^\s*(?:[#|+*•–\\<$\[{=~`-]|\d+[.)] )") & ~x.rlike(PAGE_NUMBER) & ~x.rlike(r"[-‐‑¬­]\s*$"), line_key(x))
-    first, last = F.element_at("lines", 1), F.element_at("lines", -1)
+    first, last = F.try_element_at("lines", F.lit(1)), F.try_element_at("lines", F.lit(-1))
     has = F.size("lines") > 0
     rows = rows.withColumn("first_key", F.when(may & has, short(first))).withColumn("last_key", F.when(may & (F.size("lines") > 1), short(last)))
     places = rows.select("source_hash", "page_number", F.explode(F.array("first_key", "last_key")).alias("key")).filter("key is not null and source_hash is not null")
