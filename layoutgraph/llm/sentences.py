@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame, functions as F
 
 #: Sentence-final signs, closing and paired signs, the Thai range.
 _FINAL, _WIDE, _CLOSE, _THAI = ".!?…।॥", "。！？", "\"'»”“’)\\]}」』）】*_", "฀-๿"
+_TIGHT = "\"'»”’)\\]}」』）】"  # what may close before a word without a blank; “ would open there
 _PAIRS = {"«": "»", "„": "“”", "“": "”", "「": "」", "『": "』", "(": ")", "（": "）", "[": "]", "【": "】"}
 _QUOTE = re.compile(r"[«»„“”「」『』()（）\[\]【】\"]")
-_PLACES = rf"[{_FINAL}]+[{_CLOSE}]*(?=\s)|[{_WIDE}]+[{_CLOSE}]*|(?<=[^\W_]{{2}})[{_FINAL}]+[{_CLOSE}]*(?=[^\W\d_a-zа-яёіїєґ])"
+_PLACES = rf"[{_FINAL}]+[{_CLOSE}]*(?=\s)|[{_WIDE}]+[{_TIGHT}]*|(?<=[^\W_]{{2}})[{_FINAL}]+[{_TIGHT}]*(?=[^\W\d_a-zа-яёіїєґ])"
 _SPACED = re.compile(_PLACES)
 _SPACED_THAI = re.compile(rf"{_PLACES}|(?<=\S)(?=\s+[{_THAI}])|(?<=\S)(?=\s+[^\W\d_a-zа-яёіїєґ]\w)")
 _HAS_THAI = re.compile(f"[{_THAI}]")

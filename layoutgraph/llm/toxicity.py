@@ -35,7 +35,10 @@ _ALIKE = {
 }
 _SPLIT = re.compile(r"(?<=[.!?…।。！？])[\"»”“’)\]」』]*(?:\s+(?=[^\sa-zа-яё]|[a-z][A-Z])|(?<=[。！？」]))|\n+")
 
-_SHORT = re.compile(r"(?<![^\W\d_])[^\W\d_]{1,3}\.$")
+#: Abbreviations of three letters or more after which a sentence goes on.
+_ABBREVIATIONS = "fig figs sec app dev approx resp etc vol prof abb kap bzw vgl tab env chap tabl cap pág aprox откл прим рис табл прил тыс руб млн млрд акад проф напр розд див пор грн"
+_SHORT = re.compile(rf"(?<![\w#*.@$-])(?:[^\W\d_]{{1,2}}|{'|'.join(_ABBREVIATIONS.split())})\.$", re.I)
+_SPACED = re.compile(r"(?:[\s.-][^\W\d_]){2}\.$")  # a word written letter by letter
 
 
 def _table() -> np.ndarray:
@@ -68,7 +71,7 @@ def sentences_of(text: str | None) -> list[str]:
                 out[-1] += " " + s
             else:
                 out.append(s)
-            glue = _SHORT.search(s) is not None and len(out[-1]) < 600
+            glue = _SHORT.search(s) is not None and _SPACED.search(s) is None and len(out[-1]) < 600
     return out
 
 
@@ -123,26 +126,32 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit_nnpu(positive: Rows, unlabelled: Rows, prior: float, steps: int = STEPS, rate: float = 0.5, decay: float = 1e-6) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise the non-negative PU risk prior*R+(P) + max(0, R-(U) - prior*R-(P)) under the
-    logistic loss, by Adam. Where the bracket is negative, its gradient is reversed, as the method asks."""
+def fit_nnpu(positive: Rows, unlabelled: Rows, prior: float, steps: int = STEPS, rate: float = 0.2, decay: float = 1e-6) -> tuple[np.ndarray, float]:
+    """Weights and bias that minimise the PU risk prior*R+(P) + R-(U) - prior*R-(P) under the logistic loss, by Adam over
+    all rows, averaged over the second half of the steps. Where the corrected part R-(U) - prior*R-(P) would turn
+    negative, which only overfitting can do, the correction is left out of that step, so the risk stays non-negative."""
     w, b = np.zeros(1 << BITS), -3.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
+    mean_w, mean_b, kept = np.zeros_like(w), 0.0, 0
     for t in range(1, steps + 1):
         zp, zu = positive.dot(w) + b, unlabelled.dot(w) + b
         sp, su = _sigmoid(zp), _sigmoid(zu)
-        bracket = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+        corrected = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
         gp = -prior * (1 - sp) / max(1, positive.n)
+        if corrected >= 0:
+            gp = gp - prior * sp / max(1, positive.n)
         gu = su / max(1, unlabelled.n)
-        minus = prior * sp / max(1, positive.n)
-        gp, gu = (gp - minus, gu) if bracket >= 0 else (minus, -gu)
         grad = positive.back(gp) + unlabelled.back(gu) + decay * w
         gb = gp.sum() + gu.sum()
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-7)
         b -= rate * 0.1 * (mb / (1 - 0.9**t)) / (np.sqrt(vb / (1 - 0.99**t)) + 1e-7)
-    return w, b
+        if t > steps // 2:
+            mean_w += w
+            mean_b += b
+            kept += 1
+    return mean_w / max(1, kept), mean_b / max(1, kept)
 
 
 class Classifier:
@@ -165,13 +174,21 @@ class Classifier:
 
 def train(rated: list[tuple[str, set[str]]], unrated: list[str], rounds: int = 2, seed: int = 5) -> Classifier:
     """``rated``: (text, labels of its raters). The prior of a category among unlabelled sentences is the share of rated
-    documents with the category over the mean number of sentences of a document."""
+    documents with the category over the mean number of sentences of a document, doubled, as such documents are picked
+    apart into several sentences."""
     rng = np.random.default_rng(seed)
     docs = [(sentences_of(t), labels) for t, labels in rated]
     mean_size = max(1.0, float(np.mean([len(s) for s, _ in docs] or [1])))
-    clean = list(dict.fromkeys(s for sents, labels in docs if not labels & set(CATEGORIES) for s in sents))
-    if len(clean) > CLEAN:
-        clean = [clean[i] for i in sorted(rng.choice(len(clean), CLEAN, replace=False))]
+    times: dict[str, int] = {}
+    for sents, labels in docs:
+        if not labels & set(CATEGORIES):
+            for x in sents:
+                times[x] = times.get(x, 0) + 1
+    clean = list(times)
+    if len(clean) > CLEAN:  # what several documents say matters most; of the rest a random part
+        often = [x for x in clean if times[x] > 1][:CLEAN]
+        rest = [x for x in clean if times[x] == 1]
+        clean = often + [rest[i] for i in sorted(rng.choice(len(rest), min(len(rest), CLEAN - len(often)), replace=False))]
     # as frequent as they are: a sentence that many documents share must weigh as much as that
     pool = [s for sents, labels in docs if not labels & set(CATEGORIES) for s in sents] + [s for t in unrated for s in sentences_of(t)]
     if not pool:
@@ -195,7 +212,7 @@ def train(rated: list[tuple[str, set[str]]], unrated: list[str], rounds: int = 2
         return {x for x, v in rate.items() if x not in usual_rate or (v * len(own) > 2.5 and v > 5 * usual_rate[x])}
 
     candidates = {c: telling(c) for c in names}
-    shares = [min(0.2, max(0.004, sum(n in labels for _, labels in docs) / max(1, len(docs)) / mean_size)) for n in CATEGORIES]
+    shares = [min(0.2, max(0.008, 2 * sum(n in labels for _, labels in docs) / max(1, len(docs)) / mean_size)) for n in CATEGORIES]
     # sentences of a category's documents, by document: first all of them
     picked = {c: {k: [s for s in sents if key(s) in candidates[c]] for k, (sents, labels) in enumerate(docs) if CATEGORIES[c] in labels} for c in names}
 
@@ -273,13 +290,13 @@ def scores(documents: DataFrame, model: Classifier) -> DataFrame:
     return documents.select("doc_id", "source", "text").mapInPandas(run, "doc_id long, source string, " + ", ".join(f"{c} double" for c in CATEGORIES))
 
 
-def flagged(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
+def flagged(scored: DataFrame, threshold: float = 0.4) -> DataFrame:
     """(doc_id, category) of every document with a sentence above the threshold."""
     found = F.filter(F.array(*[F.when(F.col(c) >= threshold, F.lit(c)) for c in CATEGORIES]), lambda x: x.isNotNull())
     return scored.filter("doc_id is not null").select("doc_id", F.explode(found).alias("category")).distinct()
 
 
-def rates(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
+def rates(scored: DataFrame, threshold: float = 0.4) -> DataFrame:
     """Per source and category: documents, how many are flagged, and the rate. A null source is a source of its own."""
     kinds = F.explode(F.array(*[F.struct(F.lit(c).alias("category"), (F.col(c) >= threshold).cast("long").alias("hit")) for c in CATEGORIES]))
     counted = scored.select("source", kinds.alias("k")).groupBy("source", "k.category").agg(F.count(F.lit(1)).alias("documents"), F.sum("k.hit").alias("flagged"))
