@@ -10,6 +10,8 @@ SENTENCE_BREAK = r"(?<=[.!?])\s+(?=[A-ZА-ЯЁ\d\"«])"
 EDGE_SIGNS = ".,;:!?()[]{}\"'«»“”"
 CYRILLIC = "[а-яА-ЯёЁ]"
 
+_WRAPPED = r"(?s)^(\*\*|__|\*|_)(.*)\1$"
+
 
 def strip(c: Column) -> Column:
     """Without white space at both ends (trim() takes blanks only)."""
@@ -27,12 +29,7 @@ def token_estimate(c: Column) -> Column:
 def strip_wrappers(c: Column) -> Column:
     """Without a leading heading sign and one pair of emphasis marks around the whole."""
     text = F.regexp_replace(strip(F.coalesce(c, F.lit(""))), r"^\s{0,3}#{1,6}\s*", "")
-    out = text
-    for mark in reversed(["**", "__", "*", "_"]):  # the first that fits wins, so it is tested last
-        n = len(mark)
-        inner = text.substr(F.lit(n + 1), F.length(text) - 2 * n)
-        out = F.when(text.startswith(mark) & text.endswith(mark) & (F.length(text) >= 2 * n), strip(inner)).otherwise(out)
-    return strip(out)
+    return strip(F.regexp_replace(text, _WRAPPED, "$2"))  # the first mark that stands at both ends
 
 
 def is_caption(c: Column) -> Column:
@@ -69,11 +66,7 @@ def title_level(content: Column, block_type: Column, text_level: Column) -> Colu
 def clean_title(c: Column) -> Column:
     """Heading text without heading signs and one pair of emphasis marks."""
     text = strip(F.regexp_replace(strip(F.coalesce(c, F.lit(""))), "^#+", ""))
-    out = text
-    for mark in reversed(["**", "__", "*", "_"]):
-        n = len(mark)
-        out = F.when(text.startswith(mark) & text.endswith(mark), strip(text.substr(F.lit(n + 1), F.greatest(F.lit(0), F.length(text) - 2 * n)))).otherwise(out)
-    return out
+    return strip(F.regexp_replace(F.regexp_replace(text, r"^(?:\*{1,3}|_{1,3})$", ""), _WRAPPED, "$2"))
 
 
 def normalize_entity(c: Column) -> Column:

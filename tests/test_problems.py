@@ -1,0 +1,167 @@
+"""Top-N, pair surprise and name variants against brute force and their edge cases."""
+
+import math
+import random
+from collections import Counter
+from itertools import combinations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from layoutgraph.operators import cooccur, names, topn
+from tests.conftest import rows
+
+
+def test_topn_brute_force(spark):
+    rng = random.Random(3)
+    data = [("hot" if rng.random() < 0.4 else f"g{rng.randrange(30)}", rng.choice([0.1, 0.5, 0.5, 0.9, rng.random()]), f"n{rng.randrange(5)}" if rng.random() < 0.9 else None, k) for k in range(3000)]
+    df = spark.createDataFrame(data, "g string, s double, t string, id long")
+    for bands in (1, 4, 9):
+        got = rows(topn.top_n_per_group(df, "g", "s", [F.col("t").asc_nulls_last(), F.col("id").asc()], 5, bands), "g", "id", "rank")
+        want = []
+        for g in {d[0] for d in data}:
+            best = sorted((d for d in data if d[0] == g), key=lambda d: (-d[1], d[2] is None, d[2] or "", d[3]))[:5]
+            want += [(g, d[3], k + 1) for k, d in enumerate(best)]
+        assert got == sorted(want, key=repr)
+
+
+def test_topn_edges(spark):
+    df = spark.createDataFrame([(None, 0.5, 1), ("a", None, 2), ("a", float("nan"), 3), ("a", 0.2, 4), ("a", 0.2, 4)], "g string, s double, id long")
+    assert rows(topn.top_n_per_group(df, "g", "s", [F.col("id")], 5), "g", "id", "rank") == [("a", 4, 1), ("a", 4, 2)]
+    assert topn.top_n_per_group(df.limit(0), "g", "s", [F.col("id")], 5).count() == 0
+    clash = df.withColumn("_band", F.lit("mine"))
+    assert rows(topn.top_n_per_group(clash, "g", "s", [F.col("id")], 1), "g", "_band") == [("a", "mine")]
+
+
+def mention(**kw):
+    base = dict(mention_id=1, text="A", normalized="a", entity_type="ORG", confidence=0.5, chunk_id="c1", source_doc="d", related_element_ids=["e1"], ingested_at="2024-01-01 00:00:00")
+    return {**base, **kw}
+
+
+def mentions(spark, items):
+    schema = "mention_id long, text string, normalized string, entity_type string, confidence double, chunk_id string, source_doc string, related_element_ids array<string>, ingested_at string"
+    cols = [c.split()[0] for c in schema.split(", ")]
+    return spark.createDataFrame([tuple(m[c] for c in cols) for m in items], schema).withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz"))
+
+
+def test_best_mentions_rules(spark):
+    items = [
+        mention(mention_id=1, confidence=0.9), mention(mention_id=1, confidence=0.9), mention(mention_id=1, confidence=0.1, ingested_at="2024-02-01 00:00:00"),  # delivered again, lower
+        mention(mention_id=2, confidence=0.8, ingested_at=None), mention(mention_id=3, confidence=float("nan")), mention(mention_id=4, confidence=7.0), mention(mention_id=5, confidence=None),
+        mention(mention_id=6, related_element_ids=["e1", "e1", " ", None, ""]), mention(mention_id=7, related_element_ids=None), mention(mention_id=8, normalized=None, confidence=0.5),
+    ]
+    assert rows(topn.best_mentions(mentions(spark, items)), "element_id", "mention_id", "rank") == [("e1", 1, 4), ("e1", 2, 1), ("e1", 6, 2), ("e1", 8, 3)]
+
+
+def brute_pairs(baskets):
+    n, nab = Counter(), Counter()
+    for b in baskets.values():
+        n.update(b)
+        nab.update(combinations(sorted(b), 2))
+    return n, nab
+
+
+def test_pairs_brute_force(spark, monkeypatch):
+    rng = random.Random(5)
+    baskets = {f"b{k}": {f"i{int(rng.random() ** 2 * 40)}" for _ in range(rng.randrange(1, 12))} for k in range(300)}
+    baskets["giant"] = {f"i{k}" for k in range(40)}
+    df = spark.createDataFrame([(b, i) for b, xs in baskets.items() for i in xs], "basket string, item string")
+    n, nab = brute_pairs(baskets)
+    for limit in (400, 10):  # the second pairs large baskets block by block
+        monkeypatch.setattr(cooccur, "BASKET_LIMIT", limit)
+        monkeypatch.setattr(cooccur, "BLOCK", 7)
+        got = {(a, b): (k, x, y) for a, b, k, x, y in rows(cooccur.pair_counts(df, 300), "a", "b", "n_ab", "n_a", "n_b")}
+        assert got == {p: (k, n[p[0]], n[p[1]]) for p, k in nab.items()}
+        found = {(a, b) for a, b in rows(cooccur.pair_counts(df, 300, 4, 1.5), "a", "b")}
+        assert found == {(a, b) for (a, b), k in nab.items() if k >= 4 and k * 300 >= 1.5 * n[a] * n[b]}
+
+
+def test_tail_is_exact():
+    rng = np.random.default_rng(1)
+    q, m = rng.random(4) * 0.15, np.array([3.0, 2.0, 4.0, 1.0])
+    dist = np.ones(1)
+    for p, k in zip(q, m.astype(int)):
+        for _ in range(k):
+            dist = np.convolve(dist, [1 - p, p])
+    for k in range(1, 6):
+        mean, tail = cooccur.poisson_binomial_tail(q, m, k)
+        assert math.isclose(mean, float((q * m).sum())) and math.isclose(tail, dist[k:].sum(), rel_tol=1e-6, abs_tol=1e-12)
+
+
+def test_null_keeps_margins():
+    d, x, s, ym = cooccur.fit_null({1: 30, 4: 5, 10: 1}, {2: 20, 5: 4})
+    y, k = ym
+    p = np.outer(x, y) / (1 + np.outer(x, y))
+    assert np.allclose((p * k).sum(1), d, rtol=1e-4)
+
+
+def test_surprise_finds_planted_pair(spark):
+    rng = random.Random(9)
+    baskets = {k: set(rng.sample(range(60), 4)) for k in range(400)}
+    for k in range(40):
+        baskets[k] |= {100, 101}
+    df = spark.createDataFrame([(str(b), f"i{i}") for b, xs in baskets.items() for i in xs], "basket string, item string")
+    pairs = cooccur.pair_counts(df, 400)
+    out = cooccur.surprise(pairs, df).toPandas().set_index(["a", "b"])
+    assert len(out) == pairs.count() and out.q_value.between(0, 1).all()
+    assert out.loc[("i100", "i101"), "q_value"] < 1e-6 and (out.drop(("i100", "i101")).q_value > 0.01).mean() > 0.98
+    assert cooccur.surprise(cooccur.pair_counts(df.limit(0), 0), df.limit(0)).count() == 0
+
+
+def test_near_is_one_edit():
+    assert all(names.near(a, b) for a, b in [("abc", "abc"), ("abc", "abd"), ("abc", "acb"), ("abc", "ab"), ("abc", "xabc")])
+    assert not any(names.near(a, b) for a, b in [("abc", "bca"), ("abcd", "badc"), ("abc", "abcde"), ("abc", "xyz")])
+
+
+def test_deletes_miss_no_neighbour():
+    rng = random.Random(2)
+    words = {"".join(rng.choice("abc") for _ in range(rng.randrange(5, 8))) for _ in range(250)}
+    for a, b in combinations(sorted(words), 2):
+        if names.near(a, b):
+            assert names.deletes(a) & names.deletes(b), (a, b)
+
+
+def test_alignment():
+    assert names.align(["mgmt", "cap"], ["capital", "management"]) < 3
+    assert names.align(["e", "h"], ["energy", "holding"]) < 3
+    assert names.align(["r", "i"], ["energy", "holding"]) == float("inf")
+    assert names.abbreviates("bk", "bank") and not names.abbreviates("kb", "bank")
+
+
+def variants(spark, people, orgs=()):
+    items = [mention(mention_id=k, normalized=v, entity_type="PERSON", source_doc=d) for k, (v, d) in enumerate(people)] + [mention(mention_id=900 + k, normalized=v, entity_type="ORG") for k, v in enumerate(orgs)]
+    return set(rows(names.variant_pairs(names.classes(mentions(spark, items))), "normalized_a", "normalized_b"))
+
+
+def pairs_of(*groups):
+    return {tuple(sorted(p)) for g in groups for p in combinations(g, 2)}
+
+
+def test_name_variants(spark):
+    robert = ["robert parapusanov", "bob parapusanov", "r. parapusanov", "parapusanov, robert", "robert parap- usanov", "роберт парапусанов", "roobert parapusanov", "robert parapu5anov"]
+    maria = ["margaret mekoletes", "мэгги меколетес", "margaret k. mekoletes"]
+    other = ["olga mekoletes", "ольга меколетес"]
+    bank = ["toluroko commercial bank", "the toluroko commercial bank", "toluroko commercial bank ltd", "толуроко коммерческий банк", "commercial bank toluroko", "toluroko c.b", "toluroko-commercial-bank"]
+    fund = ["toluroko energy holding", "ооо «толуроко энерго холдинг"]
+    base = [f"{w} commercial bank" for w in ("sezokusi", "fesomitre", "votrusepa")] + [f"{w} energy holding" for w in ("sezokusi", "gikresure", "limestutu")]
+    people = [(v, "d1") for v in robert + maria] + [(v, "d2") for v in other]
+    got = variants(spark, people, bank + fund + base * 2)
+    assert got == pairs_of(robert, maria, other, bank, fund)
+
+
+def test_surname_alone_goes_by_documents(spark):
+    people = [("margaret mekoletes", "a"), ("margaret mekoletes", "b"), ("robert mekoletes", "c"), ("prof. mekoletes", "c")]
+    assert variants(spark, people) == {("prof. mekoletes", "robert mekoletes")}
+
+
+def test_name_edge_cases(spark):
+    people = [(None, "d"), ("  ", "d"), ("...", "d"), ("x" * 5000, "d"), ("anna", "d"), ("anna", "d")]
+    assert variants(spark, people) == set()
+    assert names.classes(mentions(spark, [mention()]).limit(0)).count() == 0
+
+
+def test_components(spark):
+    nodes = spark.createDataFrame([(f"n{k:02d}",) for k in range(20)], "id string")
+    edges = spark.createDataFrame([(f"n{k:02d}", f"n{k + 1:02d}") for k in range(10)] + [("n15", "n12")], "a string, b string")
+    got = dict(rows(names.components(nodes, edges), "id", "cls"))
+    assert {got[f"n{k:02d}"] for k in range(11)} == {"n00"} and got["n15"] == "n12" and got["n19"] == "n19"
