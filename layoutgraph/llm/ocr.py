@@ -267,6 +267,9 @@ def furniture(blocks: DataFrame) -> DataFrame:
     repeated = places.groupBy("source_hash", "key").agg(F.countDistinct("page_number").alias("pages")).filter("pages >= 2").join(titles, ["source_hash", "key"], "left_anti").select("source_hash", "key")
     one = repeated.select("source_hash", F.col("key").alias("first_key"), F.lit(True).alias("first_header"))
     two = repeated.select("source_hash", F.col("key").alias("last_key"), F.lit(True).alias("last_header"))
+    # lines without a key match nothing; keys of their own keep a large document's from meeting in one task
+    spread = lambda c: F.coalesce(c, F.concat(F.lit("\0"), F.coalesce("block_id", F.lit(""))))
+    rows = rows.withColumn("first_key", spread(F.col("first_key"))).withColumn("last_key", spread(F.col("last_key")))
     return rows.join(one, ["source_hash", "first_key"], "left").join(two, ["source_hash", "last_key"], "left")
 
 
