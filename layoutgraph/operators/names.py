@@ -334,10 +334,12 @@ def classes(mentions: DataFrame) -> DataFrame:
     russian = F.create_map(*[F.lit(x) for pair in RUSSIAN_INITIAL.items() for x in pair])
     people = whole.filter("kind = 'PERSON'").select(F.col("token").alias("other"), "grp", "cls", "n")
     fits = (F.col("initial") == "") | (F.when(F.col("initial").startswith("c:"), F.coalesce(F.element_at(russian, F.col("grp")), F.substring("grp", 1, 1))).otherwise(F.substring("grp", 1, 1)) == F.regexp_replace("initial", "^c:", ""))
-    options = bare.join(around, "token").join(people, "other").filter(fits).groupBy("value", "cls").agg(F.min("far").alias("far"), F.sum("n").alias("n"))
-    docs_of_class = rows.filter("kind = 'PERSON' and doc is not null").join(of_full.filter("kind = 'PERSON'").select("value", "cls"), "value").select("cls", "doc").distinct()
-    docs_of_bare = rows.filter("kind = 'PERSON' and doc is not null").join(bare.select("value"), "value").select("value", "doc").distinct()
-    shared_docs = docs_of_bare.join(docs_of_class, "doc").groupBy("value", "cls").agg(F.count(F.lit(1)).alias("docs"))
+    options = cut(bare.join(around, "token").join(people, "other").filter(fits).groupBy("value", "cls").agg(F.min("far").alias("far"), F.sum("n").alias("n")), "options")
+    # documents are looked at for the options alone, so a document that names everyone multiplies nothing
+    people_docs = rows.filter("kind = 'PERSON' and doc is not null")
+    docs_of_class = people_docs.join(of_full.filter("kind = 'PERSON'").select("value", "cls"), "value").select("cls", "doc").distinct()
+    asked = options.select("value", "cls").join(people_docs.select("value", "doc").distinct(), "value")
+    shared_docs = asked.join(docs_of_class, ["cls", "doc"]).groupBy("value", "cls").agg(F.count(F.lit(1)).alias("docs"))
     ranked = options.join(shared_docs, ["value", "cls"], "left").withColumn("r", F.row_number().over(Window.partitionBy("value").orderBy("far", F.desc_nulls_last("docs"), F.desc("n"), "cls")))
     chosen = ranked.filter("r = 1").select("value", "cls")
     alone = bare.join(chosen, "value", "left").select("value", F.lit("PERSON").alias("kind"), F.coalesce("cls", F.concat(F.lit("PERSON\t"), "token", F.lit("\t?"), F.regexp_replace("initial", "^c:", ""))).alias("cls"))
