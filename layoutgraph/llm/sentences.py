@@ -32,11 +32,12 @@ _WIDE_CHAR = re.compile(r"[぀-ヿ㐀-鿿＀-￯]")
 
 SAMPLE = 24_000  # texts the model is trained on, taken in the order of a hash
 ROUNDS = 6
-STRICT = 0.98  # posterior asked for where a blank alone would end a sentence
+STRICT, SEEN = 0.98, 5.0  # where a blank alone would end a sentence: posterior asked for, and starts seen with the next word
 
 
-def quoted_spans(text: str) -> list[tuple[int, int]]:
-    """Spans between matched quotation marks or brackets, outermost ones; unmatched signs open nothing."""
+def quoted_spans(text: str, cut_start: bool = False, cut_end: bool = False) -> list[tuple[int, int]]:
+    """Spans between matched quotation marks or brackets, outermost ones; unmatched signs open nothing, but where the
+    text is cut off, a remark may have begun before it or end after it."""
     stack, spans = [], []
     for m in _QUOTE.finditer(text):
         c, i = m.group(), m.start()
@@ -49,6 +50,8 @@ def quoted_spans(text: str) -> list[tuple[int, int]]:
                 if at is not None:
                     spans.append((stack[at][1], i))
                     del stack[at:]
+                elif cut_start and not spans and not stack:
+                    spans.append((-1, i))
                 continue
             stack.append((c, i))
         else:
@@ -58,6 +61,10 @@ def quoted_spans(text: str) -> list[tuple[int, int]]:
                 del stack[at:]
             elif c in _PAIRS:
                 stack.append((c, i))
+            elif cut_start and c in "»”」』" and not spans and not stack:
+                spans.append((-1, i))
+    if cut_end and stack and stack[0][0] in "«„“「『\"":
+        spans.append((stack[0][1], len(text) + 1))
     spans.sort()
     outer: list[tuple[int, int]] = []
     for a, b in spans:
@@ -117,11 +124,11 @@ def _right(text: str, start: int) -> str:
     return _symbol(word)
 
 
-def candidates(text: str, low: int, high: int) -> list[tuple[int, str, str, str, bool]]:
+def candidates(text: str, low: int, high: int, cut_start: bool = False, cut_end: bool = False) -> list[tuple[int, str, str, str, bool]]:
     """Places in text[low:high] where a boundary may stand: (position, word before, word before that, word after,
     whether the place before it is one word away)."""
     pattern = _SPACED_THAI if _HAS_THAI.search(text) else _SPACED
-    spans = quoted_spans(text[low:high]) if _QUOTE.search(text, low, high) else []
+    spans = quoted_spans(text[low:high], cut_start, cut_end) if _QUOTE.search(text, low, high) else []
     out, k, last = [], 0, -1
     for m in pattern.finditer(text, low, high):
         end = m.end()
@@ -231,10 +238,10 @@ class BoundaryModel:
             backward = tuple(s[e][0] * backward[0] + s[e][1] * backward[1] for e in (0, 1))
         return out[::-1]
 
-    def split(self, text: str, low: int, high: int, threshold: float = 0.5) -> list[tuple[int, int]]:
+    def split(self, text: str, low: int, high: int, threshold: float = 0.5, cut_start: bool = False, cut_end: bool = False) -> list[tuple[int, int]]:
         """Units of text[low:high], each from its first to its last non-blank character."""
-        places = candidates(text, low, high)
-        cuts = [c[0] for c, p in zip(places, self.posteriors(places)) if p > (threshold if _ends(c) else STRICT)] if places else []
+        places = candidates(text, low, high, cut_start, cut_end)
+        cuts = [c[0] for c, p in zip(places, self.posteriors(places)) if p > (threshold if _ends(c) else STRICT) and (_ends(c) or self.start.get(c[3], 0.0) >= SEEN)] if places else []
         units, a = [], low
         for b in (*cuts, high):
             piece = text[a:b]
@@ -280,7 +287,7 @@ def _first_guess(w1: str, w2: str, nxt: str) -> float:
         return 0.1 if w2 else 0.001
     if core.endswith(("...", "…")):
         return 0.1
-    if core.endswith(".") and "#" not in core and sum(ch.isalpha() for ch in core) <= 3:
+    if core.endswith(".") and "#" not in core and sum(ch.isalpha() for ch in core) <= 4:
         return 0.3
     return 0.95
 
@@ -293,7 +300,7 @@ def train(texts: list[tuple[str, int, bool, bool]], rounds: int = ROUNDS) -> Bou
         high = len(text.rstrip())
         if high <= low:
             continue
-        places = candidates(text, low, high)
+        places = candidates(text, low, high, not sure_start, not sure_end)
         end = _left(text, high, low)
         prepared.append((places, _right(text, low) if sure_start else None, end if sure_end else None))
     model = BoundaryModel()
@@ -349,8 +356,8 @@ def chunk_units(model: BoundaryModel, text: str) -> list[tuple[int, int]]:
 def context_units(model: BoundaryModel, text: str) -> list[tuple[int, int]]:
     """Units of a mention's context; the dots of a cut stay with the unit they cut."""
     low = len(text) - len(text.lstrip())
-    cut_start, _ = is_cut(text[low:])
-    units = model.split(text, low, len(text))
+    cut_start, cut_end = is_cut(text[low:].rstrip())
+    units = model.split(text, low, len(text), 0.5, cut_start, cut_end)
     if cut_start and len(units) > 1 and not text[units[0][0] : units[0][1]].strip(".… "):
         units = [(units[0][0], units[1][1])] + units[2:]
     if len(units) > 1 and not text[units[-1][0] : units[-1][1]].strip(".… "):
