@@ -18,12 +18,15 @@ from collections import defaultdict
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from layoutgraph.plans.bounded import most_frequent
+from layoutgraph.plans.session import cut
+
 LEXICON = 200_000
 TRAIN_WORDS = 6_000
 
 #: Letters and what scanners read in their place.
 LOOKALIKES = {
-    "a": "а", "b": "6", "c": "с", "e": "е", "g": "9", "h": "lı һ", "i": "! і 1", "l": "1 |", "m": "rn", "o": "о 0", "p": "р", "s": "5 ѕ",
+    "a": "а", "b": "6", "c": "с", "e": "е", "g": "9", "h": "lı һ", "i": "! і 1", "l": "1", "m": "rn", "o": "о 0", "p": "р", "s": "5 ѕ",
     "u": "ц", "x": "х", "y": "у", "z": "2", "B": "8 В", "E": "Е", "A": "А", "C": "С", "H": "Н", "I": "1 !", "K": "К", "M": "М", "O": "0 О", "P": "Р", "S": "5", "T": "Т", "X": "Х", "G": "6",
     "а": "a", "б": "6", "е": "e", "з": "3", "и": "n u", "к": "k", "л": "ʌ", "н": "h", "о": "o 0", "п": "n", "р": "p", "с": "c", "т": "t", "у": "y", "х": "x", "ч": "4", "ь": "b", "і": "i 1", "в": "b",
     "А": "A", "В": "B 8", "Е": "E", "З": "3", "К": "K", "М": "M", "Н": "H", "О": "O 0", "Р": "P", "С": "C", "Т": "T", "Х": "X", "Ч": "4", "Б": "6",
@@ -73,7 +76,9 @@ class Editor:
             for size in (1, 2):
                 g = word[i : i + size]
                 if len(g) == size:
-                    out += [(i, g, c) for c in READ_AS.get(g, ())]
+                    before, after = word[i - 1 : i], word[i + size : i + size + 1]
+                    # a capital doesn't follow a small letter, nor a small one stand between capitals
+                    out += [(i, g, c) for c in READ_AS.get(g, ()) if not (c.isupper() and before.islower()) and not (c.islower() and before.isupper() and after.isupper())]
         return out
 
     def features(self, word: str, place: tuple[int, str, str], blind: bool = False) -> list[str]:
@@ -102,15 +107,18 @@ class Editor:
         return sum(w.get(f, 0.0) for f in self.features(word, place, blind))
 
     def edits(self, word: str) -> tuple[tuple[int, str, str], ...]:
-        """The edits of a word: at each place the best candidate that beats keeping it."""
+        """The edits of a word: at each place of the candidates that beat keeping it the best."""
         found = self.memo.get(word)
         if found is None:
-            best: dict[int, tuple[float, tuple[int, str, str]]] = {}
+            best: dict[int, tuple[tuple[int, float], tuple[int, str, str]]] = {}
             for place in self.candidates(word):
                 s = self.score(word, place)
-                if s > 0 and (place[0] not in best or s > best[place[0]][0]):
-                    best[place[0]] = (s, place)
-            found = tuple(p for _, p in sorted((v for v in best.values()), key=lambda v: v[1][0]))
+                if s > 0:
+                    i, g, c = place
+                    key = (self._level(word[:i] + c + word[i + len(g) :]), s)  # of several letters, the one that makes a known word
+                    if i not in best or key > best[i][0]:
+                        best[i] = (key, place)
+            found = tuple(best[i][1] for i in sorted(best))
             if len(self.memo) > 300_000:
                 self.memo.clear()
             self.memo[word] = found
@@ -134,7 +142,7 @@ class Editor:
         keep = [k for k in keep if "-" not in k]
         for word in words + keep * 2:
             code = not word.isalpha()
-            for variant in {word, word.capitalize(), word.upper()} if not code else {word.upper()}:
+            for variant in dict.fromkeys((word, word.capitalize(), word.upper()) if not code else (word.upper(),)):
                 blind = rng.random() < 0.4
                 for place in self.candidates(variant):
                     examples.append((self.features(variant, place, blind), False))
@@ -279,13 +287,20 @@ def word_counts(blocks: DataFrame, mentions: DataFrame, limit: int = LEXICON) ->
     texts = blocks.select(F.col("content").alias("t")).unionByName(mentions.select(F.col("text").alias("t")))
     word = rf"(?<![\p{{L}}\p{{N}}_-])(?:[a-zß-ɏ]{{2,24}}|[а-яёіїєґ]{{2,24}}|[a-z]{{1,24}}-[a-z]{{1,24}}|[a-z]{{2,6}}[0-9])(?![\p{{L}}\p{{N}}_-])"
     found = texts.select(F.explode(F.regexp_extract_all(F.lower("t"), F.lit(word), F.lit(0))).alias("w"))
-    top = found.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2").orderBy(F.desc("n"), "w").limit(limit)
-    return {r["w"]: r["n"] for r in top.collect()}
+    top = found.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2")
+    return {r["w"]: r["n"] for r in most_frequent(cut(top, "words"), "n", limit)}
+
+
+def clean_lexicon(counts: dict[str, int], times: int = 8) -> dict[str, int]:
+    """Without words that one misreading makes out of a word ``times`` as frequent: in a large corpus misread words are
+    frequent too."""
+    reader = Editor({})
+    return {w: n for w, n in counts.items() if not any(counts.get(w[:i] + c + w[i + len(g) :], 0) >= times * n for i, g, c in reader.candidates(w))}
 
 
 def fit(blocks: DataFrame, mentions: DataFrame, train_words: int = TRAIN_WORDS) -> Editor:
     """An editor trained on the ``train_words`` most frequent words."""
-    lexicon = word_counts(blocks, mentions)
+    lexicon = clean_lexicon(word_counts(blocks, mentions))
     words, keep = [], []
     for w in lexicon:  # most frequent first
         if w.isalpha():
@@ -293,7 +308,6 @@ def fit(blocks: DataFrame, mentions: DataFrame, train_words: int = TRAIN_WORDS)
                 words.append(w)
         elif len(keep) < train_words // 2:
             keep.append(w)
-    # a word that is itself the misreading of a far more frequent one teaches nothing
     editor = Editor(lexicon)
     return editor.train(words, keep)
 

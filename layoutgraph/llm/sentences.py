@@ -16,6 +16,8 @@ from collections import defaultdict
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from layoutgraph.plans.bounded import sample as bounded_sample
+
 #: Sentence-final signs, closing and paired signs, the Thai range.
 _FINAL, _WIDE, _CLOSE, _THAI = ".!?…।॥", "。！？", "\"'»”“’)\\]}」』）】*_", "฀-๿"
 _TIGHT = "\"'»”’)\\]}」』）】"  # what may close before a word without a blank; “ would open there
@@ -30,7 +32,7 @@ _INITIALS = re.compile(r"^[\"«„“(]*(?:[^\W\d_]\.){1,3}$")
 _TITLE_END = re.compile(r"\n[ \t]*\n")
 _WIDE_CHAR = re.compile(r"[぀-ヿ㐀-鿿＀-￯]")
 
-SAMPLE = 24_000  # texts the model is trained on, taken in the order of a hash
+SAMPLE = 24_000  # texts the model is trained on, chosen by hash
 ROUNDS = 6
 STRICT, SEEN = 0.98, 5.0  # where a blank alone would end a sentence: posterior asked for, and starts seen with the next word
 
@@ -327,14 +329,13 @@ def train(texts: list[tuple[str, int, bool, bool]], rounds: int = ROUNDS) -> Bou
 
 
 def fit(chunks: DataFrame | None, contexts: DataFrame | None, sample: int = SAMPLE) -> BoundaryModel:
-    """Train on at most ``sample`` texts: half of them chunks.text, half Entity.context, in hash order."""
+    """Train on at most ``sample`` texts: a quarter of them chunks.text, the rest Entity.context, chosen by hash."""
     texts: list[tuple[str, int, bool, bool]] = []
     if chunks is not None:
-        rows = chunks.filter(r"text rlike '\\S'").select("text").orderBy(F.xxhash64("text")).limit(sample // 4)
-        texts += [(r["text"], body_start(r["text"]), True, True) for r in rows.collect()]
+        rows = bounded_sample(chunks.filter(r"text rlike '\\S'").select("text"), sample // 4, "text")
+        texts += [(r["text"], body_start(r["text"]), True, True) for r in rows]
     if contexts is not None:
-        rows = contexts.filter(r"context rlike '\\S'").select("context").orderBy(F.xxhash64("context")).limit(sample * 3 // 4)
-        for r in rows.collect():
+        for r in bounded_sample(contexts.filter(r"context rlike '\\S'").select("context"), sample * 3 // 4, "context"):
             cut_start, cut_end = is_cut(r["context"])
             texts.append((r["context"], 0, not cut_start, not cut_end))
     return train(texts)

@@ -19,10 +19,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from layoutgraph.plans.bounded import sample
+
 CATEGORIES = ("abusive", "hateful", "sexual")
 BITS = 18
 GRAMS = (4, 7)
-MAX_LABELLED = 24_000  # rated documents the classifiers are trained on, in hash order
+MAX_LABELLED = 24_000  # rated documents the classifiers are trained on, chosen by hash
 MAX_UNRATED = 4_000  # unrated documents among the unlabelled
 UNLABELLED = 10_000  # unlabelled sentences of a training round, half of them those hardest for the round before
 STEPS = 45
@@ -257,14 +259,15 @@ def train(rated: list[tuple[str, set[str]]], unrated: list[str], rounds: int = 2
 
 
 def fit(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_unrated: int = MAX_UNRATED) -> Classifier:
-    """Train on at most ``max_labelled`` rated documents (rated positive ones first) and ``max_unrated`` others."""
+    """Train on at most ``max_labelled`` rated documents (of those rated positive up to half as many) and ``max_unrated`` others."""
     given = labels.filter("doc_id is not null and label is not null").groupBy("doc_id").agg(F.collect_set("label").alias("labels"))
     texts = documents.filter("text is not null and doc_id is not null").select("doc_id", "text")
     positive = F.arrays_overlap("labels", F.array(*[F.lit(c) for c in CATEGORIES]))
-    joined = texts.join(given, "doc_id").orderBy(F.desc(positive), F.xxhash64("doc_id")).limit(max_labelled)
-    rated = [(r["text"], set(r["labels"])) for r in joined.select("text", "labels").collect()]
-    rest = texts.join(given, "doc_id", "left_anti").orderBy(F.xxhash64("doc_id")).limit(max_unrated)
-    return train(rated, [r["text"] for r in rest.select("text").collect()])
+    joined = texts.join(given, "doc_id").withColumn("positive", positive)
+    best = sample(joined.filter("positive"), max_labelled // 2, "doc_id")
+    rated = [(r["text"], set(r["labels"])) for r in best + sample(joined.filter("not positive"), max_labelled - len(best), "doc_id")]
+    rest = sample(texts.join(given, "doc_id", "left_anti"), max_unrated, "doc_id")
+    return train(rated, [r["text"] for r in rest])
 
 
 def scores(documents: DataFrame, model: Classifier) -> DataFrame:
