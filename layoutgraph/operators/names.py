@@ -18,6 +18,7 @@ from itertools import permutations
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, Window
 
+from layoutgraph.plans.bounded import most_frequent
 from layoutgraph.plans.session import cut
 
 COMMON_LIMIT = 20_000  # words with several partners that are broadcast
@@ -133,7 +134,7 @@ class Vocabulary:
         self.known = {"PERSON": CANON_GIVEN, "ORG": CANON_ORG}
         self.index: dict[str, dict[str, list[str]]] = {"PERSON": {}, "ORG": {}}
         for kind in self.index:
-            for w in {*self.known[kind], *(w for k, w in partners if k == kind and partners[k, w] >= 6)}:
+            for w in sorted({*self.known[kind], *(w for k, w in partners if k == kind and partners[k, w] >= 6)}):
                 if len(w) >= 4:
                     for d in deletes(w):
                         self.index[kind].setdefault(d, []).append(w)
@@ -151,7 +152,7 @@ class Vocabulary:
                 own = self.partners.get(key, 0)
                 best = ("", own)
                 if len(word) >= 4:
-                    for d in deletes(word) | ({word.replace("rn", "m")} if "rn" in word else set()):
+                    for d in sorted(deletes(word) | ({word.replace("rn", "m")} if "rn" in word else set())):
                         for w in self.index[kind].get(d, ()):
                             if w != word and (near(w, word) or w == word.replace("rn", "m")):
                                 weight = self.partners.get((kind, w), 0) + (500_000 if w in known else 0)
@@ -262,8 +263,8 @@ def classes(mentions: DataFrame) -> DataFrame:
 
     parts = values.select("kind", words_of("value").alias("ws")).filter(F.size("ws").between(2, 6))
     pairs = parts.select("kind", F.explode("ws").alias("w"), "ws").select("kind", "w", F.array_join(F.array_sort(F.array_except("ws", F.array("w"))), " ").alias("others"))
-    common = pairs.groupBy("kind", "w").agg(F.countDistinct("others").alias("k")).filter("k >= 3").orderBy(F.desc("k"), "kind", "w").limit(COMMON_LIMIT)
-    vocab = Vocabulary({(r["kind"], r["w"]): r["k"] for r in common.collect()})
+    common = pairs.groupBy("kind", "w").agg(F.countDistinct("others").alias("k")).filter("k >= 3")
+    vocab = Vocabulary({(r["kind"], r["w"]): r["k"] for r in most_frequent(cut(common, "common"), "k", COMMON_LIMIT)})
     spark = mentions.sparkSession
     shared = spark.sparkContext.broadcast(vocab)
 
@@ -279,9 +280,9 @@ def classes(mentions: DataFrame) -> DataFrame:
 
         return s.map(one)
 
-    seen = values.filter("kind = 'ORG'").select(phrase_of("value").alias("p")).filter("p is not null").groupBy("p").count().filter("count >= 2").orderBy(F.desc("count"), "p").limit(PHRASE_LIMIT)
+    seen = values.filter("kind = 'ORG'").select(phrase_of("value").alias("p")).filter("p is not null").groupBy("p").count().filter("count >= 2")
     known_phrases: list[tuple[str, ...]] = []
-    for r in seen.collect():  # most frequent first; a phrase that abbreviates a more frequent one is no kind of its own
+    for r in most_frequent(cut(seen, "phrases"), "count", PHRASE_LIMIT):  # most frequent first; a phrase that abbreviates a more frequent one is no kind of its own
         phrase = tuple(r["p"].split())
         if not any(len(q) == len(phrase) and align(list(phrase), list(q)) < float("inf") for q in known_phrases):
             known_phrases.append(phrase)

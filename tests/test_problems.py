@@ -165,3 +165,14 @@ def test_components(spark):
     edges = spark.createDataFrame([(f"n{k:02d}", f"n{k + 1:02d}") for k in range(10)] + [("n15", "n12")], "a string, b string")
     got = dict(rows(names.components(nodes, edges), "id", "cls"))
     assert {got[f"n{k:02d}"] for k in range(11)} == {"n00"} and got["n15"] == "n12" and got["n19"] == "n19"
+
+
+def test_bounded_results(spark):
+    from layoutgraph.plans.bounded import most_frequent, sample
+
+    df = spark.range(5000).withColumn("n", F.col("id") % 50)
+    got = sample(df, 400, "id")
+    assert 250 < len(got) <= 400 and got == sample(df, 400, "id") and len(sample(df, 5000, "id")) == 5000 and sample(df.limit(0), 5, "id") == []
+    top = most_frequent(df, "n", 250)
+    assert len(top) == 200 and {r["n"] for r in top} == {49, 48}
+    assert most_frequent(df, "n", 99) == [] and most_frequent(df.limit(0), "n", 9) == []
