@@ -115,7 +115,10 @@ class Editor:
                 s = self.score(word, place)
                 if s > 0:
                     i, g, c = place
-                    key = (self._level(word[:i] + c + word[i + len(g) :]), s)  # of several letters, the one that makes a known word
+                    known = self._level(word[:i] + c + word[i + len(g) :])
+                    if g == "rn" and not known:  # any word may hold these; only a known one tells
+                        continue
+                    key = (known, s)  # of several letters, the one that makes a known word
                     if i not in best or key > best[i][0]:
                         best[i] = (key, place)
             found = tuple(best[i][1] for i in sorted(best))
