@@ -13,7 +13,7 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 KINDS = ("heading", "list_item", "code_block", "formula", "table_row")
 _MATH = (
@@ -322,9 +322,10 @@ def covered(pages: list[list[str]], min_run: int = MIN_RUN, min_pages: int = MIN
 
 def _window_hashes(tokens: list[str], size: int) -> np.ndarray:
     base = pd.util.hash_array(np.array(tokens, dtype=object), categorize=True).astype(np.uint64)
-    h = np.zeros(max(0, len(base) - size + 1), np.uint64)
+    n = max(0, len(base) - size + 1)
+    h = np.zeros(n, np.uint64)
     for j in range(size):
-        h = (h ^ base[j : len(base) - size + 1 + j]) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ base[j : n + j]) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(32)
     return h
 
@@ -334,8 +335,9 @@ def unique_text(rows: DataFrame, min_run: int = MIN_RUN, min_pages: int = MIN_PA
     stand on ``min_pages`` distinct pages of its host, and the number of tokens removed.
 
     Hosts of up to BLOCK_TOKENS tokens get one suffix array each. A larger host never meets in one task: its windows
-    of ``min_run`` tokens are counted by hash over all its pages instead, which covers exactly the same tokens. Records
-    without a host count as hosts of their own; a null page counts as page -1.
+    of ``min_run`` tokens are counted by hash over all its pages instead. They run over a page's records in the same
+    order as in the suffix array and so cover exactly the same tokens. Records without a host count as hosts of their
+    own; a null page counts as page -1.
     """
     # a host's size is estimated from characters: at least two of them a token
     clean = F.pandas_udf(lambda s: s.map(clean_text), "string")
@@ -347,9 +349,6 @@ def unique_text(rows: DataFrame, min_run: int = MIN_RUN, min_pages: int = MIN_PA
     large = sizes.filter(F.col("chars") > 2 * BLOCK_TOKENS).select("host")
     schema = "rec_table string, rec_id string, part int, text string, removed int"
 
-    def strip(texts: list[list[str]], masks) -> tuple[list[str], list[int]]:
-        return [" ".join(t for t, m in zip(x, mask) if not m) for x, mask in zip(texts, masks)], [int(mask.sum()) for mask in masks]
-
     def small(key, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["page", "rec_table", "rec_id", "part"])
         streams, at = [], []
@@ -371,36 +370,47 @@ def unique_text(rows: DataFrame, min_run: int = MIN_RUN, min_pages: int = MIN_PA
 
     out = rows.join(large, "host", "left_anti").groupBy("host").applyInPandas(small, schema)
     if not large.isEmpty():
-        big = rows.join(large, "host", "left_semi")
+        # a record with the tokens around it on its page sees every window that touches it; each record has a token, so
+        # as many records as a window has further tokens are enough
+        around = min_run - 1
+        order = Window.partitionBy("host", "page").orderBy("rec_table", "rec_id", "part")
+        words = F.split("text", " ", -1)
+        ends = rows.join(large, "host", "left_semi").withColumns({"head": F.slice(words, 1, around), "tail": F.slice(words, F.greatest(F.size(words) - around + 1, F.lit(1)), around)})
+        before = F.flatten(F.collect_list("tail").over(order.rowsBetween(-max(around, 1), -1)))
+        after = F.flatten(F.collect_list("head").over(order.rowsBetween(1, max(around, 1))))
+        big = cut(ends.select("rec_table", "rec_id", "part", "text", "host", "page", before.alias("before"), after.alias("after")), "pages")
+
+        def context(before, text: str, after) -> tuple[list[str], int, int]:
+            left, own, right = list(before)[max(0, len(before) - around) :], text.split(" "), list(after)[:around]
+            return left + own + right, len(left), len(left) + len(own)
 
         def windows(batches):
             for pdf in batches:
-                for r in pdf.itertuples():
-                    h = np.unique(_window_hashes(r.text.split(" "), min_run)).view(np.int64)
-                    yield pd.DataFrame({"host": r.host, "page": r.page, "h": h})
-
-        repeated = big.mapInPandas(windows, "host string, page int, h long").groupBy("host", "h").agg(F.countDistinct("page").alias("n")).filter(F.col("n") >= min_pages)
-
-        def own(batches):
-            for pdf in batches:
-                for r in pdf.itertuples():
-                    h = np.unique(_window_hashes(r.text.split(" "), min_run)).view(np.int64)
-                    yield pd.DataFrame({"host": r.host, "rec_table": r.rec_table, "rec_id": r.rec_id, "part": r.part, "h": h})
-
-        hits = big.mapInPandas(own, "host string, rec_table string, rec_id string, part int, h long").join(repeated.select("host", "h"), ["host", "h"]).groupBy("rec_table", "rec_id", "part").agg(F.collect_set("h").alias("hs"))
+                at, hs, n = [], [], 0
+                for i, (left, text, right) in enumerate(zip(pdf.before, pdf.text, pdf.after)):
+                    at.append(i)
+                    hs.append(np.unique(_window_hashes(context(left, text, right)[0], min_run)).view(np.int64))
+                    n += len(hs[-1])
+                    if n > 50_000 or i + 1 == len(pdf):
+                        found = pdf.iloc[np.repeat(at, [len(h) for h in hs])][["host", "page", "rec_table", "rec_id", "part"]]
+                        yield found.assign(h=np.concatenate(hs))
+                        at, hs, n = [], [], 0
+
+        found = big.mapInPandas(windows, "host string, page int, rec_table string, rec_id string, part int, h long")
+        repeated = found.groupBy("host", "h").agg(F.countDistinct("page").alias("n")).filter(F.col("n") >= min_pages)
+        hits = found.join(repeated.select("host", "h"), ["host", "h"]).groupBy("rec_table", "rec_id", "part").agg(F.collect_set("h").alias("hs"))
 
         def drop(batches):
             for pdf in batches:
                 texts, removed = [], []
-                for text, hs in zip(pdf.text, pdf.hs):
-                    tokens = text.split(" ")
+                for left, text, right, hs in zip(pdf.before, pdf.text, pdf.after, pdf.hs):
+                    tokens, a, b = context(left, text, right)
                     mask = np.zeros(len(tokens), bool)
                     if hs is not None and len(hs):
                         for s in np.flatnonzero(np.isin(_window_hashes(tokens, min_run).view(np.int64), hs)):
                             mask[s : s + min_run] = True
-                    new, n = strip([tokens], [mask])
-                    texts += new
-                    removed += n
+                    texts.append(" ".join(t for t, m in zip(tokens[a:b], mask[a:b]) if not m))
+                    removed.append(int(mask[a:b].sum()))
                 yield pd.DataFrame({"rec_table": pdf.rec_table, "rec_id": pdf.rec_id, "part": pdf.part, "text": texts, "removed": pd.Series(removed, dtype="int32")})
 
         out = out.unionByName(big.join(hits, ["rec_table", "rec_id", "part"], "left").mapInPandas(drop, schema))

@@ -211,6 +211,32 @@ def test_boilerplate_same_for_large_hosts(spark, monkeypatch):
     assert {r[0]: r[2] for r in small} == {f"b{k}": 15 if k < 8 else 0 for k in range(10)}
 
 
+def test_runs_over_several_blocks_of_a_page(spark, monkeypatch):
+    rng = random.Random(9)
+    notice = "all rights are reserved by the press and no part may be copied".split()  # 13 tokens in blocks of 6 and 7
+    data, pages, n = [], {}, 0
+    for page in range(6):
+        pieces = [[rng.choice("ab") for _ in range(rng.randrange(1, 9))] for _ in range(4)] + [notice[:6], notice[6:]] * (page < 2) + [[f"w{page}-{j}" for j in range(30)], [""]]
+        for words in pieces:
+            data.append((f"b{n:03}", "host", "text", " ".join(words), page, n))
+            pages.setdefault(page, []).append((f"b{n:03}", words))
+            n += 1
+    data.append((f"b{n:03}", "host", "text", " ".join(notice[:7]), 6, n))  # a page shorter than a run
+    pages[6] = [(f"b{n:03}", notice[:7])]
+    records = markup.records(spark.createDataFrame(data, BLOCKS), spark.createDataFrame([], ELEMENTS))
+    want = []
+    for parts, mask in zip(pages.values(), brute_covered([[t for _, words in parts for t in words] for parts in pages.values()], 12, 2)):
+        at = 0
+        for rec, words in parts:
+            own = mask[at : at + len(words)]
+            want.append((rec, " ".join(t for t, m in zip(words, own) if not m), int(sum(own))))
+            at += len(words)
+    assert sum(r[2] for r in want) >= 26
+    assert rows(markup.unique_text(records), "rec_id", "text", "removed") == sorted(want)
+    monkeypatch.setattr(markup, "BLOCK_TOKENS", 10)
+    assert rows(markup.unique_text(records), "rec_id", "text", "removed") == sorted(want)
+
+
 # ---- scan noise ------------------------------------------------------------------------------------------------------
 
 
