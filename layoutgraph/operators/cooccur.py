@@ -80,29 +80,54 @@ def fit_null(item_degrees: dict[int, int], basket_sizes: dict[int, int], rounds:
     return d, x, s, np.vstack([y, sn])
 
 
-def poisson_binomial_tail(q: np.ndarray, m: np.ndarray, k: int, more: int = 80) -> tuple[float, float]:
-    """(mean, P(X >= k)) where X sums m[j] Bernoulli(q[j]). The probabilities of k, k+1, ... follow from the
-    recursion n*P(n) = sum_j t_j*P(n-j), t_j = (-1)^(j-1) * sum m*(q/(1-q))^j; where that is badly conditioned
-    (some odds near or above one, or long recursions) a normal tail with skewness correction is used."""
+def poisson_binomial_tail(q: np.ndarray, m: np.ndarray, k: int) -> tuple[float, float]:
+    """(mean, P(X >= k)) where X sums m[j] Bernoulli(q[j]), exact but for rounding; below 1e-300 that is given.
+
+    Above the mean the distribution is tilted by exp(theta*n) so that it centres near k; its probabilities there are
+    large and come from the characteristic function by a discrete Fourier transform over a window outside which less
+    than 1e-18 lies. Taking the tilt back gives P(n) with full relative precision however small it is."""
     q = np.clip(q, 0.0, 1 - 1e-12)
-    mean, var = float((m * q).sum()), float((m * q * (1 - q)).sum())
+    mean = float((m * q).sum())
     if k <= 0:
         return mean, 1.0
-    odds = q / (1 - q)
-    top = k + more
-    if odds.max(initial=0.0) < 0.2 and top <= 400 and mean < 150:
-        t = np.array([(-1) ** (j - 1) * float((m * odds**j).sum()) for j in range(1, min(top, 40) + 1)])
-        p = np.zeros(top + 1)
-        p[0] = math.exp(float((m * np.log1p(-q)).sum()))
-        for i in range(1, top + 1):
-            w = min(i, len(t))
-            p[i] = max(0.0, float(t[:w] @ p[i - w : i][::-1]) / i)
-        return mean, min(1.0, float(p[k:].sum()) if k > mean else 1 - float(p[:k].sum()))
-    sd = math.sqrt(var) or 1e-12
-    z = (k - 0.5 - mean) / sd
-    skew = float((m * q * (1 - q) * (1 - 2 * q)).sum()) / sd**3
-    tail = 0.5 * math.erfc(z / math.sqrt(2)) + skew * (z * z - 1) * math.exp(-z * z / 2) / (6 * math.sqrt(2 * math.pi))
-    return mean, min(1.0, max(tail, 1e-300))
+    m, q = m[q > 0], q[q > 0]
+    total = int(m.sum())
+    if k > total:
+        return mean, 0.0
+    if k == total:
+        return mean, max(math.exp(float((m * np.log(q)).sum())), 1e-300)
+    theta, tilted, low, high = 0.0, q, 0.0, math.inf
+    if k > mean:
+        theta = math.log(k / mean)
+        for _ in range(100):
+            tilted = 1 / (1 + np.exp(-theta) * (1 - q) / q)
+            off, var = float((m * tilted).sum()) - k, float((m * tilted * (1 - tilted)).sum())
+            if abs(off) <= 0.1 * max(math.sqrt(var), 0.1):
+                break
+            low, high = (theta, high) if off < 0 else (low, theta)
+            theta -= off / var if var > 0 else 0.0
+            if not low < theta < high:
+                theta = (low + high) / 2 if math.isfinite(high) else 2 * low + 1
+    centre, var = float((m * tilted).sum()), float((m * tilted * (1 - tilted)).sum())
+    d = 15 + math.sqrt(200 + 84 * var)  # Bernstein: 2*exp(-d*d / (2*var + 2*d/3)) < 1e-18
+    first, last = max(0, math.floor(centre - d)), min(total, math.ceil(centre + d))
+    if k < first:
+        return mean, 1.0
+    n = last - first + 1
+    t = 2 * math.pi * np.arange(n // 2 + 1) / n
+    phi = np.zeros(len(t), complex)
+    step = max(1, 500_000 // len(q))
+    for i in range(0, len(t), step):
+        half = np.sin(t[i : i + step, None] / 2) ** 2
+        size = 0.5 * np.log1p(np.maximum(-4 * tilted * (1 - tilted) * half, -1 + 1e-300)) @ m
+        angle = np.arctan2(tilted * np.sin(t[i : i + step, None]), 1 - 2 * tilted * half) @ m
+        phi[i : i + step] = np.exp(size - 1j * angle)
+    at = np.arange(k, last + 1)
+    p = np.maximum(np.fft.irfft(phi, n)[at % n], 0.0) if n > 1 else np.ones(len(at))
+    if not theta:
+        return mean, min(1.0, float(p.sum()))
+    log_p = float((m * np.log1p(q * math.expm1(theta))).sum()) - theta * k + math.log(float((p * np.exp(-theta * (at - k))).sum()))
+    return mean, min(1.0, max(math.exp(min(log_p, 0.0)), 1e-300))
 
 
 def surprise(pairs: DataFrame, members: DataFrame) -> DataFrame:

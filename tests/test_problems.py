@@ -88,6 +88,24 @@ def test_tail_is_exact():
         assert math.isclose(mean, float((q * m).sum())) and math.isclose(tail, dist[k:].sum(), rel_tol=1e-6, abs_tol=1e-12)
 
 
+def test_tail_is_exact_for_hot_items():
+    """Odds above 0.2, means above 150 and counts above 320, and far tails of rare items."""
+    rng = np.random.default_rng(2)
+    for q, m in ((rng.random(5), [40, 30, 90, 9, 60]), (rng.random(4) * 0.5, [300, 200, 150, 100]), (np.array([0.9, 0.02]), [170, 400]), (np.array([0.15, 0.01]), [30, 400])):
+        dist = np.ones(1)
+        for p, n in zip(q, m):
+            for _ in range(n):
+                dist = np.convolve(dist, [1 - p, p])
+        mean = float((q * m).sum())
+        for k in {int(mean * f) for f in (0.5, 0.9, 1, 1.1, 1.3, 1.6, 2, 5)} | {sum(m)}:
+            want = dist[k:].sum()
+            if k <= sum(m) and want > 1e-290:
+                assert math.isclose(cooccur.poisson_binomial_tail(q, np.array(m, float), k)[1], want, rel_tol=1e-9)
+    for mean, k in ((150, 224), (160, 250), (150, 330)):  # nearly Poisson
+        want = math.fsum(math.exp(n * math.log(mean) - mean - math.lgamma(n + 1)) for n in range(k, k + 400))
+        assert math.isclose(cooccur.poisson_binomial_tail(np.array([mean / 1e8]), np.array([1e8]), k)[1], want, rel_tol=1e-3)
+
+
 def test_null_keeps_margins():
     d, x, s, ym = cooccur.fit_null({1: 30, 4: 5, 10: 1}, {2: 20, 5: 4})
     y, k = ym
