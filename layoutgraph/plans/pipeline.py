@@ -1,11 +1,14 @@
 """The whole way from parser output to graphs, each phase written once and read by the next.
 
-    python -m layoutgraph.plans.pipeline PARSER_OUTPUT OUT [--max-tokens 512] [--min-weight 1] [--top-n 12]
+    python -m layoutgraph.plans.pipeline PARSER_OUTPUT OUT [--recogniser MODULE:FACTORY] [--max-tokens 512] [--min-weight 1] [--top-n 12]
 """
 
 from __future__ import annotations
 
 import argparse
+import importlib
+import warnings
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,9 +18,13 @@ from layoutgraph.plans.session import build_session
 from layoutgraph.sources import export, layout
 
 
-def run(spark: SparkSession, parsed: DataFrame, out: str, max_tokens: int = 512, min_tokens: int = 50, overlap: int = 2, min_weight: int = 1, top_n: int = 12) -> dict[str, DataFrame]:
+def run(spark: SparkSession, parsed: DataFrame, out: str, max_tokens: int = 512, min_tokens: int = 50, overlap: int = 2, min_weight: int = 1, top_n: int = 12, recogniser: Callable[[], E.Recogniser] | None = None, engine: str = "custom") -> dict[str, DataFrame]:
     """``parsed``: (source_hash, source_doc, json). Writes and returns elements, blocks, chunks, mentions, entities,
-    resolved, co_edges, link_nodes and link_edges below ``out``."""
+    resolved, co_edges, link_nodes and link_edges below ``out``.
+
+    ``recogniser`` makes the recogniser of mentions, once per Python worker; ``engine`` is its name in the mentions.
+    Without one the rule of the fixtures is used, which finds single words in ASCII letters only, and a warning says so.
+    """
     made: dict[str, DataFrame] = {}
 
     def keep(name: str, df: DataFrame) -> DataFrame:
@@ -42,7 +49,12 @@ def run(spark: SparkSession, parsed: DataFrame, out: str, max_tokens: int = 512,
     none = F.array().cast("array<string>")
     chunks = chunks.join(listed(source, "source_element_ids"), "chunk_id", "left").join(listed(P.related_elements(chunks, elements, source), "related_element_ids"), "chunk_id", "left")
     chunks = keep("chunks", chunks.withColumns({c: F.coalesce(c, none) for c in ("source_element_ids", "related_element_ids")}))
-    found = E.rule_mentions(chunks).withColumns({"confidence": F.lit(0.85), "normalized": T.normalize_entity(F.col("text"))})
+    if recogniser is None:
+        warnings.warn("no recogniser given: the fixtures' rule finds capitalised words of ASCII letters only", stacklevel=2)
+        found = E.rule_mentions(chunks).withColumn("confidence", F.lit(0.85))
+    else:
+        found = E.recognise(chunks, recogniser, engine)
+    found = found.withColumn("normalized", T.normalize_entity(F.col("text")))
     found = P.mention_provenance(found, chunks.drop("text")).join(chunks.select("chunk_id", "source_doc", F.col("text").alias("whole")), "chunk_id")
     found = found.withColumn("context", T.context(F.col("whole"), F.col("text"))).withColumn("mention_id", F.xxhash64("chunk_id", "ord")).drop("whole", "block_indices")
     mentions = keep("mentions", found)
@@ -60,6 +72,12 @@ def run(spark: SparkSession, parsed: DataFrame, out: str, max_tokens: int = 512,
     return made
 
 
+def load_factory(name: str) -> Callable[[], E.Recogniser]:
+    """The recogniser factory at ``MODULE:NAME``."""
+    module, _, attribute = name.partition(":")
+    return getattr(importlib.import_module(module), attribute)
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser()
     p.add_argument("parser_output")
@@ -67,10 +85,12 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--max-tokens", type=int, default=512)
     p.add_argument("--min-weight", type=int, default=1)
     p.add_argument("--top-n", type=int, default=12)
+    p.add_argument("--recogniser", metavar="MODULE:FACTORY", help="makes an object with extract(text, chunk_id); without it only the fixtures' rule for ASCII words")
     a = p.parse_args(argv)
+    factory = load_factory(a.recogniser) if a.recogniser else None
     spark = build_session()
     parsed = layout.parser_output(spark, a.parser_output).filter("json is not null").select(F.md5("json").alias("source_hash"), F.col("doc").alias("source_doc"), "json")
-    made = run(spark, parsed, a.out, max_tokens=a.max_tokens, min_weight=a.min_weight, top_n=a.top_n)
+    made = run(spark, parsed, a.out, max_tokens=a.max_tokens, min_weight=a.min_weight, top_n=a.top_n, recogniser=factory, engine=a.recogniser or "rule")
     export.write_graphml(made["link_nodes"], made["link_edges"], f"{a.out}/graphml")
 
 

@@ -55,6 +55,23 @@ def test_pipeline_and_exports(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "json/chunks")).count() == 2
 
 
+class Names:
+    """A recogniser of known names in any script."""
+
+    def extract(self, text, chunk_id):
+        return [(n, kind, 0.7, text.index(n), text.index(n) + len(n)) for n, kind in (("Иван Петров", "PERSON"), ("Банк России", "ORG"), ("清华大学", "ORG"), ("ЦБ", "ORG")) if n in text]
+
+
+def test_pipeline_with_recogniser(spark, tmp_path):
+    doc = [{"type": "text", "text": "# Обзор", "text_level": 1, "page_idx": 0}, {"type": "text", "text": "Иван Петров пишет, что Банк России и 清华大学 изучают риск. ЦБ с этим согласен, как и другие участники рынка.", "page_idx": 0}]
+    parsed = spark.createDataFrame([("c" * 32, "три", json.dumps(doc))], "source_hash string, source_doc string, json string")
+    made = pipeline.run(spark, parsed, str(tmp_path / "out"), recogniser=Names, engine="names")
+    assert rows(made["mentions"], "text", "entity_type", "confidence", "engine") == sorted((n, k, 0.7, "names") for n, k in (("Иван Петров", "PERSON"), ("Банк России", "ORG"), ("清华大学", "ORG"), ("ЦБ", "ORG")))
+    assert ("банк россии", "иван петров", 1) in rows(made["co_edges"], "a", "b", "weight")
+    assert made["link_edges"].filter("relation = 'MENTIONED_IN'").count() >= 4
+    assert pipeline.load_factory("tests.test_pipeline:Names").__name__ == "Names"
+
+
 def test_html_refuses_large_views(spark, tmp_path):
     nodes = spark.range(20).select(F.col("id").cast("string").alias("id"), F.lit("entity").alias("node_type"))
     edges = spark.range(20).select(F.col("id").cast("string").alias("source"), F.lit("x").alias("target"), F.lit("R").alias("relation"), F.lit(1.0).alias("weight"))
