@@ -23,7 +23,6 @@ from layoutgraph.plans.session import cut
 
 COMMON_LIMIT = 20_000  # words with several partners that are broadcast
 PHRASE_LIMIT = 2_000
-MAX_ROUNDS = 40
 
 #: Romanisation, look-alikes by script, titles and legal forms, given names with their short and Russian
 #: forms, words of organisations with their Russian forms.
@@ -237,15 +236,14 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     pointer jumping; each round is cut to the shared folder. ``edges``: (a, b) in one direction."""
     both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     labels = cut(nodes.select("id", F.col("id").alias("cls")), "labels")
-    for _ in range(MAX_ROUNDS):
+    while True:  # labels only fall, so the rounds end
         spread = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("cls").alias("other"))
         new = labels.join(spread.withColumnRenamed("a", "id"), "id", "left").select("id", F.least("cls", F.coalesce("other", "cls")).alias("new"), F.col("cls").alias("old"))
         jump = new.select(F.col("id").alias("new"), F.col("new").alias("further"))
         step = cut(new.join(jump, "new", "left").select("id", F.coalesce("further", "new").alias("cls"), "old"), "labels")
         labels = step.select("id", "cls")
         if step.filter("cls <> old").isEmpty():
-            break
-    return labels
+            return labels
 
 
 def classes(mentions: DataFrame) -> DataFrame:

@@ -79,22 +79,25 @@ def similar_names(names: DataFrame, strict: bool = True) -> DataFrame:
     return inside.unionByName(edits).distinct()
 
 
-def greedy_clusters(names: DataFrame, pairs: DataFrame, rounds: int = 50) -> DataFrame:
+def greedy_clusters(names: DataFrame, pairs: DataFrame) -> DataFrame:
     """(name, canonical): names in order of size (descending), then of first appearance; one that no earlier canonical name
     is similar to is canonical, another belongs to its earliest similar canonical name. Stars, not components.
 
     ``names``: (name, size, first). Decided in rounds: a name whose earlier neighbours are all decided is decided; the
-    rank order makes each round settle at least the first undecided name of every component.
+    rank order makes each round settle at least the first undecided name of every component, so rounds go on until none
+    is left; a name given twice could wait for itself, which is an error.
     """
     order = F.struct((-F.col("size")).alias("s"), F.col("first").alias("f"), F.col("name").alias("n"))
     ranked = cut(names.select("name", order.alias("rk")), "ranks")
     x, y = ranked.select(F.col("name").alias("a"), F.col("rk").alias("ra")), ranked.select(F.col("name").alias("b"), F.col("rk").alias("rb"))
-    both = pairs.join(x, "a").join(y, "b")
+    both = pairs.filter("a <> b").join(x, "a").join(y, "b")
     earlier = cut(both.select(F.when(F.col("ra") < F.col("rb"), F.col("b")).otherwise(F.col("a")).alias("name"), F.when(F.col("ra") < F.col("rb"), F.col("a")).otherwise(F.col("b")).alias("before"), F.least("ra", "rb").alias("rk")), "earlier")
     state = cut(ranked.join(earlier.select("name").distinct().withColumn("waits", F.lit(True)), "name", "left").select("name", F.when(F.col("waits").isNull(), F.col("name")).alias("canonical"), F.col("waits").isNull().alias("done")), "state")
-    for _ in range(rounds):
-        if state.filter("not done").isEmpty():
-            break
+    last = None
+    while undecided := state.filter("not done").count():
+        if undecided == last:
+            raise ValueError(f"{undecided} names wait for one another")
+        last = undecided
         seen = earlier.join(state.select(F.col("name").alias("before"), F.col("done").alias("bdone"), F.col("canonical").alias("bcanon")), "before")
         seen = seen.groupBy("name").agg(F.min(F.when(F.col("bdone") & (F.col("bcanon") == F.col("before")), F.struct("rk", "before"))).alias("star"), F.min(F.when(~F.col("bdone"), F.col("rk"))).alias("open"))
         # settled once no undecided neighbour could come before the earliest canonical one

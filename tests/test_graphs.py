@@ -84,6 +84,14 @@ def test_greedy_clusters_against_plain_python(spark):
         assert set(rows(R.greedy_clusters(df, spark.createDataFrame(list(pairs), "a string, b string")), "name", "canonical")) == want
 
 
+def test_long_chain_of_similar_names(spark):
+    """Each round settles one name of a chain; none may be left without a canonical name."""
+    names = [f"n{k:02}" for k in range(54)]
+    df = spark.createDataFrame([(n, 1, k) for k, n in enumerate(names)], "name string, size long, first long").coalesce(1)
+    pairs = spark.createDataFrame(list(zip(names, names[1:])), "a string, b string").coalesce(1)
+    assert rows(R.greedy_clusters(df, pairs), "name", "canonical") == [(n, names[k - k % 2]) for k, n in enumerate(names)]
+
+
 def test_cooccurrence_graph(spark):
     m = spark.createDataFrame([("c1", "a"), ("c1", "b"), ("c2", "a"), ("c2", "b"), ("c2", "d"), ("c3", "e")], "basket string, item string")
     edges = cograph.edges(m, 2)

@@ -194,3 +194,10 @@ def test_bounded_results(spark):
     top = most_frequent(df, "n", 250)
     assert len(top) == 200 and {r["n"] for r in top} == {49, 48}
     assert most_frequent(df, "n", 99) == [] and most_frequent(df.limit(0), "n", 9) == []
+
+
+def test_components_until_settled(spark, monkeypatch):
+    monkeypatch.setattr(names, "MAX_ROUNDS", 1, raising=False)
+    nodes = spark.createDataFrame([(k,) for k in range(20)], "id long")
+    edges = spark.createDataFrame([(k, k + 1) for k in range(19)], "a long, b long")
+    assert {r[1] for r in rows(names.components(nodes, edges), "id", "cls")} == {0}
