@@ -1,10 +1,11 @@
 """Problem 10: abusive, hateful and sexual content, by non-negative positive-unlabelled learning.
 
 One linear classifier a category, in numpy, over hashed letter n-grams of sentences. Confirmed examples are sentences of
-documents a rater gave the category; everything else is unlabelled, and the risk on it is corrected by the share of
-positives it holds and kept from turning negative. Which sentence of a confirmed document is meant isn't known: the
-first round takes all, later rounds the one the classifier scores highest, and leave out documents where it finds none
-(raters err now and then).
+documents a rater gave the category; the sentences of documents rated clean, among which some positives were overlooked,
+stand for unlabelled text, and the risk on them is corrected by the share of positives and kept from turning negative.
+Both come from a bounded sample of rated documents. Which sentence of a confirmed document is meant isn't known, and
+raters err: the first round picks sentences by how rare their letters are in the whole corpus (counted over all
+documents) and by how much oftener confirmed documents hold them; the second adds what the classifier finds in them.
 
 Letters are compared by skeleton: case, accents, doubled letters, signs and blanks between letters, digits and letters
 of other scripts that look alike are folded before n-grams are taken, so masked spellings meet their plain forms.
@@ -22,14 +23,21 @@ from pyspark.sql import DataFrame, functions as F
 from layoutgraph.plans.bounded import sample
 
 CATEGORIES = ("abusive", "hateful", "sexual")
-BITS = 18
-GRAMS = (4, 7)
+BITS = 18  # cells of the classifier
+CORPUS_BITS = 20  # cells of the corpus table
+PICK_BITS = 22  # cells of the tables that picks are made by
+MIN_GRAMS = 16  # shorter units are scaled as if they had as many
 MAX_LABELLED = 24_000  # rated documents the classifiers are trained on, chosen by hash
-MAX_UNRATED = 4_000  # unrated documents among the unlabelled
-UNLABELLED = 10_000  # unlabelled sentences of a training round, half of them those hardest for the round before
-STEPS = 45
-CLEAN = 30_000  # sentences rated clean among which the hardest are looked for
-FOLDS = 2  # a document's sentences are picked by a classifier that didn't learn from it
+UNLABELLED = 12_000  # sentences of documents rated clean, half of them from the novel layer, weighted back to its share
+STEPS, ROUNDS = 45, 2
+RARE = 0.002  # a 4-gram met fewer times than this share of the documents is rare
+NOVEL = 0.98  # quantile of novelty beyond which a sentence may be what a document was rated for
+LIFT = 8.0  # least lift of a novel sentence
+SUPPORT, SURE = 3.0, 20.0  # documents and lift that tell without novelty
+PRIOR = 3.0  # positives among the unlabelled for each picked one
+FOUND = 0.3  # probability at which a later round picks
+RIVAL = 2.0  # weight of a sentence picked for another category
+_MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 #: Letters of other scripts, digits and signs that look like a letter.
 _ALIKE = {
@@ -77,8 +85,9 @@ def sentences_of(text: str | None) -> list[str]:
     return out
 
 
-def grams(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(hashed n-gram, number of its unit), in no order."""
+def grams(units: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], ...]:
+    """For each of GRAMS: (hash of every n-gram, number of its unit), in the order of units. Four folded letters fill 64
+    bits; a 7-gram is the 4-gram at its start mixed with the one three letters on."""
     global _TABLE
     if _TABLE is None:
         _TABLE = _table()
@@ -92,33 +101,63 @@ def grams(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         fresh = np.ones(len(folded), bool)
         fresh[1:] = (folded[1:] != folded[:-1]) | (owner[1:] != owner[:-1])
         folded, owner = folded[fresh], owner[fresh]
-    hashes, owners = [np.zeros(0, np.uint32)], [np.zeros(0, np.int32)]
-    for n in GRAMS:
-        if len(folded) < n:
-            continue
-        h = np.full(len(folded) - n + 1, n, np.uint64)
-        for k in range(n):
-            h = (h ^ folded[k : len(folded) - n + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
-        inside = owner[: len(h)] == owner[n - 1 :]
-        hashes.append((h[inside] >> np.uint64(64 - BITS)).astype(np.uint32))
-        owners.append(owner[: len(h)][inside])
-    return np.concatenate(hashes), np.concatenate(owners)
+    if len(folded) < 4:
+        none = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        return none, none
+    two = (folded[:-1] << np.uint64(16)) | folded[1:]
+    four = ((two[:-2] << np.uint64(32)) | two[2:]) * _MIX[0]
+    four ^= four >> np.uint64(29)
+    four *= _MIX[1]
+    inside = owner[: len(four)] == owner[3:]
+    seven = (four[:-3] ^ (four[3:] >> np.uint64(7))) * _MIX[2]
+    whole = owner[: len(seven)] == owner[len(owner) - len(seven) :]
+    return (four[inside], owner[: len(four)][inside]), (seven[whole], owner[: len(seven)][whole])
+
+
+def _cells(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h >> np.uint64(64 - bits)).astype(np.int32)
+
+
+def _sums(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows of ``values`` by owner; owners are in order."""
+    out = np.zeros((n, *values.shape[1:]))
+    if len(owner):
+        starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+        out[owner[starts]] = np.add.reduceat(values, starts, axis=0)
+    return out
+
+
+def gram_counts(texts: list[str]) -> np.ndarray:
+    """How often each cell of the corpus table is met by a 4-gram of the texts."""
+    return np.bincount(_cells(grams(texts)[0][0], CORPUS_BITS), minlength=1 << CORPUS_BITS)
+
+
+class Background:
+    """Which 4-grams are rare in the corpus: met fewer times than RARE of its documents. Fixed size."""
+
+    def __init__(self, counts: np.ndarray, documents: int):
+        self.rare = counts < max(1.0, RARE * documents)
+
+    def novelty(self, units: list[str]) -> np.ndarray:
+        """Share of rare 4-grams in each unit; a short unit counts as one of MIN_GRAMS."""
+        h, owner = grams(units)[0]
+        n = np.bincount(owner, minlength=len(units))
+        return np.bincount(owner, weights=self.rare[_cells(h, CORPUS_BITS)], minlength=len(units)) / np.maximum(n, MIN_GRAMS)
 
 
 class Rows:
     """Units as sparse rows, each scaled to unit length."""
 
     def __init__(self, units: list[str]):
-        h, owner = grams(units)
-        self.n = len(units)
+        parts = grams(units)
+        owner = np.concatenate([p[1] for p in parts])
         order = np.argsort(owner, kind="stable")
-        self.index, self.owner = h[order], owner[order]
-        count = np.bincount(self.owner, minlength=self.n)
-        self.scale = 1 / np.sqrt(np.maximum(count, 12))
+        self.n, self.owner = len(units), owner[order]
+        self.index = np.concatenate([_cells(p[0], BITS) for p in parts])[order]
+        self.scale = 1 / np.sqrt(np.maximum(np.bincount(self.owner, minlength=self.n), MIN_GRAMS))
 
     def dot(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.owner, weights=w[self.index], minlength=self.n) * self.scale
+        return _sums(w[self.index], self.owner, self.n) * self.scale
 
     def back(self, g: np.ndarray) -> np.ndarray:
         return np.bincount(self.index, weights=(g * self.scale)[self.owner], minlength=1 << BITS)
@@ -128,21 +167,23 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit_nnpu(positive: Rows, unlabelled: Rows, prior: float, steps: int = STEPS, rate: float = 0.2, decay: float = 1e-6) -> tuple[np.ndarray, float]:
+def fit_nnpu(positive: Rows, unlabelled: Rows, prior: float, weight: np.ndarray | None = None, steps: int = STEPS, rate: float = 0.2, decay: float = 1e-6) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise the PU risk prior*R+(P) + R-(U) - prior*R-(P) under the logistic loss, by Adam over
-    all rows, averaged over the second half of the steps. Where the corrected part R-(U) - prior*R-(P) would turn
-    negative, which only overfitting can do, the correction is left out of that step, so the risk stays non-negative."""
+    all rows, averaged over the second half of the steps. ``weight``: the unlabelled rows' shares of the population.
+    Where the corrected part R-(U) - prior*R-(P) would turn negative, which only overfitting can do, the correction is
+    left out of that step, so the risk stays non-negative."""
+    share = np.full(unlabelled.n, 1 / max(1, unlabelled.n)) if weight is None else weight / weight.sum()
     w, b = np.zeros(1 << BITS), -3.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     mean_w, mean_b, kept = np.zeros_like(w), 0.0, 0
     for t in range(1, steps + 1):
         zp, zu = positive.dot(w) + b, unlabelled.dot(w) + b
         sp, su = _sigmoid(zp), _sigmoid(zu)
-        corrected = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+        corrected = (share * np.logaddexp(0, zu)).sum() - prior * np.logaddexp(0, zp).mean()
         gp = -prior * (1 - sp) / max(1, positive.n)
         if corrected >= 0:
             gp = gp - prior * sp / max(1, positive.n)
-        gu = su / max(1, unlabelled.n)
+        gu = su * share
         grad = positive.back(gp) + unlabelled.back(gu) + decay * w
         gb = gp.sum() + gu.sum()
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
@@ -160,114 +201,141 @@ class Classifier:
     """Weights of the three categories; size fixed by BITS."""
 
     def __init__(self):
-        self.w = np.zeros((len(CATEGORIES), 1 << BITS), np.float32)
+        self.w = np.zeros((1 << BITS, len(CATEGORIES)), np.float32)
         self.b = np.full(len(CATEGORIES), -5.0)
 
     def score(self, units: list[str]) -> np.ndarray:
         """(units x categories) probabilities."""
-        out = np.zeros((len(units), len(CATEGORIES)))
-        if units:
-            h, owner = grams(units)
-            scale = 1 / np.sqrt(np.maximum(np.bincount(owner, minlength=len(units)), 12))
-            for c in range(len(CATEGORIES)):
-                out[:, c] = _sigmoid(np.bincount(owner, weights=self.w[c][h], minlength=len(units)) * scale + self.b[c])
-        return out
-
-
-def train(rated: list[tuple[str, set[str]]], unrated: list[str], rounds: int = 2, seed: int = 5) -> Classifier:
-    """``rated``: (text, labels of its raters). The prior of a category among unlabelled sentences is the share of rated
-    documents with the category over the mean number of sentences of a document, doubled, as such documents are picked
-    apart into several sentences."""
+        total, n = np.zeros((len(units), len(CATEGORIES))), np.zeros(len(units))
+        for h, owner in grams(units) if units else ():
+            total += _sums(self.w[_cells(h, BITS)], owner, len(units))
+            n += np.bincount(owner, minlength=len(units))
+        return _sigmoid(total / np.sqrt(np.maximum(n, MIN_GRAMS))[:, None] + self.b)
+
+
+def _chunks(doc: np.ndarray, size: int = 20_000):
+    """Slices of units, each of whole documents; ``doc`` is in order."""
+    at = 0
+    while at < len(doc):
+        end = min(len(doc), at + size)
+        while end < len(doc) and doc[end] == doc[end - 1]:
+            end += 1
+        yield slice(at, end)
+        at = end
+
+
+def pick_sentences(units: list[str], doc: np.ndarray, rated: np.ndarray, novelty: np.ndarray) -> list[np.ndarray]:
+    """For each category the sentences that confirmed documents were most likely rated for.
+
+    ``doc``: number of each unit's document, in order; ``rated``: (documents x categories). A sentence's lift is the mean
+    over its 7-grams of how much oftener documents of the category hold them than documents without any. Of each
+    document that bears the category, one sentence is picked: the one of highest lift among those whose 7-grams are
+    known from SUPPORT documents of the category on average and whose lift is SURE or more, else the most novel one, if
+    its novelty is beyond the NOVEL quantile and its lift LIFT or more. Others were rated wrongly."""
+    clean = ~rated.any(1)
+    kinds = [*rated.T, clean]
+    held = np.zeros((len(kinds), 1 << PICK_BITS), np.float32)
+    for part in _chunks(doc):
+        h, owner = grams(units[part])[1]
+        key = np.unique(_cells(h, PICK_BITS).astype(np.int64) * len(rated) + doc[part][owner])
+        cells, docs = key // len(rated), key % len(rated)
+        for k, members in enumerate(kinds):
+            np.add.at(held[k], cells[members[docs]], 1)
+    base = (held[-1] + 0.5) / max(1, clean.sum())
+    lift, support = np.zeros((len(units), rated.shape[1])), np.zeros((len(units), rated.shape[1]))
+    for part in _chunks(doc):
+        h, owner = grams(units[part])[1]
+        cell = _cells(h, PICK_BITS)
+        n = np.maximum(np.bincount(owner, minlength=len(units[part])), 1)
+        for c in range(rated.shape[1]):
+            own = held[c][cell]
+            ratio = np.log(np.maximum(own / max(1, rated[:, c].sum()), 1e-6) / base[cell])
+            lift[part, c] = np.bincount(owner, weights=ratio, minlength=len(n)) / n
+            support[part, c] = np.bincount(owner, weights=own, minlength=len(n)) / n
+    least = max(np.quantile(novelty, NOVEL), 1e-9) if len(novelty) else 1.0
+    found = []
+    for c in range(rated.shape[1]):
+        known = (support[:, c] >= SUPPORT) & (lift[:, c] >= np.log(SURE))
+        of = np.flatnonzero(rated[doc, c] & (known | ((novelty >= least) & (lift[:, c] >= np.log(LIFT)))))
+        of = of[np.lexsort((of, -np.where(known[of], lift[of, c], novelty[of]), ~known[of], doc[of]))]
+        found.append(of[np.concatenate([[True], doc[of][1:] != doc[of][:-1]])] if len(of) else of)
+    return found
+
+
+def train(rated: list[tuple[str, set[str]]], background: Background | None = None, seed: int = 5) -> Classifier:
+    """``rated``: (text, labels of its raters). The unlabelled part of the risk are the sentences of documents rated clean,
+    in two layers, novel ones and others, each sampled and weighted back to its share. The prior of a category is PRIOR
+    times the share of its picked sentences, as raters overlook some."""
+    model = Classifier()
+    if not rated:
+        return model
+    background = background or Background(gram_counts([t for t, _ in rated]), len(rated))
     rng = np.random.default_rng(seed)
-    docs = [(sentences_of(t), labels) for t, labels in rated]
-    mean_size = max(1.0, float(np.mean([len(s) for s, _ in docs] or [1])))
-    times: dict[str, int] = {}
-    for sents, labels in docs:
-        if not labels & set(CATEGORIES):
-            for x in sents:
-                times[x] = times.get(x, 0) + 1
-    clean = list(times)
-    if len(clean) > CLEAN:  # what several documents say matters most; of the rest a random part
-        often = [x for x in clean if times[x] > 1][:CLEAN]
-        rest = [x for x in clean if times[x] == 1]
-        clean = often + [rest[i] for i in sorted(rng.choice(len(rest), min(len(rest), CLEAN - len(often)), replace=False))]
-    # as frequent as they are: a sentence that many documents share must weigh as much as that
-    pool = [s for sents, labels in docs if not labels & set(CATEGORIES) for s in sents] + [s for t in unrated for s in sentences_of(t)]
-    if not pool:
-        return Classifier()
-    names = range(len(CATEGORIES))
-    key = lambda s: re.sub(r"\d+", "#", s.lower()).strip(" #.")
-    usual_rate: dict[str, float] = {}
-    total_clean = max(1, sum(not labels & set(CATEGORIES) for _, labels in docs))
-    for sents, labels in docs:
-        if not labels & set(CATEGORIES):
-            for x in {key(s) for s in sents}:
-                usual_rate[x] = usual_rate.get(x, 0.0) + 1 / total_clean
-
-    def telling(c: int) -> set[str]:
-        """Sentences of a category's documents that aren't about as frequent in documents rated clean."""
-        own = [{key(s) for s in sents} for sents, labels in docs if CATEGORIES[c] in labels]
-        rate: dict[str, float] = {}
-        for xs in own:
-            for x in xs:
-                rate[x] = rate.get(x, 0.0) + 1 / max(1, len(own))
-        return {x for x, v in rate.items() if x not in usual_rate or (v * len(own) > 2.5 and v > 5 * usual_rate[x])}
-
-    candidates = {c: telling(c) for c in names}
-    shares = [min(0.2, max(0.008, 2 * sum(n in labels for _, labels in docs) / max(1, len(docs)) / mean_size)) for n in CATEGORIES]
-    # sentences of a category's documents, by document: first all of them
-    picked = {c: {k: [s for s in sents if key(s) in candidates[c]] for k, (sents, labels) in enumerate(docs) if CATEGORIES[c] in labels} for c in names}
-
-    def learn(skip: int | None, hard: list[str], size: int, first: bool) -> Classifier:
-        """A classifier from the picked sentences of all documents but those of one fold."""
-        new = Classifier()
-        base = [pool[i] for i in rng.choice(len(pool), min(len(pool), size - min(len(hard), size // 2)), replace=False)] + hard[: size // 2]
-        own = {c: [s for k, sents in picked[c].items() if skip is None or k % FOLDS != skip for s in sents] for c in names}
-        for c in names:
-            if len(own[c]) >= 2:
-                mine = set(own[c])
-                others = [] if first else [s for o in names if o != c for s in own[o] if s not in mine]
-                new.w[c], new.b[c] = fit_nnpu(Rows(own[c]), Rows(base + others), shares[c])
-        return new
-
-    hard: list[str] = []
-    for r in range(rounds):
-        chosen: dict[int, dict[int, list[str]]] = {c: {} for c in names}
-        worst = np.zeros(len(clean))
-        for fold in range(FOLDS):
-            model = learn(fold, hard, UNLABELLED // FOLDS, r == 0)
-            parts = [model.score(clean[i : i + 4000]) for i in range(0, len(clean), 4000)]
-            ordinary = np.concatenate(parts) if parts else np.full((1, len(CATEGORIES)), 0.5)
-            usual = np.quantile(ordinary, 0.995, axis=0) + 1e-9
-            if len(clean):
-                worst = np.maximum(worst, (ordinary / usual).max(1))
-            for k, (sents, labels) in enumerate(docs):
-                if k % FOLDS == fold and sents and labels & set(CATEGORIES):
-                    p = model.score(sents)
-                    odds = p / usual  # against what ordinary sentences reach
-                    for c in names:
-                        able = np.array([key(s) in candidates[c] for s in sents])
-                        if CATEGORIES[c] not in labels or not able.any():
-                            continue
-                        best = int(np.where(able, odds[:, c], -1.0).argmax())
-                        # one whose best sentence is ordinary, or another category's, was rated wrongly
-                        if odds[best, c] > 1 and (r == 0 or odds[best, c] >= odds[best].max()):
-                            chosen[c][k] = [sents[i] for i in range(len(sents)) if able[i] and odds[i, c] > 1 and p[i, c] >= 0.8 * p[best, c]]
-        picked = {c: chosen[c] or picked[c] for c in names}
-        hard = [clean[i] for i in np.argsort(-worst)[: UNLABELLED // 2]]
-    return learn(None, hard, UNLABELLED, False)
-
-
-def fit(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_unrated: int = MAX_UNRATED) -> Classifier:
-    """Train on at most ``max_labelled`` rated documents (of those rated positive up to half as many) and ``max_unrated`` others."""
+    units, doc = [], []
+    for k, (text, _) in enumerate(rated):
+        found = sentences_of(text)
+        units += found
+        doc += [k] * len(found)
+    if not units:
+        return model
+    doc_of = np.array(doc, np.int64)
+    marks = np.array([[c in labels for c in CATEGORIES] for _, labels in rated])
+    novelty = np.concatenate([background.novelty(units[i : i + 20_000]) for i in range(0, len(units), 20_000)])
+    picked = pick_sentences(units, doc_of, marks, novelty)
+    novel = novelty >= np.quantile(novelty, NOVEL)
+    calm = ~marks.any(1)[doc_of]
+    chosen, weight = [], []
+    for layer in (np.flatnonzero(calm & novel), np.flatnonzero(calm & ~novel)):
+        part = rng.choice(layer, min(len(layer), UNLABELLED // 2), replace=False) if len(layer) else layer
+        chosen.append(part)
+        weight.append(np.full(len(part), len(layer) / max(1, len(part))))
+    pool, share = np.concatenate(chosen), np.concatenate(weight)
+    rows = Rows([units[i] for i in pool])
+    for r in range(ROUNDS):
+        if r:  # what the classifier of the round before finds in documents that bear the category
+            near = np.flatnonzero(marks[doc_of].any(1))
+            p = model.score([units[i] for i in near])
+            best = (p >= p.max(1, keepdims=True)) & (p >= FOUND) & marks[doc_of[near]]
+            picked = [np.union1d(old, near[best[:, c]]) for c, old in enumerate(picked)]
+        for c in range(len(CATEGORIES)):
+            if len(picked[c]):
+                rival = np.setdiff1d(np.concatenate([picked[o] for o in range(len(CATEGORIES)) if o != c]), picked[c])
+                mine = Rows([units[i] for i in picked[c]])
+                others = rows if not len(rival) else Rows([units[i] for i in np.concatenate([pool, rival])])
+                prior = min(0.2, max(0.004, PRIOR * len(picked[c]) / len(units)))
+                model.w[:, c], model.b[c] = fit_nnpu(mine, others, prior, np.concatenate([share, np.full(len(rival), RIVAL)]))
+    return model
+
+
+def corpus(documents: DataFrame) -> Background:
+    """Rare 4-grams, counted over all documents; at most 2^CORPUS_BITS sums reach the driver."""
+
+    def count(batches):
+        total = np.zeros(1 << CORPUS_BITS, np.int64)
+        for pdf in batches:
+            total += gram_counts(pdf.text.tolist())
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"cell": at.astype(np.int32), "n": total[at]})
+
+    texts = documents.filter("text is not null")
+    sums = texts.select("text").mapInPandas(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    # only whether a cell is rare matters, so no more than the frequent ones are sent
+    n = texts.count()
+    frequent = sums.filter(F.col("n") >= max(1.0, RARE * n)).select("cell").toPandas()
+    counts = np.zeros(1 << CORPUS_BITS)
+    counts[frequent["cell"].to_numpy(np.int64)] = max(1.0, RARE * n)
+    return Background(counts, n)
+
+
+def fit(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Classifier:
+    """Train on at most ``max_labelled`` rated documents, up to half of them rated positive."""
     given = labels.filter("doc_id is not null and label is not null").groupBy("doc_id").agg(F.collect_set("label").alias("labels"))
     texts = documents.filter("text is not null and doc_id is not null").select("doc_id", "text")
     positive = F.arrays_overlap("labels", F.array(*[F.lit(c) for c in CATEGORIES]))
     joined = texts.join(given, "doc_id").withColumn("positive", positive)
     best = sample(joined.filter("positive"), max_labelled // 2, "doc_id")
     rated = [(r["text"], set(r["labels"])) for r in best + sample(joined.filter("not positive"), max_labelled - len(best), "doc_id")]
-    rest = sample(texts.join(given, "doc_id", "left_anti"), max_unrated, "doc_id")
-    return train(rated, [r["text"] for r in rest])
+    return train(rated, corpus(documents)) if rated else Classifier()
 
 
 def scores(documents: DataFrame, model: Classifier) -> DataFrame:

@@ -166,7 +166,7 @@ def documents(rng, n, rate=0.2):
 def test_held_out_accuracy():
     rng = random.Random(6)
     rated = [(t, (k or {"none"}) if rng.random() < 0.95 else {rng.choice(["none", "abusive", "hateful", "sexual"])}) for t, k in documents(rng, 1500)]
-    model = toxicity.train(rated, [t for t, _ in documents(rng, 300)])
+    model = toxicity.train(rated)
     hit = miss = extra = 0
     for text, kinds in documents(rng, 800):
         p = model.score(toxicity.sentences_of(text))
@@ -178,9 +178,10 @@ def test_held_out_accuracy():
 
 
 def test_masked_spellings_meet():
-    plainly = toxicity.grams(["jackass brainless"])[0]
+    grams = lambda t: {int(x) for h, _ in toxicity.grams([t]) for x in h}
+    plainly = grams("jackass brainless")
     for masked in ("JACKASS, brainless.", "j a c k a s s b-r-a-i-n-l-e-s-s", "j@ck@$$ brаinlеss", "jaaaackass  brainnnnless", "jаckаss br4inless"):
-        assert set(toxicity.grams([masked])[0]) == set(plainly), masked
+        assert grams(masked) == plainly, masked
 
 
 def test_tables(spark):
@@ -199,6 +200,12 @@ def test_tables(spark):
     assert toxicity.flagged(toxicity.scores(d, none)).count() == 0 and toxicity.scores(d.limit(0), none).count() == 0
 
 
+def test_corpus_counts_all_documents(spark):
+    d = spark.createDataFrame([(k, "The common words stand here." if k % 2 else "Quixotic zebras jump." if k == 4 else "The common words stand here too.", "s") for k in range(2000)] + [(9, None, "s"), (10, "", "s")], "doc_id long, text string, source string")
+    novelty = toxicity.corpus(d).novelty(["The common words", "Quixotic zebras jump.", ""])
+    assert novelty[0] == 0 and novelty[1] > 0.8 and novelty[2] == 0
+
+
 def test_repeated_documents_count_each(spark):
     d = spark.createDataFrame([(1, "Same text.", "s"), (2, "Same text.", "s")], "doc_id long, text string, source string")
     assert toxicity.scores(d, toxicity.Classifier()).count() == 2
