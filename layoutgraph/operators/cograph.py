@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from layoutgraph.operators import cooccur
-from layoutgraph.operators.names import components
+from layoutgraph.operators.components import components
 from layoutgraph.plans.session import cut
 
 

@@ -72,7 +72,7 @@ def similar_names(names: DataFrame, strict: bool = True) -> DataFrame:
     cuts = F.array(F.struct(F.lit(1).alias("at"), third.alias("len")), F.struct((third + 1).alias("at"), third.alias("len")), F.struct((third * 2 + 1).alias("at"), (F.col("n") - third * 2).alias("len")))
     pieces = words.select("name", "n", F.explode(cuts).alias("c")).select("name", F.col("n").alias("ns"), F.col("c.at").alias("at"), F.col("name").substr(F.col("c.at"), F.col("c.len")).alias("piece"))
     lengths = pieces.select(F.length("piece").alias("len")).distinct()
-    spans = words.join(F.broadcast(lengths.limit(1000)), F.col("len") <= F.col("n")).select("name", "n", "len", F.explode(F.sequence(F.lit(1), F.col("n") - F.col("len") + 1)).alias("at")).select(F.col("name").alias("other"), F.col("n").alias("no"), F.col("at").alias("there"), F.col("name").substr(F.col("at"), F.col("len")).alias("piece"))
+    spans = words.join(F.broadcast(lengths), F.col("len") <= F.col("n")).select("name", "n", "len", F.explode(F.sequence(F.lit(1), F.col("n") - F.col("len") + 1)).alias("at")).select(F.col("name").alias("other"), F.col("n").alias("no"), F.col("at").alias("there"), F.col("name").substr(F.col("at"), F.col("len")).alias("piece"))
     met = pieces.join(spans, "piece").filter((F.col("name") != F.col("other")) & (F.col("ns") <= F.col("no")) & (F.col("no") - F.col("ns") <= 2) & (F.abs(F.col("at") - F.col("there")) <= 2)).select("name", "other", "no").distinct()
     distance = F.levenshtein("name", "other", 2)
     edits = met.withColumn("d", distance).filter((F.col("d") >= 0) & (F.col("d") / F.col("no") < 0.2)).select(F.least("name", "other").alias("a"), F.greatest("name", "other").alias("b"))

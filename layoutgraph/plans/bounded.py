@@ -5,26 +5,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Row, functions as F
 
+SPACE = 1 << 40
+
 
 def sample(df: DataFrame, n: int, *on: str) -> list[Row]:
     """At most ``n`` rows, all if there are no more: those whose hash of the columns ``on`` is below a threshold set by
-    the number of rows, so about ``n`` and the same at every run."""
+    the number of rows, the same at every run and partitioning. The threshold aims four standard deviations below ``n``
+    and falls while more than ``n`` rows pass it, so no arbitrary row is cut off; rows alike in ``on`` pass together or
+    not at all. Where even the least hash has more than ``n`` rows, they are alike, and ``n`` of them are given."""
     total = df.count()
-    if total > n:
-        df = df.filter(F.pmod(F.xxhash64(*on), F.lit(1 << 40)) < F.lit(int(n / total * (1 << 40))))
-    return df.limit(n).collect()
+    if total <= n:
+        return df.collect()
+    if n <= 0:
+        return []
+    hashed = df.withColumn("_hash", F.pmod(F.xxhash64(*on), F.lit(SPACE)))
+    share = max(n - 4 * n**0.5, n / 2) / total
+    while share * SPACE >= 1:
+        rows = hashed.filter(F.col("_hash") < int(share * SPACE)).drop("_hash").limit(n + 1).collect()
+        if 0 < len(rows) <= n:
+            return rows
+        if not rows:  # few distinct values, none of them low
+            break
+        share /= 2
+    least = hashed.agg(F.min("_hash")).first()[0]
+    return hashed.filter(F.col("_hash") == least).drop("_hash").limit(n).collect()
 
 
 def most_frequent(df: DataFrame, count: str, n: int) -> list[Row]:
-    """The rows with the highest ``count``, most frequent first: as many whole counts as fit into ``n`` rows. The counts'
-    histogram that decides has one row a distinct count."""
+    """The ``n`` rows with the highest ``count``, most frequent first; equal counts in the order of the other columns. The
+    counts' histogram tells the boundary level; of that level, ordered by the driver's bound, only what fits is sent."""
     levels = df.groupBy(count).agg(F.count(F.lit(1)).alias("_rows")).collect()
-    least, taken = None, 0
+    above, taken, edge, room = None, 0, None, 0
     for level in sorted(levels, key=lambda r: -r[count]):
         if taken + level["_rows"] > n:
+            edge, room = level[count], n - taken
             break
         taken += level["_rows"]
-        least = level[count]
-    if least is None:
-        return []
-    return sorted(df.filter(F.col(count) >= least).collect(), key=lambda r: (-r[count], tuple(r)))
+        above = level[count]
+    rows = df.filter(F.col(count) >= above).collect() if above is not None else []
+    if edge is not None and room > 0:
+        rows += df.filter(F.col(count) == edge).orderBy(*[c for c in df.columns if c != count]).limit(room).collect()
+    return sorted(rows, key=lambda r: (-r[count], tuple(r)))

@@ -6,16 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from layoutgraph.plans import documents, documents_sql, problems
+from layoutgraph.plans import documents, documents_sql
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    return problems.p3_pair_counts(spark, sf).orderBy(F.desc("n_ab"), "a", "b").limit(50)
+    return documents.cooccurrence_edges(spark, sf).orderBy(F.desc("weight"), "a", "b").limit(50)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return problems.QUERIES | documents.QUERIES
+    return documents.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return problems.SQL | documents_sql.SQL
+    return documents_sql.SQL

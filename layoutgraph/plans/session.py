@@ -28,11 +28,17 @@ def build_session(app: str = "layoutgraph", master: str | None = None, **extra:
     return builder.getOrCreate()
 
 
+_written: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one of our own only where none is set."""
+    """The folder of spark.checkpoint.dir. Where none is set, a temporary one of our own in local mode; on a cluster, whose
+    executors don't share the driver's disk, an error."""
     sc = spark.sparkContext
     folder = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="layoutgraph-")
         sc.setCheckpointDir(folder)
         atexit.register(shutil.rmtree, folder, True)
@@ -40,7 +46,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_table_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/layoutgraph-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/layoutgraph-{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the intermediate tables written so far in this process. To be called when no frame built on them is still
+    needed, such as at the end of a job."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def cut(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:

@@ -47,6 +47,6 @@ def test_partitions_do_not_matter(spark, data):
     got = []
     for n in ("1", "64"):
         spark.conf.set("spark.sql.shuffle.partitions", n)
-        got.append([rows(catalogue.queries()[q](spark, data), "*") for q in ("section_chunks", "entity_clusters", "p2_found", "dedup_entities")])
+        got.append([rows(catalogue.queries()[q](spark, data), "*") for q in ("section_chunks", "entity_clusters", "dedup_entities")])
     spark.conf.set("spark.sql.shuffle.partitions", before)
     assert got[0] == got[1]
