@@ -1,4 +1,4 @@
-"""Queries of the text operators and the SQL of those that SQL can express."""
+"""Queries of the operators of this package and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from layoutgraph.llm import language, leakage, markup, ocr, packing, sentences, toxicity
+from layoutgraph.llm import language, leakage, markup, ocr, packing, problems, sentences, toxicity
 from layoutgraph.sources.tables import table
 
 
@@ -75,6 +75,13 @@ def p9_leaks(spark: SparkSession, sf: str) -> DataFrame:
     return leakage.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
 
 
+def p9_clean(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's length before and after its repeats of test passages are cut out."""
+    documents = table(spark, sf, "documents")
+    cleaned = leakage.without_leaks(documents.withColumn("before", F.length("text")), leakage.leaks(documents, table(spark, sf, "eval_items")))
+    return cleaned.select("doc_id", "before", F.length("text").alias("after"))
+
+
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return p9_leaks(spark, sf).select("doc_id", "item_id").distinct()
 
@@ -92,12 +99,12 @@ def p10_rates(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.rates(p10_scores(spark, sf))
 
 
-_QUERIES = [p1_found, p1_languages, p1_runs, p4_found, p4_sentences, p6_found, p6_units, p6_clean, p7_found, p7_repaired, p8_packing, p8_fill, p9_found, p9_leaks, p10_found, p10_scores, p10_rates]
+_QUERIES = [p1_found, p1_languages, p1_runs, p4_found, p4_sentences, p6_found, p6_units, p6_clean, p7_found, p7_repaired, p8_packing, p8_fill, p9_found, p9_leaks, p9_clean, p10_found, p10_scores, p10_rates]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in _QUERIES}
+    return problems.QUERIES | {f.__name__: f for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return problems.SQL

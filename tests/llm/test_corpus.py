@@ -51,6 +51,13 @@ def test_pack(spark):
     assert packing.pack(sizes.limit(0), kinds).count() == 0
 
 
+def test_every_kind_is_packed(spark):
+    sizes = spark.createDataFrame([(1, 5), (2, 30)], "doc_id long, n_tokens long")
+    kinds = spark.createDataFrame([(f"k{k}", 10 + k) for k in range(1500)], "container_kind string, capacity_tokens int")
+    out = packing.pack(sizes, kinds)
+    assert out.select("container_kind").distinct().count() == 1500 and packing.fill_report(out, kinds).count() == 1500
+
+
 def test_token_counts(spark):
     docs = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, "hello world", "x"), (4, "слово " * 5000, "x")], "doc_id long, text string, n_tokens string")
     got = dict(rows(packing.token_counts(docs), "doc_id", "n_tokens"))
@@ -105,6 +112,35 @@ def test_leak_blocks_agree(spark, monkeypatch):
     assert rows(leakage.leaks(d, i), "*") == whole and len(whole) == 12
 
 
+def test_word_spans_are_the_normal_words():
+    rng = random.Random(11)
+    for _ in range(3000):
+        text = "".join(rng.choice("aB9_ -‐¬\u00ad\u200b'’\n\t.İß字я") for _ in range(rng.randrange(0, 25)))
+        spans = leakage.word_spans(text)
+        if len(text.lower()) == len(text):
+            assert [w for w, _, _ in spans] == leakage.normal_words(text), text
+        assert all(0 <= a < b <= len(text) for _, a, b in spans) and [a for _, a, _ in spans] == sorted(a for _, a, _ in spans)
+    assert [w for w, _, _ in leakage.word_spans("İzmir liqui-\n dity")] == leakage.normal_words("İzmir liqui-\n dity")
+
+
+def test_short_words_and_removal(spark):
+    letters = "a b c d e f g h i j k l m n o p"
+    d = spark.createDataFrame([(1, letters, "x"), (2, f"Before. {letters.upper()} after.", "y"), (3, "none here", "z"), (4, None, "z")], "doc_id long, text string, source string")
+    i = spark.createDataFrame([(7, letters), (8, letters)], "item_id long, passage string")
+    found = leakage.leaks(d, i)
+    assert rows(found, "doc_id", "item_id", "start_char", "end_char") == [(1, 7, 0, 31), (1, 8, 0, 31), (2, 7, 8, 39), (2, 8, 8, 39)]
+    assert rows(leakage.without_leaks(d, found), "doc_id", "text", "source") == [(1, "", "x"), (2, "Before.  after.", "y"), (3, "none here", "z"), (4, None, "z")]
+    assert rows(leakage.without_leaks(d, found, whole=True), "doc_id") == [(3,), (4,)]
+
+
+def test_phrase_of_many_passages(spark):
+    rng = random.Random(12)
+    common = "one two three four five six"
+    items = [(k, f"{common} {passage(rng, 20)}") for k in range(300)]
+    d = spark.createDataFrame([(k, p) for k, p in items[:5]] + [(900, " ".join([common] * 50))], "doc_id long, text string")
+    assert rows(leakage.leaks(d, spark.createDataFrame(items, "item_id long, passage string")), "doc_id", "item_id") == [(k, k) for k in range(5)]
+
+
 def test_seed_bound():
     """Fifteen or more words with at most one error in eight always hold MIN_SEEDS seeds."""
     rng = random.Random(5)
