@@ -13,31 +13,42 @@ import os
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from layoutgraph.plans.session import cut
+
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+MAX_RANK_FILE = 50_000_000
+TASK_GROUPS = 50  # groups of a task in a large table
 #: Fixed value: the published split pattern of the byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 _encoders: dict[str, object] = {}
 
 
-def encoder(path: str):
-    """The encoder of a .tiktoken rank file, loaded once per worker."""
+def encoder(path: str, data: bytes | None = None):
+    """The encoder of a .tiktoken rank file, loaded once per worker; ``data`` is the file's content where it isn't at hand."""
     if path not in _encoders:
         import base64
 
         import tiktoken
 
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        if data is None:
+            with open(path, "rb") as f:
+                data = f.read()
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
         _encoders[path] = tiktoken.Encoding(os.path.basename(path), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
     return _encoders[path]
 
 
 def token_counts(documents: DataFrame, path: str = TOKENIZER) -> DataFrame:
-    """(doc_id, n_tokens); a null or empty text has 0 tokens."""
+    """(doc_id, n_tokens); a null or empty text has 0 tokens. The driver reads the rank file and sends it to the executors,
+    which need no copy of their own; a file above MAX_RANK_FILE bytes is refused."""
+    if os.path.getsize(path) > MAX_RANK_FILE:
+        raise ValueError(f"{path} is larger than {MAX_RANK_FILE} bytes")
+    with open(path, "rb") as f:
+        shared = documents.sparkSession.sparkContext.broadcast(f.read())
 
     def count(batches):
-        enc = encoder(path)
+        enc = encoder(path, shared.value)
         for pdf in batches:
             sizes = [len(enc.encode_ordinary(t)) if t else 0 for t in pdf.text]
             yield pd.DataFrame({"doc_id": pdf.doc_id, "n_tokens": pd.Series(sizes, dtype="int64")})
@@ -93,9 +104,11 @@ def pack(sizes: DataFrame, containers: DataFrame, group_size: int = 4000, seed:
     Result: container_kind, container_id, doc_id, part, token_start, token_end (end exclusive). An item larger than
     the capacity is cut into full containers and one remainder, which is packed like any other item; no other item is
     split. Items of no tokens take a place with token_start = token_end = 0. Repeated rows are packed each; a null
-    doc_id is packed too. A null or non-positive capacity, or a null container_kind, takes no items.
+    doc_id is packed too. A null or non-positive capacity, or a null container_kind, takes no items. Token counts are
+    written once, so texts are tokenised once; ``containers`` is a list of kinds, all of which are packed.
     """
-    kinds = [(r["container_kind"], int(r["capacity_tokens"])) for r in containers.filter("container_kind is not null and capacity_tokens > 0").select("container_kind", "capacity_tokens").distinct().orderBy("container_kind").limit(1000).collect()]
+    sizes = cut(sizes.select("doc_id", "n_tokens"), "sizes")
+    kinds = [(r["container_kind"], int(r["capacity_tokens"])) for r in containers.filter("container_kind is not null and capacity_tokens > 0").select("container_kind", "capacity_tokens").distinct().orderBy("container_kind", "capacity_tokens").collect()]
     groups = max(1, -(-sizes.count() // group_size))
     keyed = sizes.select("doc_id", "n_tokens", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit(seed)), F.lit(groups)).alias("grp"))
 
@@ -115,11 +128,13 @@ def pack(sizes: DataFrame, containers: DataFrame, group_size: int = 4000, seed:
             out += [(kind, f"{key[0]}-{b}", doc, part, s, n) for (doc, part, s, n), b in zip(pieces, where)]
         return pd.DataFrame(out, columns=["container_kind", "container_id", "doc_id", "part", "token_start", "token_end"])
 
-    return keyed.groupBy("grp").applyInPandas(place, "container_kind string, container_id string, doc_id long, part long, token_start long, token_end long")
+    # a number given keeps small groups, which are long work, from being put into one task
+    tasks = min(groups, max(4 * keyed.sparkSession.sparkContext.defaultParallelism, groups // TASK_GROUPS))
+    return keyed.repartition(tasks, "grp").groupBy("grp").applyInPandas(place, "container_kind string, container_id string, doc_id long, part long, token_start long, token_end long")
 
 
 def fill_report(placed: DataFrame, containers: DataFrame) -> DataFrame:
     """Per kind: containers used, tokens placed, share of the room that is filled."""
     used = placed.groupBy("container_kind").agg(F.countDistinct("container_id").alias("containers"), F.sum(F.col("token_end") - F.col("token_start")).alias("tokens"))
     room = F.col("containers") * F.col("capacity_tokens")
-    return used.join(F.broadcast(containers.select("container_kind", "capacity_tokens").distinct().limit(1000)), "container_kind").select("container_kind", "capacity_tokens", "containers", "tokens", F.round(F.col("tokens") / room, 4).alias("filled"))
+    return used.join(containers.select("container_kind", "capacity_tokens").distinct(), "container_kind").select("container_kind", "capacity_tokens", "containers", "tokens", F.round(F.col("tokens") / room, 4).alias("filled"))
