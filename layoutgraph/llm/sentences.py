@@ -1,22 +1,30 @@
 """Problem 4: sentence boundaries in any script, by a hidden-event n-gram language model.
 
 Boundary events are hidden tokens between words. The model holds P(event | two words before) and P(next word |
-event), each interpolated down to word shapes. It is trained here without labels, by expectation
-maximisation on a bounded sample of the texts themselves: ends and starts of texts are certain boundaries, every other
-candidate gets its forward-backward posterior as a fractional count. Candidates are places after sentence-final
-punctuation, and in text without such punctuation (Thai) after blanks. Places inside matched quotation marks or
-brackets are no candidates, so a quoted remark stays in its sentence.
+event), each interpolated down to word shapes. It is trained here without labels, by expectation maximisation on counts
+over all texts: every place is brought to its key (the words around it; places one word apart form one key), keys are
+counted once over the whole corpus, and each round reads the counts. Ends and starts of texts are certain boundaries,
+every other place gets its forward-backward posterior as a fractional count. The model is a table of CELLS hashed
+counts, so its size doesn't follow the corpus.
+
+Places are those after sentence-final punctuation, and in text without such punctuation (Thai) after blanks. A stretch of
+LONG words or more without any final sign is unpunctuated: there every gap between words (characters, in scripts without
+blanks) is a place, judged by how often the word before ends and the word after starts a unit in the corpus. Places inside
+matched quotation marks or brackets are none, so a quoted remark stays in its sentence. A word is known by its last 40
+characters on the left of a place and its first 24 on the right.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter
+from zlib import crc32
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from layoutgraph.plans.bounded import sample as bounded_sample
+from layoutgraph.plans.session import cut
 
 #: Sentence-final signs, closing and paired signs, the Thai range.
 _FINAL, _WIDE, _CLOSE, _THAI = ".!?…।॥", "。！？", "\"'»”“’)\\]}」』）】*_", "฀-๿"
@@ -31,9 +39,16 @@ _DIGITS = re.compile(r"\d+(?:[.,:]\d+)*")
 _INITIALS = re.compile(r"^[\"«„“(]*(?:[^\W\d_]\.){1,3}$")
 _TITLE_END = re.compile(r"\n[ \t]*\n")
 _WIDE_CHAR = re.compile(r"[぀-ヿ㐀-鿿＀-￯]")
+_UNSPACED = f"぀-ヿ㐀-鿿{_THAI}"
+_GAP_TOKEN = re.compile(rf"[{_UNSPACED}][\u0e31\u0e34-\u0e3a\u0e47-\u0e4e]*|[^\s{_UNSPACED}]+")
+_RUN = re.compile(rf"[{_UNSPACED}]{{2,}}")
+_SIGNS = ".!?…।॥。！？,;:、，；：\"'»«”“„’()[]{}」「』『）（】【*_—–-"
+_ANY_FINAL = re.compile(f"[{_FINAL}{_WIDE}]")
 
-SAMPLE = 24_000  # texts the model is trained on, chosen by hash
+CELLS = 1 << 22  # hashed counts of the model
 ROUNDS = 6
+LONG = 60  # words (two characters of an unspaced script count as one) without a final sign
+GAP = 0.9  # posterior asked for at a gap of an unpunctuated stretch
 STRICT, SEEN = 0.98, 5.0  # where a blank alone would end a sentence: posterior asked for, and starts seen with the next word
 
 
@@ -151,31 +166,85 @@ def _ends(place) -> bool:
     return place[1].rstrip(_CLOSE)[-1:] in _FINAL + _WIDE or bool(_HAS_THAI.match(place[3])) or place[1] == "<init>"
 
 
+def gap_word(piece: str, last: bool) -> str:
+    """What a gap knows of the text beside it: the word without signs, in lower case, or two characters of an unspaced
+    script."""
+    word = piece.strip().strip(_SIGNS)
+    if word and ("\u0e00" <= word[-1 if last else 0] < "\u0e80" or _WIDE_CHAR.match(word[-1 if last else 0])):
+        return word[-2:] if last else word[:2]
+    return _symbol(word).lower()
+
+
+def _cell(key: str) -> int:
+    return crc32(key.encode("utf-8", "surrogatepass")) & (CELLS - 1)
+
+
+class Counts:
+    """Weights of (no boundary, boundary) by hashed key, and their totals over words and over gaps."""
+
+    def __init__(self):
+        self.table = np.zeros((CELLS, 2), np.float32)
+        self.total = np.zeros(4)  # next words without and with a boundary before; gaps, boundaries among them
+
+    def add(self, w1: str, w2: str, nxt: str, p: float, n: float, starts: bool = True, gaps: bool = False) -> None:
+        yes, no = n * p, n * (1 - p)
+        for history in (f"3{w2}\x1f{w1}", f"2{w1}", f"1{w1[-2:]}"):
+            c = _cell(history)
+            self.table[c, 0] += no
+            self.table[c, 1] += yes
+        if nxt:
+            for key in ("n" + nxt, "s" + _shape(nxt)):
+                c = _cell(key)
+                if starts:
+                    self.table[c, 1] += yes
+                self.table[c, 0] += no
+            if starts:
+                self.total[1] += yes
+            self.total[0] += no
+        if gaps and p > 0.01:
+            self.gap_end(w1, yes)
+            if nxt:
+                self.gap_start(nxt, yes)
+
+    def first(self, word: str, n: float, gaps: bool = False) -> None:
+        for key in ("n" + word, "s" + _shape(word)):
+            self.table[_cell(key), 1] += n
+        self.total[1] += n
+        if gaps:
+            self.gap_start(word, n)
+
+    def gap_end(self, w1: str, n: float) -> None:
+        self.table[_cell("e" + gap_word(w1, True)), 1] += n
+        self.total[3] += n
+
+    def gap_start(self, nxt: str, n: float) -> None:
+        self.table[_cell("b" + gap_word(nxt, False)), 1] += n
+
+    def word(self, word: str, n: float) -> None:
+        self.table[_cell("e" + word), 0] += n
+        self.table[_cell("b" + word), 0] += n
+        self.total[2] += n
+
+    def __getstate__(self):
+        at = np.flatnonzero(self.table.any(1)).astype(np.int32)
+        return {"at": at, "values": self.table[at], "total": self.total}
+
+    def __setstate__(self, state):
+        self.table = np.zeros((CELLS, 2), np.float32)
+        self.table[state["at"]] = state["values"]
+        self.total = state["total"]
+
+
 class BoundaryModel:
     """Interpolated n-gram counts with hidden boundary events."""
 
-    def __init__(self):
-        self.event = defaultdict(lambda: [0.0, 0.0])  # history -> weight of (no boundary, boundary)
-        self.start: dict[str, float] = defaultdict(float)  # word or shape after a boundary
-        self.inner: dict[str, float] = defaultdict(float)  # the same without one
-        self.total = [0.0, 0.0]
+    def __init__(self, counts: Counts):
+        self.counts = counts
         self.memo: dict[tuple[str, str, str], float] = {}
 
-    def add(self, w1: str, w2: str, nxt: str, p: float, starts: bool = True) -> None:
-        tail = "<" + w1[-2:] if len(w1) > 1 else "<" + w1
-        for history in ((w2, w1), w1, tail):
-            c = self.event[history]
-            c[0] += 1 - p
-            c[1] += p
-        if nxt:
-            if starts:
-                self.start[nxt] += p
-                self.start["<" + _shape(nxt)] += p
-                self.total[1] += p
-            if p < 1:
-                self.inner[nxt] += 1 - p
-                self.inner["<" + _shape(nxt)] += 1 - p
-                self.total[0] += 1 - p
+    def seen(self, nxt: str) -> float:
+        """How often units start with the word."""
+        return float(self.counts.table[_cell("n" + nxt), 1])
 
     def odds(self, w1: str, w2: str, nxt: str) -> float:
         """P(boundary, next word | history) : P(no boundary, next word | history)."""
@@ -183,18 +252,18 @@ class BoundaryModel:
         found = self.memo.get(key)
         if found is not None:
             return found
-        tail = "<" + w1[-2:] if len(w1) > 1 else "<" + w1
+        table, total = self.counts.table, self.counts.total
         p = 0.5
-        for history, k in ((tail, 2.0), (w1, 3.0), ((w2, w1), 3.0)):
-            c = self.event.get(history)
-            if c:
-                p = (c[1] + k * p) / (c[0] + c[1] + k)
-        shape = "<" + _shape(nxt)
+        for history, k in ((f"1{w1[-2:]}", 2.0), (f"2{w1}", 3.0), (f"3{w2}\x1f{w1}", 3.0)):
+            no, yes = table[_cell(history)].tolist()
+            if no or yes:
+                p = (yes + k * p) / (no + yes + k)
+        n_shape, b_shape = table[_cell("s" + _shape(nxt))].tolist()
+        n_word, b_word = table[_cell("n" + nxt)].tolist()
         word = 0.02  # share of a word within its shape, the same for both events
-        b_shape = (self.start.get(shape, 0.0) + 0.1) / (self.total[1] + 2)
-        n_shape = (self.inner.get(shape, 0.0) + 0.1) / (self.total[0] + 2)
-        b = (self.start.get(nxt, 0.0) + 3 * b_shape * word) / (self.total[1] + 3)
-        n = (self.inner.get(nxt, 0.0) + 3 * n_shape * word) / (self.total[0] + 3)
+        b_shape, n_shape = (b_shape + 0.1) / (total[1] + 2), (n_shape + 0.1) / (total[0] + 2)
+        b = (b_word + 3 * b_shape * word) / (total[1] + 3)
+        n = (n_word + 3 * n_shape * word) / (total[0] + 3)
         p = min(max(p, 1e-4), 1 - 1e-4)
         value = p * b / max((1 - p) * n, 1e-12)
         if len(self.memo) > 500_000:
@@ -202,6 +271,17 @@ class BoundaryModel:
         self.memo[key] = value
         return value
 
+    def gap_odds(self, left: str, right: str) -> float:
+        """P(boundary) : P(none) at a gap, from how often the word before ends a unit and the word after starts one."""
+        table, total = self.counts.table, self.counts.total
+        prior = min(max((total[3] + 0.1) / (total[2] + 2), 1e-4), 0.4)
+        out = (1 - prior) / prior
+        for key in ("e" + left, "b" + right):
+            every, ends = table[_cell(key)].tolist()
+            p = (min(ends, every) + 2 * prior) / (every + 2)
+            out *= p / (1 - min(p, 0.999))
+        return out
+
     def posteriors(self, places: list[tuple[int, str, str, str, bool]]) -> list[float]:
         """Forward-backward over the candidates. Only a candidate one word after another depends on its event: the
         word before it then follows either that boundary or the word in front of it."""
@@ -223,44 +303,74 @@ class BoundaryModel:
         steps = []
         for k, (_, w1, w2, nxt, _) in enumerate(places):
             free = self.odds(w1, w2, nxt)
-            tied = self.odds(w1, "<b>", nxt) if k else free
-            steps.append(((1 / (1 + free), free / (1 + free)), (1 / (1 + tied), tied / (1 + tied))))
-        forward = [steps[0][0]]
-        for s in steps[1:]:
-            a = forward[-1]
-            f = tuple(a[0] * s[0][e] + a[1] * s[1][e] for e in (0, 1))
-            z = sum(f) or 1.0
-            forward.append((f[0] / z, f[1] / z))
-        backward, out = (1.0, 1.0), []
-        for k in range(len(steps) - 1, -1, -1):
-            f = forward[k]
-            z = f[0] * backward[0] + f[1] * backward[1] or 1.0
-            out.append(f[1] * backward[1] / z)
-            s = steps[k]
-            backward = tuple(s[e][0] * backward[0] + s[e][1] * backward[1] for e in (0, 1))
-        return out[::-1]
+            steps.append((free, self.odds(w1, "<b>", nxt) if k else free))
+        return forward_backward(steps)
+
+    def gaps(self, text: str, low: int, high: int) -> list[int]:
+        """Boundaries in a stretch without final signs."""
+        spans = quoted_spans(text[low:high]) if _QUOTE.search(text, low, high) else []
+        tokens = [m.span() for m in _GAP_TOKEN.finditer(text, low, high)]
+        steps, at = [], []
+        for (a0, b0), (a1, b1) in zip(tokens, tokens[1:]):
+            if any(x < a1 - low <= y for x, y in spans):
+                continue
+            # two characters of an unspaced script, else the word
+            odds = self.gap_odds(gap_word(text[max(low, min(a0, b0 - 2)) : b0], True), gap_word(text[a1 : max(b1, a1 + 2)], False))
+            steps.append((odds, odds * 0.05))
+            at.append(b0)
+        return [b for b, p in zip(at, forward_backward(steps)) if p > GAP]
 
     def split(self, text: str, low: int, high: int, threshold: float = 0.5, cut_start: bool = False, cut_end: bool = False) -> list[tuple[int, int]]:
         """Units of text[low:high], each from its first to its last non-blank character."""
         places = candidates(text, low, high, cut_start, cut_end)
-        cuts = [c[0] for c, p in zip(places, self.posteriors(places)) if p > (threshold if _ends(c) else STRICT) and (_ends(c) or self.start.get(c[3], 0.0) >= SEEN)] if places else []
+        cuts = [c[0] for c, p in zip(places, self.posteriors(places)) if p > (threshold if _ends(c) else STRICT) and (_ends(c) or self.seen(c[3]) >= SEEN)] if places else []
         units, a = [], low
         for b in (*cuts, high):
-            piece = text[a:b]
-            inner = piece.strip()
-            if inner:
-                start = a + len(piece) - len(piece.lstrip())
-                units.append((start, start + len(inner)))
-            a = b
+            if b - a > 2 * LONG and not _ANY_FINAL.search(text, a, b) and _words(text, a, b) >= LONG:
+                inner = self.gaps(text, a, b)
+            else:
+                inner = ()
+            for end in (*inner, b):
+                piece = text[a:end]
+                bare = piece.strip()
+                if bare:
+                    start = a + len(piece) - len(piece.lstrip())
+                    units.append((start, start + len(bare)))
+                a = end
         return units
 
     def __getstate__(self):
-        return {"event": {k: tuple(v) for k, v in self.event.items()}, "start": dict(self.start), "inner": dict(self.inner), "total": self.total}
+        return {"counts": self.counts}
 
     def __setstate__(self, state):
         self.__dict__.update(state, memo={})
 
 
+def _words(text: str, a: int, b: int) -> float:
+    return sum(0.5 if m.end() - m.start() == 1 and not m.group().isascii() else 1 for m in _GAP_TOKEN.finditer(text, a, b))
+
+
+def forward_backward(steps: list[tuple[float, float]]) -> list[float]:
+    """Posteriors of boundary events in a row; a step holds the odds of a boundary after none and after a boundary."""
+    if not steps:
+        return []
+    chance = [tuple((1 / (1 + o), o / (1 + o)) for o in s) for s in steps]
+    forward = [chance[0][0]]
+    for s in chance[1:]:
+        a = forward[-1]
+        f = tuple(a[0] * s[0][e] + a[1] * s[1][e] for e in (0, 1))
+        z = sum(f) or 1.0
+        forward.append((f[0] / z, f[1] / z))
+    backward, out = (1.0, 1.0), []
+    for k in range(len(chance) - 1, -1, -1):
+        f = forward[k]
+        z = f[0] * backward[0] + f[1] * backward[1] or 1.0
+        out.append(f[1] * backward[1] / z)
+        s = chance[k]
+        backward = tuple(s[e][0] * backward[0] + s[e][1] * backward[1] for e in (0, 1))
+    return out[::-1]
+
+
 def body_start(text: str) -> int:
     """Where the body of a chunk begins: after the first blank line (0 without one)."""
     m = _TITLE_END.search(text)
@@ -294,51 +404,126 @@ def _first_guess(w1: str, w2: str, nxt: str) -> float:
     return 0.95
 
 
-def train(texts: list[tuple[str, int, bool, bool]], rounds: int = ROUNDS) -> BoundaryModel:
-    """``texts``: (text, where it starts, start is certain, end is certain). In the first round only certain starts say
-    which words begin a unit."""
-    prepared = []
+def observe(texts: list[tuple[str, int, bool, bool]]) -> Counter:
+    """``texts``: (text, where it starts, start is certain, end is certain). Counts of keys: chains of places, certain
+    starts and ends, and the words of the text."""
+    out: Counter = Counter()
     for text, low, sure_start, sure_end in texts:
         high = len(text.rstrip())
         if high <= low:
             continue
-        places = candidates(text, low, high, not sure_start, not sure_end)
-        end = _left(text, high, low)
-        prepared.append((places, _right(text, low) if sure_start else None, end if sure_end else None))
-    model = BoundaryModel()
-    for r in range(rounds):
-        new = BoundaryModel()
-        for places, first, end in prepared:
-            if r:
-                posterior = model.posteriors(places)
-            else:
-                posterior = [_first_guess(c[1], "" if c[4] else c[2], c[3]) for c in places]
+        chain: list[str] = []
+        for _, w1, w2, nxt, tied in candidates(text, low, high, not sure_start, not sure_end):
+            if chain and not tied:
+                out["c" + "\x1e".join(chain)] += 1
+                chain = []
+            chain.append(f"{w1}\x1f{w2}\x1f{nxt}")
+        if chain:
+            out["c" + "\x1e".join(chain)] += 1
+        if sure_start:
+            out["s" + _right(text, low)] += 1
+        if sure_end:
+            w1, w2, _ = _left(text, high, low)
+            out[f"e{w1}\x1f{w2}"] += 1
+        body = text[low:high]
+        if _WIDE_CHAR.search(body) or _HAS_THAI.search(body):
+            for run in _RUN.findall(body):
+                out.update(["w" + run[k : k + 2] for k in range(len(run) - 1)])
+            body = _RUN.sub(" ", body)
+        out.update(["w" + gap_word(w[-40:], True) for w in body.split()])
+    return out
+
+
+def expect(model: BoundaryModel | None, keys: list[str], times: list[int], last: bool) -> Counts:
+    """Expected counts under ``model``; without one, from the first guess, where only certain starts say which words begin a
+    unit."""
+    new = Counts()
+    for key, n in zip(keys, times):
+        kind, rest = key[0], key[1:]
+        if kind == "c":
+            fields = [part.split("\x1f") for part in rest.split("\x1e")]
+            places = [(0, w1, w2, nxt, k > 0) for k, (w1, w2, nxt) in enumerate(fields)]
+            posterior = model.posteriors(places) if model else [_first_guess(c[1], "" if c[4] else c[2], c[3]) for c in places]
             before = 0.0
             for (_, w1, w2, nxt, tied), p in zip(places, posterior):
-                new.add(w1, "<b>" if tied and before > 0.5 else w2, nxt, p, r > 0)
+                new.add(w1, "<b>" if tied and before > 0.5 else w2, nxt, p, n, model is not None, last)
                 before = p
-            if first:
-                new.start[first] += 1
-                new.start["<" + _shape(first)] += 1
-                new.total[1] += 1
-            if end:
-                for _ in range(3):
-                    new.add(end[0], end[1], "", 1.0)
-        model = new
+        elif kind == "s":
+            new.first(rest, n, last)
+        elif kind == "e":
+            w1, _, w2 = rest.partition("\x1f")
+            new.add(w1, w2, "", 1.0, 3 * n, gaps=False)
+            if last:
+                new.gap_end(w1, n)
+        elif last:
+            new.word(rest, n)
+    return new
+
+
+def train(texts: list[tuple[str, int, bool, bool]], rounds: int = ROUNDS) -> BoundaryModel:
+    """Expectation maximisation on texts at hand."""
+    seen = observe(texts)
+    keys, times, model = list(seen), list(seen.values()), None
+    for r in range(rounds):
+        model = BoundaryModel(expect(model, keys, times, r + 1 == rounds))
     return model
 
 
-def fit(chunks: DataFrame | None, contexts: DataFrame | None, sample: int = SAMPLE) -> BoundaryModel:
-    """Train on at most ``sample`` texts: a quarter of them chunks.text, the rest Entity.context, chosen by hash."""
-    texts: list[tuple[str, int, bool, bool]] = []
+def fit(chunks: DataFrame | None, contexts: DataFrame | None, rounds: int = ROUNDS) -> BoundaryModel:
+    """Expectation maximisation on counts over all of chunks.text and Entity.context. Keys are counted in one pass and
+    written; what reaches the driver in a round is at most CELLS sums."""
+    parts = []
     if chunks is not None:
-        rows = bounded_sample(chunks.filter(r"text rlike '\\S'").select("text"), sample // 4, "text")
-        texts += [(r["text"], body_start(r["text"]), True, True) for r in rows]
+        parts.append(chunks.select(F.lit(True).alias("chunk"), "text"))
     if contexts is not None:
-        for r in bounded_sample(contexts.filter(r"context rlike '\\S'").select("context"), sample * 3 // 4, "context"):
-            cut_start, cut_end = is_cut(r["context"])
-            texts.append((r["context"], 0, not cut_start, not cut_end))
-    return train(texts)
+        parts.append(contexts.select(F.lit(False).alias("chunk"), F.col("context").alias("text")))
+    texts = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    spark = texts.sparkSession
+
+    def look(batches):
+        # a task's keys are summed up before they are shuffled, and given out whenever they have become many
+        total: Counter = Counter()
+        for pdf in batches:
+            rows = []
+            for chunk, text in zip(pdf.chunk, pdf.text):
+                if chunk:
+                    rows.append((text, body_start(text), True, True))
+                else:
+                    cut_start, cut_end = is_cut(text)
+                    rows.append((text, 0, not cut_start, not cut_end))
+            total.update(observe(rows))
+            if len(total) > 200_000:
+                yield pd.DataFrame({"key": list(total.keys()), "n": list(total.values())})
+                total = Counter()
+        yield pd.DataFrame({"key": pd.Series(list(total.keys()), dtype=object), "n": pd.Series(list(total.values()), dtype="int64")})
+
+    found = texts.filter(r"text rlike '\\S'").mapInPandas(look, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    keys = cut(found, "places")
+    places = keys.filter("key not like 'w%'")
+    model = None
+    for r in range(rounds):
+        shared, last = spark.sparkContext.broadcast(model), r + 1 == rounds
+
+        def sums(batches, shared=shared, last=last):
+            total = Counts()
+            for pdf in batches:
+                part = expect(shared.value, pdf.key.tolist(), pdf.n.tolist(), last)
+                total.table += part.table
+                total.total += part.total
+            at = np.flatnonzero(total.table.any(1)).astype(np.int32)
+            yield pd.DataFrame({"cell": at, "no": total.table[at, 0].astype(float), "yes": total.table[at, 1].astype(float)})
+            yield pd.DataFrame({"cell": np.array([-1, -2], np.int32), "no": total.total[[0, 2]], "yes": total.total[[1, 3]]})
+
+        rows = (keys if last else places).mapInPandas(sums, "cell int, no double, yes double").groupBy("cell").agg(F.sum("no").alias("no"), F.sum("yes").alias("yes")).toPandas()
+        new = Counts()
+        at, values = rows["cell"].to_numpy(np.int64), rows[["no", "yes"]].to_numpy(float)
+        new.table[at[at >= 0]] = values[at >= 0]
+        for k, cell in enumerate((-1, -2)):
+            if (at == cell).any():
+                new.total[2 * k : 2 * k + 2] = values[at == cell][0]
+        shared.unpersist()
+        model = BoundaryModel(new)
+    return model
 
 
 def chunk_units(model: BoundaryModel, text: str) -> list[tuple[int, int]]:

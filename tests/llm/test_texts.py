@@ -69,6 +69,36 @@ def test_unspaced_and_unpunctuated_scripts():
         assert [text[a:b] for a, b in model.split(text, 0, len(text))] == parts
 
 
+def test_text_without_final_signs():
+    """Held out: sentences with their final signs removed, in scripts with and without blanks."""
+    rng = random.Random(4)
+    latin = [f"{a} {b} {c}." for a in ("The index", "Our desk", "Some traders", "Every bank") for b in ("rose sharply in", "closed early before", "lost money after") for c in ("late winter", "the long quarter", "their first report", "a quiet week")]
+    zh = [f"{a}{b}{c}。" for a in ("指标在去年", "样本按期限", "市场对消息") for b in ("上升了很多", "分成了几组", "没有任何反应") for c in ("并且保持不变", "因为需求增加", "但是原因不明")]
+    hi = [f"{a} {b} {c}।" for a in ("सूचकांक पिछले साल", "बाज़ार ने कल") for b in ("तेज़ी से बढ़ा", "फिर से गिरा", "कुछ नहीं किया") for c in ("क्योंकि माँग थी", "पर कारण अज्ञात")]
+    groups = [(latin, " "), (zh, ""), (hi, " ")]
+    texts = [(sep.join(rng.choices(g, k=rng.randrange(1, 5))), 0, True, True) for g, sep in groups for _ in range(300)]
+    model = sentences.train(texts)
+    for group, sep in groups:
+        good = found = total = 0
+        for _ in range(20):
+            bare = [x.rstrip(".。।") for x in rng.sample(group, 12)]
+            text, at, want = sep.join(bare), 0, set()
+            for x in bare:
+                want.add((at, at + len(x)))
+                at += len(x) + len(sep)
+            got = set(model.split(text, 0, len(text)))
+            good, found, total = good + len(got & want), found + len(got), total + len(want)
+        assert good / total > 0.85 and good / found > 0.85, (group[0], good, found, total)
+
+
+def test_counts_of_tables_and_of_texts_agree(spark):
+    rng = random.Random(5)
+    texts = [" ".join(made_text(rng, 3)) for _ in range(200)]
+    c = spark.createDataFrame([(f"c{k}", t) for k, t in enumerate(texts)], "chunk_id string, text string").repartition(7)
+    one, two = sentences.train([(t, 0, True, True) for t in texts]), sentences.fit(c, None)
+    assert np.allclose(one.counts.table, two.counts.table, rtol=1e-4, atol=1e-3) and np.allclose(one.counts.total, two.counts.total, rtol=1e-4)
+
+
 CHUNKS = "chunk_id string, text string, lang string, extra string"
 MENTIONS = "mention_id long, text string, context string, ingested_at timestamp"
 
