@@ -269,55 +269,64 @@ MIN_PAGES = 2
 BLOCK_TOKENS = 400_000  # tokens of a host in one suffix array
 
 
-def suffix_array(ids: np.ndarray) -> np.ndarray:
-    """Prefix doubling: O(n log^2 n), all vector operations."""
-    n = len(ids)
+BATCH_TOKENS = 200_000  # tokens of whole hosts that share one suffix array
+
+
+def suffix_ranks(ids: np.ndarray, depth: int) -> np.ndarray:
+    """The place of every suffix among the suffixes in order, told apart by their first ``depth`` tokens (suffixes that
+    agree in them share a place). Prefix doubling; the last step overlaps the one before so that it ends at ``depth``."""
+    n, k = len(ids), 1
     rank = np.unique(ids, return_inverse=True)[1].astype(np.int64)
-    k = 1
-    order = np.argsort(rank, kind="stable")
-    while k < n:
-        second = np.full(n, -1, np.int64)
-        second[: n - k] = rank[k:]
-        order = np.lexsort((second, rank))
-        new = np.zeros(n, np.int64)
-        a, b = order[1:], order[:-1]
-        new[a] = np.cumsum((rank[a] != rank[b]) | (second[a] != second[b]))
-        rank = new
-        if rank[order[-1]] == n - 1 or k > 4 * MIN_RUN:
-            break
-        k *= 2
-    return order
+    while k < depth and n:
+        step = min(k, depth - k)
+        second = np.zeros(n, np.int64)
+        second[: max(0, n - step)] = rank[step:] + 1
+        rank = np.unique(rank * (n + 1) + second, return_inverse=True)[1].astype(np.int64)
+        k += step
+    return rank
+
+
+def covered_hosts(hosts: list[list[list[str]]], min_run: int = MIN_RUN, min_pages: int = MIN_PAGES) -> list[list[np.ndarray]]:
+    """For each page of each host a mask of its tokens that lie in a run of ``min_run`` tokens found on ``min_pages`` pages of
+    that host or more. The hosts' streams share one suffix array; their tokens are kept apart."""
+    flat: list[str] = []
+    lengths, owner_host = [], []
+    for h, pages in enumerate(hosts):
+        for tokens in pages:
+            flat += tokens
+            lengths.append(len(tokens))
+            owner_host.append(h)
+    if not lengths:
+        return [[] for _ in hosts]
+    size = np.array(lengths, np.int64)
+    page_of = np.repeat(np.arange(len(size)), size)
+    token = pd.factorize(np.array(flat, dtype=object))[0].astype(np.int64) * len(hosts) + np.array(owner_host, np.int64)[page_of]
+    # a separator of its own ends each page
+    starts = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
+    total = int(size.sum() + len(size))
+    ids, own = np.empty(total, np.int64), np.repeat(np.arange(len(size)), size + 1)
+    at = np.arange(len(token)) + page_of
+    ids[at] = token
+    ids[starts + size] = -np.arange(len(size)) - 1
+    edge = np.zeros(total + 1, np.int64)
+    if total > min_run:
+        rank = suffix_ranks(ids, min_run)[: total - min_run + 1]
+        pairs = np.unique(rank * len(size) + own[: len(rank)])
+        many = np.bincount(pairs // len(size), minlength=int(rank.max()) + 1) >= min_pages
+        hit = np.flatnonzero(many[rank])
+        np.add.at(edge, hit, 1)
+        np.add.at(edge, hit + min_run, -1)
+    mask = np.cumsum(edge[:-1]) > 0
+    out, k = [], 0
+    for pages in hosts:
+        out.append([mask[starts[k + j] : starts[k + j] + size[k + j]] for j in range(len(pages))])
+        k += len(pages)
+    return out
 
 
 def covered(pages: list[list[str]], min_run: int = MIN_RUN, min_pages: int = MIN_PAGES) -> list[np.ndarray]:
-    """For each page a mask of its tokens that lie in a run of ``min_run`` tokens found on ``min_pages`` pages or more."""
-    vocabulary: dict[str, int] = {}
-    ids, owner = [], []
-    for p, tokens in enumerate(pages):
-        ids += [vocabulary.setdefault(t, len(vocabulary)) for t in tokens]
-        owner += [p] * len(tokens)
-        ids.append(-p - 1)  # a separator of its own ends each page
-        owner.append(p)
-    arr, own = np.array(ids, np.int64), np.array(owner, np.int64)
-    n = len(arr)
-    masks = np.zeros(n, bool)
-    if n > min_run:
-        order = suffix_array(arr)
-        # neighbours in the array whose first min_run tokens agree form classes; those on several pages repeat
-        padded = np.concatenate([arr, np.full(min_run, -(1 << 60), np.int64)])
-        same = np.ones(n - 1, bool)
-        for j in range(min_run):
-            same &= padded[order[1:] + j] == padded[order[:-1] + j]
-        group = np.concatenate([[0], np.cumsum(~same)])
-        pairs = np.unique(np.stack([group, own[order]]), axis=1)
-        many = np.bincount(pairs[0], minlength=group[-1] + 1) >= min_pages
-        for s in order[many[group]]:
-            masks[s : s + min_run] = True
-    out, at = [], 0
-    for tokens in pages:
-        out.append(masks[at : at + len(tokens)])
-        at += len(tokens) + 1
-    return out
+    """covered_hosts of a single host."""
+    return covered_hosts([pages], min_run, min_pages)[0]
 
 
 def _window_hashes(tokens: list[str], size: int) -> np.ndarray:
@@ -334,7 +343,7 @@ def unique_text(rows: DataFrame, min_run: int = MIN_RUN, min_pages: int = MIN_PA
     """(rec_table, rec_id, text, removed): clean text of each record without the runs of ``min_run`` tokens or more that
     stand on ``min_pages`` distinct pages of its host, and the number of tokens removed.
 
-    Hosts of up to BLOCK_TOKENS tokens get one suffix array each. A larger host never meets in one task: its windows
+    Hosts of up to BLOCK_TOKENS tokens stay in one task, many of them in one suffix array. A larger host never meets in one task: its windows
     of ``min_run`` tokens are counted by hash over all its pages instead. They run over a page's records in the same
     order as in the suffix array and so cover exactly the same tokens. Records without a host count as hosts of their
     own; a null page counts as page -1.
@@ -349,26 +358,49 @@ def unique_text(rows: DataFrame, min_run: int = MIN_RUN, min_pages: int = MIN_PA
     large = sizes.filter(F.col("chars") > 2 * BLOCK_TOKENS).select("host")
     schema = "rec_table string, rec_id string, part int, text string, removed int"
 
-    def small(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["page", "rec_table", "rec_id", "part"])
-        streams, at = [], []
-        for page, part in pdf.groupby("page", sort=False):
-            tokens, cuts = [], []
-            for t in part.text:
-                words = t.split(" ")
-                cuts.append((len(tokens), len(tokens) + len(words)))
-                tokens += words
-            streams.append(tokens)
-            at.append((list(part.index), cuts))
-        text, removed = pdf.text.copy(), pd.Series(0, index=pdf.index)
-        for tokens, mask, (index, cuts) in zip(streams, covered(streams, min_run, min_pages), at):
-            for i, (a, b) in zip(index, cuts):
-                if mask[a:b].any():
-                    text[i] = " ".join(t for t, m in zip(tokens[a:b], mask[a:b]) if not m)
-                    removed[i] = int(mask[a:b].sum())
-        return pd.DataFrame({"rec_table": pdf.rec_table, "rec_id": pdf.rec_id, "part": pdf.part, "text": text, "removed": removed.astype("int32")})
-
-    out = rows.join(large, "host", "left_anti").groupBy("host").applyInPandas(small, schema)
+    def strip(hosts: list[pd.DataFrame]) -> pd.DataFrame:
+        pdf = pd.concat(hosts, ignore_index=True)
+        streams, cuts = [], []
+        last = None
+        for host, page, text in zip(pdf.host, pdf.page, pdf.text):
+            words = text.split(" ")
+            if last is None or host != last[0]:
+                streams.append([[]])
+            elif page != last[1]:
+                streams[-1].append([])
+            last = (host, page)
+            tokens = streams[-1][-1]
+            cuts.append((len(streams) - 1, len(streams[-1]) - 1, len(tokens), len(tokens) + len(words)))
+            tokens += words
+        masks = covered_hosts(streams, min_run, min_pages)
+        texts, removed = [], []
+        for text, (h, p, a, b) in zip(pdf.text, cuts):
+            mask = masks[h][p][a:b]
+            gone = int(mask.sum())
+            texts.append(" ".join(t for t, m in zip(streams[h][p][a:b], mask) if not m) if gone else text)
+            removed.append(gone)
+        return pd.DataFrame({"rec_table": pdf.rec_table, "rec_id": pdf.rec_id, "part": pdf.part, "text": texts, "removed": pd.Series(removed, dtype="int32")})
+
+    def small(batches):
+        # rows come host by host; a host is whole once another one follows
+        ready, waiting, tokens = [], None, 0
+        for pdf in batches:
+            if waiting is not None:
+                pdf = pd.concat([waiting, pdf], ignore_index=True)
+            last = pdf.host.to_numpy() == pdf.host.iloc[-1] if len(pdf) else np.zeros(0, bool)
+            waiting = pdf[last]
+            ready.append(pdf[~last])
+            tokens += int(ready[-1].text.str.len().sum()) // 6
+            if tokens > BATCH_TOKENS:
+                yield strip(ready)
+                ready, tokens = [], 0
+        if waiting is not None:
+            ready.append(waiting)
+        if ready:
+            yield strip(ready)
+
+    whole = rows.join(large, "host", "left_anti").repartition("host").sortWithinPartitions("host", "page", "rec_table", "rec_id", "part")
+    out = whole.select("rec_table", "rec_id", "part", "text", "host", "page").mapInPandas(small, schema)
     if not large.isEmpty():
         # a record with the tokens around it on its page sees every window that touches it; each record has a token, so
         # as many records as a window has further tokens are enough
