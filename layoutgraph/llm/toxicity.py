@@ -27,7 +27,8 @@ BITS = 18  # cells of the classifier
 CORPUS_BITS = 20  # cells of the corpus table
 PICK_BITS = 22  # cells of the tables that picks are made by
 MIN_GRAMS = 16  # shorter units are scaled as if they had as many
-MAX_LABELLED = 24_000  # rated documents the classifiers are trained on, chosen by hash
+MAX_LABELLED = 8_000  # rated documents the classifiers are trained on, chosen by hash
+MAX_CHARS = 16_000_000  # and their characters, on average
 UNLABELLED = 12_000  # sentences of documents rated clean, half of them from the novel layer, weighted back to its share
 STEPS, ROUNDS = 45, 2
 RARE = 0.002  # a 4-gram met fewer times than this share of the documents is rare
@@ -328,13 +329,16 @@ def corpus(documents: DataFrame) -> Background:
 
 
 def fit(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Classifier:
-    """Train on at most ``max_labelled`` rated documents, up to half of them rated positive."""
+    """Train on at most ``max_labelled`` rated documents, up to half of them rated positive, and fewer where they are long:
+    what reaches the driver is bounded by MAX_CHARS too."""
     given = labels.filter("doc_id is not null and label is not null").groupBy("doc_id").agg(F.collect_set("label").alias("labels"))
     texts = documents.filter("text is not null and doc_id is not null").select("doc_id", "text")
     positive = F.arrays_overlap("labels", F.array(*[F.lit(c) for c in CATEGORIES]))
     joined = texts.join(given, "doc_id").withColumn("positive", positive)
-    best = sample(joined.filter("positive"), max_labelled // 2, "doc_id")
-    rated = [(r["text"], set(r["labels"])) for r in best + sample(joined.filter("not positive"), max_labelled - len(best), "doc_id")]
+    mean = joined.agg(F.avg(F.length("text"))).first()[0] or 1.0
+    limit = max(1, min(max_labelled, int(MAX_CHARS / max(mean, 1.0))))
+    best = sample(joined.filter("positive"), limit // 2, "doc_id")
+    rated = [(r["text"], set(r["labels"])) for r in best + sample(joined.filter("not positive"), limit - len(best), "doc_id")]
     return train(rated, corpus(documents)) if rated else Classifier()
 
 
