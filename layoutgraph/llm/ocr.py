@@ -3,9 +3,12 @@
 An averaged-perceptron character editor decides for every suspicious place of a word whether to keep it or to put back
 the letter it was misread from (a replacement, or one with a deletion or insertion where letter groups are involved), and
 for every hyphen at a line end whether to join the lines. It is trained here on words of the corpus with misreadings
-put in by a fixed list of look-alikes. Word frequencies over the whole corpus serve as features; of them the LEXICON
-most frequent are broadcast. Running headers and page numbers are found by where lines stand on their pages and how
-they repeat over the pages of a document, and are removed before the text is read as paragraphs.
+put in by a fixed list of look-alikes. Word frequencies over the whole corpus serve as features, from a table of hashed
+counts that holds every word.
+
+Running headers and page numbers are decided by a second averaged perceptron, on how a line looks, where its like stands
+on the pages of its document and on how many. It learns from weak labels counted over all lines: lines at the edge of
+several pages against lines that stand once. They are removed before the text is read as paragraphs.
 """
 
 from __future__ import annotations
@@ -15,14 +18,17 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from layoutgraph.plans.bounded import most_frequent
 from layoutgraph.plans.session import cut
 
-LEXICON = 200_000
-TRAIN_WORDS = 6_000
+LEXICON_BITS = 22  # cells of the table of word counts
+TRAIN_WORDS = 6_000  # most frequent words that misreadings are put into; they label themselves
+TIMES = 8  # a word that one misreading makes out of one so many times as frequent is no word
 
 #: Letters and what scanners read in their place.
 LOOKALIKES = {
@@ -57,17 +63,56 @@ def _kind(ch: str) -> str:
     return script_of(ch) + ("U" if ch.isupper() else "")
 
 
+def _hash(word: str) -> int:
+    """Spark's xxhash64 of a string, as an unsigned number."""
+    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 42)
+
+
+class Lexicon:
+    """Counts of all words in a table of fixed size: a word's two cells hold quarter steps of the binary logarithm of the
+    highest count that met them, and the lower one is taken."""
+
+    def __init__(self, cells: np.ndarray | None = None):
+        self.cells = np.zeros(1 << LEXICON_BITS, np.uint8) if cells is None else cells
+
+    def get(self, word: str, default: int = 0) -> int:
+        h = _hash(word)
+        v = min(self.cells[h & ((1 << LEXICON_BITS) - 1)], self.cells[(h >> LEXICON_BITS) & ((1 << LEXICON_BITS) - 1)])
+        return int(2 ** ((int(v) - 1) / 4) + 0.5) if v else default
+
+    @staticmethod
+    def of(words: DataFrame) -> "Lexicon":
+        """The table of ``words`` (w, n); at most one number a cell reaches the driver."""
+        mask = (1 << LEXICON_BITS) - 1
+        h = F.xxhash64("w")
+        cells = F.array(h.bitwiseAND(F.lit(mask)), F.shiftrightunsigned(h, LEXICON_BITS).bitwiseAND(F.lit(mask)))
+        level = F.least(F.lit(255), F.floor(F.log2("n") * 4) + 1).cast("short")
+        rows = words.select(F.explode(cells).alias("cell"), level.alias("v")).select(F.col("cell").cast("int").alias("cell"), "v").groupBy("cell").agg(F.max("v").alias("v")).toPandas()
+        out = Lexicon()
+        out.cells[rows["cell"].to_numpy(np.int64)] = rows["v"].to_numpy(np.uint8)
+        return out
+
+
 class Editor:
     """Averaged perceptron over edit candidates of a word and over joins at line ends."""
 
-    def __init__(self, lexicon: dict[str, int]):
+    def __init__(self, lexicon: "dict[str, int] | Lexicon"):
         self.lexicon = lexicon
         self.weights: dict[str, float] = {}
         self.memo: dict[str, tuple[tuple[int, str, str], ...]] = {}
+        self.levels: dict[str, int] = {}
 
     def _level(self, word: str, blind: bool = False) -> int:
-        n = 0 if blind else self.lexicon.get(word.lower(), 0)
-        return 0 if n < 2 else min(6, int(math.log2(n) / 1.7) + 1)
+        if blind:
+            return 0
+        found = self.levels.get(word)
+        if found is None:
+            n = self.lexicon.get(word.lower(), 0)
+            found = 0 if n < 2 else min(6, int(math.log2(n) / 1.7) + 1)
+            if len(self.levels) > 300_000:
+                self.levels.clear()
+            self.levels[word] = found
+        return found
 
     def candidates(self, word: str) -> list[tuple[int, str, str]]:
         """(position, group as read, letter it may stand for)."""
@@ -166,7 +211,7 @@ class Editor:
             left, _, right = c.partition("-")
             for _ in range(3):
                 examples.append((self.join_features(left, "-", right), False))
-        for word in words[:1500]:  # hyphenated names whose parts are words or names of their own
+        for word in words:  # hyphenated names whose parts are words or names of their own
             examples.append((self.join_features(word.capitalize(), "-", rng.choice(words).capitalize(), rng.random() < 0.5), False))
             examples.append((self.join_features(word.upper(), "-", rng.choice("XYZ")), False))
         weights, totals, stamp, t = defaultdict(float), defaultdict(float), defaultdict(int), 0
@@ -187,7 +232,7 @@ class Editor:
         return {"lexicon": self.lexicon, "weights": self.weights}
 
     def __setstate__(self, state):
-        self.__dict__.update(state, memo={})
+        self.__dict__.update(state, memo={}, levels={})
 
 
 def misread_words(editor: Editor, text: str) -> list[tuple[int, int, str]]:
@@ -252,7 +297,7 @@ def repair(editor: Editor, text: str) -> str:
 # ---- furniture: page numbers and running headers, by page position -------------------------------------------------
 
 #: Forms of a page number on a line of its own.
-PAGE_NUMBER = r"^\s*(?:\[\s*\d{1,4}\s*\]|[-–—]\s*\d{1,4}\s*[-–—]|\d{1,4}|\d{1,4}\s*/\s*\d{1,4}|(?i:p|pp|page|seite|стр|с|s|pág)\.?\s*\d{1,4}(?:\s*(?i:of|из|von|de|/)\s*\d{1,4})?)\s*$"
+PAGE_NUMBER = r"^\s*(?:\[\s*\d{1,4}\s*\]|[-–—]\s*\d{1,4}\s*[-–—]|\d{1,4}|\d{1,4}\s*/\s*\d{1,4}|(?iu:p|pp|page|seite|стр|с|s|pág)\.?\s*\d{1,4}(?:\s*(?iu:of|из|von|de|/)\s*\d{1,4})?)\s*$"
 _FOLD_FROM, _FOLD_TO = "0оo1lıi!іи5ѕ9g6бbеeаaсcрpцuхxуyʌлhнзkкtтmмnп4ч3", "ooolllllllssgggbbbeeaaccppuuxxyyллннзккттммnnччз"
 
 
@@ -263,56 +308,174 @@ def line_key(line: Column) -> Column:
     return F.translate(F.regexp_replace(F.regexp_replace(low, "lı", "h"), "rn", "m"), _FOLD_FROM, _FOLD_TO)
 
 
-def furniture(blocks: DataFrame) -> DataFrame:
-    """Blocks with first_key and last_key (folded first and last line, where a header could stand) and whether each is
-    a running header: short, without the end of a sentence, never a title, on two pages or more of its document."""
-    may = F.coalesce("block_type", F.lit("text")).isin("text", "header")
-    lines = F.filter(F.split(F.col("content"), r"\r?\n"), lambda x: x.rlike(r"\S"))
-    rows = blocks.withColumn("lines", F.when(F.col("content").isNotNull(), lines))
-    short = lambda x: F.when((F.length(F.trim(x)).between(4, 90)) & ~x.rlike(r"[.!?।。！？:;,]\s*$") & x.rlike(r"\p{L}{3}") & ~x.rlike(r"^\s*(?:[#|+*•–\\<$\[{=~`-]|\d+[.)] )") & ~x.rlike(PAGE_NUMBER) & ~x.rlike(r"[-‐‑¬­]\s*$"), line_key(x))
-    first, last = F.try_element_at("lines", F.lit(1)), F.try_element_at("lines", F.lit(-1))
-    has = F.size("lines") > 0
-    rows = rows.withColumn("first_key", F.when(may & has, short(first))).withColumn("last_key", F.when(may & (F.size("lines") > 1), short(last)))
-    places = rows.select("source_hash", "page_number", F.explode(F.array("first_key", "last_key")).alias("key")).filter("key is not null and source_hash is not null")
-    titles = rows.filter(F.coalesce("block_type", F.lit("")).isin("title", "caption", "list", "table", "formula") & has).select("source_hash", line_key(first).alias("key")).filter("source_hash is not null").distinct()
-    repeated = places.groupBy("source_hash", "key").agg(F.countDistinct("page_number").alias("pages")).filter("pages >= 2").join(titles, ["source_hash", "key"], "left_anti").select("source_hash", "key")
-    one = repeated.select("source_hash", F.col("key").alias("first_key"), F.lit(True).alias("first_header"))
-    two = repeated.select("source_hash", F.col("key").alias("last_key"), F.lit(True).alias("last_header"))
+_EDGE_KINDS = ("text", "header")
+_NUMBER_FORMS = {"bracket": r"^\s*\[", "dash": r"^\s*[-–—]", "word": r"^\s*\p{L}", "of": r"\d\s*/", "bare": r"\d"}
+
+
+def line_features(line: Column, kind: Column, page: Column, alone: Column) -> Column:
+    """How a line looks, as words: its page number form and whether that counts this page, its end, its start, its length."""
+    number = line.rlike(PAGE_NUMBER)
+    form = F.lit("num:other")
+    for name, pattern in reversed(_NUMBER_FORMS.items()):
+        form = F.when(line.rlike(pattern), F.lit(f"num:{name}")).otherwise(form)
+    digits = F.try_to_number(F.regexp_extract(line, r"\d+", 0), F.lit("9999")).cast("int")
+    match = F.when(page.isNull(), F.lit("match:?")).when(digits.isin(-1) | digits.isNull(), F.lit("match:n")).when((digits == page) | (digits == page + 1), F.lit("match:y")).otherwise(F.lit("match:n"))
+    flag = lambda name, test: F.when(test, F.lit(f"{name}:1")).otherwise(F.lit(f"{name}:0"))
+    return F.concat_ws(
+        " ", F.when(number, form).otherwise(F.lit("num:none")), F.when(number, match).otherwise(F.lit("match:-")), flag("alone", alone), flag("end", line.rlike(r"[.!?।。！？:;,]\s*$")), flag("hyphen", line.rlike(r"[-‐‑¬­]\s*$") & ~number),
+        flag("letters", line.rlike(r"\p{L}{3}")), flag("mark", line.rlike(r"^\s*(?:[#|+*•–\\<$\[{=~`-]|\d+[.)] )") & ~number), flag("short", F.length(F.trim(line)).between(4, 90)), flag("prose", kind.isin(*_EDGE_KINDS)), flag("list", kind == "list"),
+    )
+
+
+def block_lines(blocks: DataFrame) -> DataFrame:
+    """Blocks with the first and the last line: features of each, and the key under which it repeats (null where a line is too
+    long or holds no word)."""
+    rows = blocks.withColumn("lines", F.when(F.col("content").isNotNull(), F.filter(F.split(F.col("content"), r"\r?\n"), lambda x: x.rlike(r"\S"))))
+    kind, page, one = F.coalesce("block_type", F.lit("text")), F.col("page_number").cast("int"), F.size("lines") == 1
+    for name, at in (("first", 1), ("last", -1)):
+        line = F.try_element_at("lines", F.lit(at))
+        given = F.size("lines") > (0 if at == 1 else 1)
+        keyed = given & F.length(F.trim(line)).between(4, 90) & line.rlike(r"\p{L}{3}")
+        rows = rows.withColumn(f"{name}_looks", F.when(given, line_features(line, kind, page, one))).withColumn(f"{name}_key", F.when(keyed, line_key(line)))
+    return rows.drop("lines")
+
+
+def line_places(rows: DataFrame) -> DataFrame:
+    """(source_hash, key, places): on how many pages of its document a line's like stands, on how many of them at the top or
+    the bottom, and whether it is a title, list or table somewhere."""
+    edges = rows.filter("source_hash is not null").groupBy("source_hash", "page_number").agg(F.min("block_index").alias("lo"), F.max("block_index").alias("hi"))
+    sides = F.explode(F.array(*[F.struct(F.col(f"{n}_key").alias("key"), F.lit(n == "first").alias("upper")) for n in ("first", "last")]))
+    kind = F.coalesce("block_type", F.lit("text"))
+    places = rows.filter("source_hash is not null").select("source_hash", "page_number", "block_index", kind.alias("kind"), sides.alias("s"), F.col("last_key").isNull().alias("only")).select("source_hash", "page_number", "block_index", "kind", "only", "s.key", "s.upper").filter("key is not null")
+    placed = places.join(edges, ["source_hash", "page_number"], "left")
+    edge = ((F.col("block_index") == F.col("lo")) & F.col("upper")) | ((F.col("block_index") == F.col("hi")) & (~F.col("upper") | F.col("only")))
+    prose = F.col("kind").isin(*_EDGE_KINDS)
+    stats = placed.groupBy("source_hash", "key").agg(F.countDistinct(F.when(prose, F.col("page_number"))).alias("pages"), F.countDistinct(F.when(prose & F.coalesce(edge, F.lit(False)), F.col("page_number"))).alias("edges"), F.max(~prose).alias("other"))
+    more = lambda c, k: F.when(F.col(c) >= k, F.lit(f"{c}{k}:1")).otherwise(F.lit(f"{c}{k}:0"))
+    # a page number holds no word, so its like is nowhere; lines that stand once say so
+    return stats.select("source_hash", "key", F.concat_ws(" ", more("pages", 2), more("pages", 3), more("edges", 1), more("edges", 2), F.when(F.col("other"), F.lit("other:1")).otherwise(F.lit("other:0"))).alias("places"))
+
+
+NOWHERE = "pages2:0 pages3:0 edges1:0 edges2:0 other:0"
+
+
+def weak_label(looks: str, places: str) -> str | None:
+    """header, number or body where that is nearly sure, else None."""
+    f = set(looks.split()) | set(places.split())
+    if "num:none" not in f:
+        if "prose:0" in f and "list:0" in f:
+            return "body"
+        if "match:y" in f:  # counts this page
+            return "number"
+        if "num:bare" in f:
+            return "body" if "match:n" in f else None
+        return "number" if "alone:1" in f and "match:n" in f else None
+    if "pages2:0" in f or "other:1" in f or "prose:0" in f or "end:1" in f or "mark:1" in f or "hyphen:1" in f or "letters:0" in f or "short:0" in f:
+        return "body"
+    return "header" if {"pages3:1", "edges2:1"} <= f else None
+
+
+class Furniture:
+    """Averaged perceptron with three classes over a line's looks and places."""
+
+    CLASSES = ("body", "header", "number")
+
+    def __init__(self, weights: dict[tuple[str, str], float] | None = None):
+        self.weights = weights or {}
+        self.memo: dict[tuple[str, str], str] = {}
+
+    @staticmethod
+    def features(looks: str, places: str) -> list[str]:
+        words = looks.split() + places.split()
+        pick = lambda *names: "&".join(w for w in words if w.split(":")[0] in names)
+        return ["bias", *words, pick("num", "match", "alone"), pick("num", "match", "list"), pick("pages2", "end"), pick("pages2", "mark"), pick("pages2", "other"), pick("pages2", "edges1", "other"), pick("pages2", "prose"), pick("pages2", "hyphen"), pick("num", "pages2")]
+
+    def __call__(self, looks: str | None, places: str | None) -> str:
+        if not looks:
+            return "body"
+        key = (looks, places or NOWHERE)
+        found = self.memo.get(key)
+        if found is None:
+            feats = self.features(*key)
+            found = max(self.CLASSES, key=lambda c: sum(self.weights.get((c, f), 0.0) for f in feats))
+            self.memo[key] = found
+        return found
+
+    def train(self, counted: list[tuple[str, str, int]], rounds: int = 20) -> "Furniture":
+        """``counted``: (looks, places, how many lines). A kind of line counts by the logarithm of its number."""
+        examples = [(self.features(a, b), y, 1 + math.log2(n)) for a, b, n in sorted(counted) if (y := weak_label(a, b))]
+        weights, sums, t = defaultdict(float), defaultdict(float), 0
+        rng = random.Random(3)
+        for _ in range(rounds):
+            rng.shuffle(examples)
+            for feats, y, n in examples:
+                t += 1
+                got = max(self.CLASSES, key=lambda c: (sum(weights[c, f] for f in feats), c != y))
+                if got != y:
+                    for f in feats:
+                        for c, sign in ((y, n), (got, -n)):
+                            weights[c, f] += sign
+                            sums[c, f] += sign * t
+        self.weights = {k: w - sums[k] / (t + 1) for k, w in weights.items()}
+        return self
+
+    def __getstate__(self):
+        return {"weights": self.weights}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state, memo={})
+
+
+def furniture(blocks: DataFrame) -> tuple[DataFrame, Furniture]:
+    """Blocks with looks and places of their first and last lines, and the perceptron that judges them."""
+    rows = block_lines(blocks)
+    slim = cut(rows.drop("content"), "lines")
+    places = cut(line_places(slim), "places")
     # lines without a key match nothing; keys of their own keep a large document's from meeting in one task
     spread = lambda c: F.coalesce(c, F.concat(F.lit("\0"), F.coalesce("block_id", F.lit(""))))
-    rows = rows.withColumn("first_key", spread(F.col("first_key"))).withColumn("last_key", spread(F.col("last_key")))
-    return rows.join(one, ["source_hash", "first_key"], "left").join(two, ["source_hash", "last_key"], "left")
 
+    def placed(df: DataFrame) -> DataFrame:
+        for name in ("first", "last"):
+            at = places.select("source_hash", F.col("key").alias(f"{name}_key"), F.col("places").alias(f"{name}_places"))
+            df = df.withColumn(f"{name}_key", spread(F.col(f"{name}_key"))).join(at, ["source_hash", f"{name}_key"], "left")
+        return df.drop("first_key", "last_key")
+
+    sides = F.explode(F.array(*[F.struct(F.col(f"{n}_looks").alias("looks"), F.coalesce(f"{n}_places", F.lit(NOWHERE)).alias("places")) for n in ("first", "last")]))
+    counted = placed(slim).select(sides.alias("s")).select("s.*").filter("looks is not null").groupBy("looks", "places").agg(F.count(F.lit(1)).alias("n"))
+    # kinds of lines: a few words of two or three forms each, so their number is fixed
+    return placed(rows), Furniture().train([(r["looks"], r["places"], r["n"]) for r in counted.collect()])
 
-def word_counts(blocks: DataFrame, mentions: DataFrame, limit: int = LEXICON) -> dict[str, int]:
-    """The ``limit`` most frequent words, counted over all rows: pure words of one script, and compounds with a hyphen.
-    A word seen once tells nothing and is left out."""
+
+def word_counts(blocks: DataFrame, mentions: DataFrame) -> DataFrame:
+    """(w, n) over all rows: pure words of one script, and compounds with a hyphen. A word seen once tells nothing and is
+    left out."""
     texts = blocks.select(F.col("content").alias("t")).unionByName(mentions.select(F.col("text").alias("t")))
     word = rf"(?<![\p{{L}}\p{{N}}_-])(?:[a-zß-ɏ]{{2,24}}|[а-яёіїєґ]{{2,24}}|[a-z]{{1,24}}-[a-z]{{1,24}}|[a-z]{{2,6}}[0-9])(?![\p{{L}}\p{{N}}_-])"
     found = texts.select(F.explode(F.regexp_extract_all(F.lower("t"), F.lit(word), F.lit(0))).alias("w"))
-    top = found.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2")
-    return {r["w"]: r["n"] for r in most_frequent(cut(top, "words"), "n", limit)}
+    return found.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2")
+
 
+def clean_words(words: DataFrame) -> DataFrame:
+    """Without words that one misreading makes out of a word TIMES as frequent: in a large corpus misread words are frequent
+    too."""
+    shared = words.sparkSession.sparkContext.broadcast(Lexicon.of(words))
 
-def clean_lexicon(counts: dict[str, int], times: int = 8) -> dict[str, int]:
-    """Without words that one misreading makes out of a word ``times`` as frequent: in a large corpus misread words are
-    frequent too."""
-    reader = Editor({})
-    return {w: n for w, n in counts.items() if not any(counts.get(w[:i] + c + w[i + len(g) :], 0) >= times * n for i, g, c in reader.candidates(w))}
+    def keep(batches):
+        counts, reader = shared.value, Editor({})
+        for pdf in batches:
+            good = [not any(counts.get(w[:i] + c + w[i + len(g) :]) >= TIMES * n for i, g, c in reader.candidates(w)) for w, n in zip(pdf.w, pdf.n)]
+            yield pdf[good]
+
+    return words.mapInPandas(keep, "w string, n long")
 
 
 def fit(blocks: DataFrame, mentions: DataFrame, train_words: int = TRAIN_WORDS) -> Editor:
-    """An editor trained on the ``train_words`` most frequent words."""
-    lexicon = clean_lexicon(word_counts(blocks, mentions))
-    words, keep = [], []
-    for w in lexicon:  # most frequent first
-        if w.isalpha():
-            if len(words) < train_words:
-                words.append(w)
-        elif len(keep) < train_words // 2:
-            keep.append(w)
-    editor = Editor(lexicon)
-    return editor.train(words, keep)
+    """An editor trained on the ``train_words`` most frequent words and half as many tokens with a digit or a hyphen."""
+    words = cut(clean_words(cut(word_counts(blocks, mentions), "words")), "lexicon")
+    plain = F.col("w").rlike(r"^\p{L}+$")
+    pure = [r["w"] for r in most_frequent(words.filter(plain), "n", train_words)]
+    keep = [r["w"] for r in most_frequent(words.filter(~plain), "n", train_words // 2)]
+    return Editor(Lexicon.of(words)).train(pure, keep)
 
 
 def noise(blocks: DataFrame, mentions: DataFrame, editor: Editor | None = None) -> DataFrame:
@@ -322,19 +485,18 @@ def noise(blocks: DataFrame, mentions: DataFrame, editor: Editor | None = None)
     no row; an empty text has no noise; exact copies of a row give one row each, alike.
     """
     editor = editor or fit(blocks, mentions)
-    shared = blocks.sparkSession.sparkContext.broadcast(editor)
-    placed = furniture(blocks.select("block_id", "source_hash", "block_type", "content", "page_number"))
-    rows = placed.filter("block_id is not null and content is not null").select(
-        F.lit("blocks").alias("rec_table"), F.col("block_id").alias("rec_id"), F.col("content").alias("text"), F.coalesce("first_header", F.lit(False)).alias("first_header"), F.coalesce("last_header", F.lit(False)).alias("last_header"), F.col("page_number").cast("int").alias("page"), F.coalesce("block_type", F.lit("text")).isin("text", "header", "list").alias("prose"),
-    )
-    names = mentions.filter("mention_id is not null and text is not null").select(F.lit("entities").alias("rec_table"), F.col("mention_id").cast("string").alias("rec_id"), "text", F.lit(False).alias("first_header"), F.lit(False).alias("last_header"), F.lit(None).cast("int").alias("page"), F.lit(True).alias("prose"))
-    number = re.compile(PAGE_NUMBER)
+    placed, judge = furniture(blocks.select("block_id", "source_hash", "block_type", "content", "page_number", "block_index"))
+    shared = blocks.sparkSession.sparkContext.broadcast((editor, judge))
+    sides = ["first_looks", "first_places", "last_looks", "last_places"]
+    rows = placed.filter("block_id is not null and content is not null").select(F.lit("blocks").alias("rec_table"), F.col("block_id").alias("rec_id"), F.col("content").alias("text"), *sides, F.coalesce("block_type", F.lit("text")).isin("text", "header", "list").alias("prose"))
+    none = F.lit(None).cast("string")
+    names = mentions.filter("mention_id is not null and text is not null").select(F.lit("entities").alias("rec_table"), F.col("mention_id").cast("string").alias("rec_id"), "text", *[none.alias(c) for c in sides], F.lit(True).alias("prose"))
 
     def run(batches):
-        ed = shared.value
+        ed, judge = shared.value
         for pdf in batches:
             kinds, texts = [], []
-            for table, text, first, last, page, prose in zip(pdf.rec_table, pdf.text, pdf.first_header, pdf.last_header, pdf.page, pdf.prose):
+            for table, text, fl, fp, ll, lp, prose in zip(pdf.rec_table, pdf.text, *[pdf[c] for c in sides], pdf.prose):
                 found, body = [], text
                 if misread_words(ed, text):
                     found.append("misread_char")
@@ -342,15 +504,11 @@ def noise(blocks: DataFrame, mentions: DataFrame, editor: Editor | None = None)
                     lines = text.split("\n")
                     full = [k for k, x in enumerate(lines) if x.strip()]
                     drop = set()
-                    if prose and full:
-                        for k in {full[0], full[-1]}:
-                            m = number.match(lines[k])
-                            if m and is_page_number(lines[k], page, len(full) == 1):
-                                drop.add(k)
-                                found.append("page_number")
-                        if (first and full[0] not in drop) or (last and full[-1] not in drop):
-                            found.append("running_header")
-                            drop |= ({full[0]} if first else set()) | ({full[-1]} if last else set())
+                    for k, looks, places in ((full[0], fl, fp), (full[-1], ll, lp)) if full else ():
+                        kind = judge(looks, places)
+                        if kind != "body":
+                            drop.add(k)
+                            found.append("page_number" if kind == "number" else "running_header")
                     if drop:
                         body = "\n".join(x for k, x in enumerate(lines) if k not in drop)
                 if body and broken_words(ed, body, table == "blocks" and prose):
@@ -360,11 +518,3 @@ def noise(blocks: DataFrame, mentions: DataFrame, editor: Editor | None = None)
             yield pd.DataFrame({"rec_table": pdf.rec_table, "rec_id": pdf.rec_id, "noise": kinds, "text": texts})
 
     return rows.unionByName(names).mapInPandas(run, "rec_table string, rec_id string, noise array<string>, text string")
-
-
-def is_page_number(line: str, page, alone: bool) -> bool:
-    """Whether a line of a page number's form counts this page (pages count from 0), or stands alone in its block."""
-    digits = [int(x) for x in re.findall(r"\d+", line)]
-    if page is None or page != page:
-        return alone
-    return digits[0] in (int(page), int(page) + 1) or (alone and not re.fullmatch(r"\s*\d+\s*", line))
