@@ -50,6 +50,7 @@ ROUNDS = 6
 LONG = 60  # words (two characters of an unspaced script count as one) without a final sign
 GAP = 0.9  # posterior asked for at a gap of an unpunctuated stretch
 STRICT, SEEN = 0.98, 5.0  # where a blank alone would end a sentence: posterior asked for, and starts seen with the next word
+RARE_END = 0.02  # there, the share of its occurrences in which the word before must end a unit
 
 
 def quoted_spans(text: str, cut_start: bool = False, cut_end: bool = False) -> list[tuple[int, int]]:
@@ -93,9 +94,7 @@ def quoted_spans(text: str, cut_start: bool = False, cut_end: bool = False) -> l
 def _symbol(word: str) -> str:
     if "." in word and _INITIALS.match(word):
         return "<init>"
-    if any(ch.isdigit() for ch in word):
-        word = _DIGITS.sub("#", word)
-    return word
+    return _DIGITS.sub("#", word)
 
 
 def _shape(word: str) -> str:
@@ -111,32 +110,26 @@ def _shape(word: str) -> str:
 
 def _left(text: str, end: int, low: int) -> tuple[str, str, int]:
     """(word before, the one before it, start of the first) of a position; pieces of unspaced scripts stand for words."""
-    a = end
-    while a > low and not text[a - 1].isspace() and end - a < 40:
-        a -= 1
-    word = text[a:end]
+    parts = text[max(low, end - 160) : end].rsplit(None, 2)
+    word = parts[-1][-40:] if parts else ""
+    a = end - len(word)
     tail = word[-12:]
-    if _WIDE_CHAR.search(tail) or _HAS_THAI.search(tail):
+    if not tail.isascii() and (_WIDE_CHAR.search(tail) or _HAS_THAI.search(tail)):
         word = _DIGITS.sub("#", word)
         return word[-4:], word[-7:-4], a
-    b = a
-    while b > low and text[b - 1].isspace():
-        b -= 1
-    c = b
-    while c > low and not text[c - 1].isspace() and b - c < 24:
-        c -= 1
-    return _symbol(word.lower()) if not _INITIALS.match(word) else "<init>", _symbol(text[c:b]).lower(), a
+    before = parts[-2][-24:] if len(parts) > 1 else ""
+    return _symbol(word.lower()) if "." not in word or not _INITIALS.match(word) else "<init>", _symbol(before).lower(), a
 
 
 def _right(text: str, start: int) -> str:
     n = len(text)
     while start < n and text[start].isspace():
         start += 1
-    b = start
-    while b < n and not text[b].isspace() and b - start < 24:
-        b += 1
-    word = text[start:b]
-    if word and (_WIDE_CHAR.match(word[0]) or _HAS_THAI.match(word[0]) or _WIDE_CHAR.search(word)):
+    word = text[start : start + 24].split(None, 1)
+    if not word:
+        return ""
+    word = word[0]
+    if not word.isascii() and (_WIDE_CHAR.search(word) or _HAS_THAI.match(word[0])):
         return _DIGITS.sub("#", word)[:4]
     return _symbol(word)
 
@@ -246,6 +239,30 @@ class BoundaryModel:
         """How often units start with the word."""
         return float(self.counts.table[_cell("n" + nxt), 1])
 
+    def ends_unit(self, place: tuple[int, str, str, str, bool], p: float, threshold: float = 0.5) -> bool:
+        """Whether a place of posterior ``p`` ends a unit. Where it is a blank alone, a surer posterior is asked for, the next
+        word must have started units, and the word before, where it is one of a script with blanks, must end some."""
+        if _ends(place):
+            return p > threshold
+        if p <= STRICT or self.seen(place[3]) < SEEN:
+            return False
+        every, ends = self.counts.table[_cell("e" + gap_word(place[1], True))].tolist()
+        return bool(_HAS_THAI.search(place[1][-1:])) or ends >= RARE_END * every
+
+    def posterior_cells(self, c1, c2, c3, cn, cs) -> np.ndarray:
+        """Posteriors of single places by their cells; as odds()."""
+        table, total = self.counts.table, self.counts.total
+        p = np.full(len(c1), 0.5)
+        for c, k in ((c1, 2.0), (c2, 3.0), (c3, 3.0)):
+            no, yes = table[c, 0].astype(float), table[c, 1].astype(float)
+            p = np.where(no + yes > 0, (yes + k * p) / (no + yes + k), p)
+        b_shape, n_shape = (table[cs, 1] + 0.1) / (total[1] + 2), (table[cs, 0] + 0.1) / (total[0] + 2)
+        b = (table[cn, 1] + 0.06 * b_shape) / (total[1] + 3)
+        n = (table[cn, 0] + 0.06 * n_shape) / (total[0] + 3)
+        p = np.clip(p, 1e-4, 1 - 1e-4)
+        o = p * b / np.maximum((1 - p) * n, 1e-12)
+        return o / (1 + o)
+
     def odds(self, w1: str, w2: str, nxt: str) -> float:
         """P(boundary, next word | history) : P(no boundary, next word | history)."""
         key = (w1, w2, nxt)
@@ -323,7 +340,7 @@ class BoundaryModel:
     def split(self, text: str, low: int, high: int, threshold: float = 0.5, cut_start: bool = False, cut_end: bool = False) -> list[tuple[int, int]]:
         """Units of text[low:high], each from its first to its last non-blank character."""
         places = candidates(text, low, high, cut_start, cut_end)
-        cuts = [c[0] for c, p in zip(places, self.posteriors(places)) if p > (threshold if _ends(c) else STRICT) and (_ends(c) or self.seen(c[3]) >= SEEN)] if places else []
+        cuts = [c[0] for c, p in zip(places, self.posteriors(places)) if self.ends_unit(c, p, threshold)] if places else []
         units, a = [], low
         for b in (*cuts, high):
             if b - a > 2 * LONG and not _ANY_FINAL.search(text, a, b) and _words(text, a, b) >= LONG:
@@ -404,102 +421,219 @@ def _first_guess(w1: str, w2: str, nxt: str) -> float:
     return 0.95
 
 
+def count_words(raw: Counter, body: str, out: Counter) -> None:
+    """Add the words of a body to ``raw``, and pairs of characters of unspaced scripts to ``out`` as keys."""
+    if not body.isascii() and _RUN.search(body):
+        for run in _RUN.findall(body):
+            out.update(map("w".__add__, map(str.__add__, run, run[1:])))
+        body = _RUN.sub(" ", body)
+    raw.update(body.split())
+
+
+def word_keys(raw: Counter, out: Counter) -> Counter:
+    for word, n in raw.items():
+        out["w" + gap_word(word[-40:], True)] += n
+    return out
+
+
+def place_keys(places: list[tuple[str, str, str, bool]], first: str | None, end: tuple[str, str] | None) -> list[str]:
+    """Keys of a text: chains of places one word apart, its certain start, its certain end."""
+    out, chain = [], []
+    for w1, w2, nxt, tied in places:
+        if chain and not tied:
+            out.append("c" + "\x1e".join(chain))
+            chain = []
+        chain.append(f"{w1}\x1f{w2}\x1f{nxt}")
+    if chain:
+        out.append("c" + "\x1e".join(chain))
+    if first:
+        out.append("s" + first)
+    if end:
+        out.append(f"e{end[0]}\x1f{end[1]}")
+    return out
+
+
 def observe(texts: list[tuple[str, int, bool, bool]]) -> Counter:
-    """``texts``: (text, where it starts, start is certain, end is certain). Counts of keys: chains of places, certain
-    starts and ends, and the words of the text."""
-    out: Counter = Counter()
+    """``texts``: (text, where it starts, start is certain, end is certain). Counts of the keys and words of texts."""
+    out, raw = Counter(), Counter()
     for text, low, sure_start, sure_end in texts:
         high = len(text.rstrip())
         if high <= low:
             continue
-        chain: list[str] = []
-        for _, w1, w2, nxt, tied in candidates(text, low, high, not sure_start, not sure_end):
-            if chain and not tied:
-                out["c" + "\x1e".join(chain)] += 1
-                chain = []
-            chain.append(f"{w1}\x1f{w2}\x1f{nxt}")
-        if chain:
-            out["c" + "\x1e".join(chain)] += 1
-        if sure_start:
-            out["s" + _right(text, low)] += 1
-        if sure_end:
-            w1, w2, _ = _left(text, high, low)
-            out[f"e{w1}\x1f{w2}"] += 1
-        body = text[low:high]
-        if _WIDE_CHAR.search(body) or _HAS_THAI.search(body):
-            for run in _RUN.findall(body):
-                out.update(["w" + run[k : k + 2] for k in range(len(run) - 1)])
-            body = _RUN.sub(" ", body)
-        out.update(["w" + gap_word(w[-40:], True) for w in body.split()])
-    return out
+        places = [(w1, w2, nxt, tied) for _, w1, w2, nxt, tied in candidates(text, low, high, not sure_start, not sure_end)]
+        out.update(place_keys(places, _right(text, low) if sure_start else None, _left(text, high, low)[:2] if sure_end else None))
+        count_words(raw, text[low:high], out)
+    return word_keys(raw, out)
+
 
+def indexed(key: str, n: int) -> tuple:
+    """A key as cells: (key or None, n, first guess, cells of the three histories, of the next word and its shape, of the
+    gap's two sides). Only a single place has cells; other kinds keep their key."""
+    if key[0] != "c" or "\x1e" in key:
+        return key, n, 0.0, -1, -1, -1, -1, -1, -1, -1
+    w1, w2, nxt = key[1:].split("\x1f")
+    return (
+        None, n, _first_guess(w1, w2, nxt), _cell(f"1{w1[-2:]}"), _cell(f"2{w1}"), _cell(f"3{w2}\x1f{w1}"), _cell("n" + nxt), _cell("s" + _shape(nxt)), _cell("e" + gap_word(w1, True)), _cell("b" + gap_word(nxt, False)),
+    )
 
-def expect(model: BoundaryModel | None, keys: list[str], times: list[int], last: bool) -> Counts:
-    """Expected counts under ``model``; without one, from the first guess, where only certain starts say which words begin a
-    unit."""
+
+INDEXED = "key string, n long, guess double, c1 int, c2 int, c3 int, cn int, cs int, ce int, cb int"
+
+
+def expect(model: BoundaryModel | None, rows: pd.DataFrame, last: bool) -> Counts:
+    """Expected counts of indexed keys under ``model``; without one, from the first guess, where only certain starts say which
+    words begin a unit. Single places are counted as vectors, chains of places one word apart by forward-backward."""
     new = Counts()
-    for key, n in zip(keys, times):
-        kind, rest = key[0], key[1:]
+    one = rows[rows.key.isna()]
+    if len(one):
+        c1, c2, c3, cn, cs, ce, cb = (one[c].to_numpy(np.int64) for c in ("c1", "c2", "c3", "cn", "cs", "ce", "cb"))
+        n = one.n.to_numpy(float)
+        p = one.guess.to_numpy(float) if model is None else model.posterior_cells(c1, c2, c3, cn, cs)
+        yes, no = n * p, n * (1 - p)
+        for c in (c1, c2, c3):
+            np.add.at(new.table[:, 0], c, no)
+            np.add.at(new.table[:, 1], c, yes)
+        for c in (cn, cs):
+            np.add.at(new.table[:, 0], c, no)
+            if model is not None:
+                np.add.at(new.table[:, 1], c, yes)
+        new.total[0] += no.sum()
+        if model is not None:
+            new.total[1] += yes.sum()
+        if last:
+            np.add.at(new.table[:, 1], ce, yes)
+            np.add.at(new.table[:, 1], cb, yes)
+            new.total[3] += yes.sum()
+    rest = rows[rows.key.notna()]
+    for key, n in zip(rest.key.tolist(), rest.n.tolist()):
+        kind, rest_of = key[0], key[1:]
         if kind == "c":
-            fields = [part.split("\x1f") for part in rest.split("\x1e")]
-            places = [(0, w1, w2, nxt, k > 0) for k, (w1, w2, nxt) in enumerate(fields)]
+            places = [(0, *part.split("\x1f"), k > 0) for k, part in enumerate(rest_of.split("\x1e"))]
             posterior = model.posteriors(places) if model else [_first_guess(c[1], "" if c[4] else c[2], c[3]) for c in places]
             before = 0.0
             for (_, w1, w2, nxt, tied), p in zip(places, posterior):
                 new.add(w1, "<b>" if tied and before > 0.5 else w2, nxt, p, n, model is not None, last)
                 before = p
         elif kind == "s":
-            new.first(rest, n, last)
+            new.first(rest_of, n, last)
         elif kind == "e":
-            w1, _, w2 = rest.partition("\x1f")
-            new.add(w1, w2, "", 1.0, 3 * n, gaps=False)
+            w1, _, w2 = rest_of.partition("\x1f")
+            new.add(w1, w2, "", 1.0, 3 * n)
             if last:
                 new.gap_end(w1, n)
         elif last:
-            new.word(rest, n)
+            new.word(rest_of, n)
     return new
 
 
 def train(texts: list[tuple[str, int, bool, bool]], rounds: int = ROUNDS) -> BoundaryModel:
     """Expectation maximisation on texts at hand."""
-    seen = observe(texts)
-    keys, times, model = list(seen), list(seen.values()), None
+    rows = pd.DataFrame([indexed(key, n) for key, n in observe(texts).items()], columns=[c.split()[0] for c in INDEXED.split(", ")])
+    model = None
     for r in range(rounds):
-        model = BoundaryModel(expect(model, keys, times, r + 1 == rounds))
+        model = BoundaryModel(expect(model, rows, r + 1 == rounds))
     return model
 
 
-def fit(chunks: DataFrame | None, contexts: DataFrame | None, rounds: int = ROUNDS) -> BoundaryModel:
-    """Expectation maximisation on counts over all of chunks.text and Entity.context. Keys are counted in one pass and
-    written; what reaches the driver in a round is at most CELLS sums."""
+def records(chunks: DataFrame | None, mentions: DataFrame | None) -> DataFrame:
+    """(rec_table, rec_id, text) of every distinct chunk (the greatest text of an id) and of each mention's latest context."""
     parts = []
     if chunks is not None:
-        parts.append(chunks.select(F.lit(True).alias("chunk"), "text"))
-    if contexts is not None:
-        parts.append(contexts.select(F.lit(False).alias("chunk"), F.col("context").alias("text")))
-    texts = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    spark = texts.sparkSession
+        one = chunks.filter("chunk_id is not null and text is not null").groupBy("chunk_id").agg(F.max("text").alias("text"))
+        parts.append(one.select(F.lit("chunks").alias("rec_table"), F.col("chunk_id").alias("rec_id"), "text"))
+    if mentions is not None:
+        latest = mentions.filter("mention_id is not null").groupBy("mention_id").agg(F.max_by("context", F.struct("ingested_at", "context")).alias("text"))
+        parts.append(latest.filter("text is not null").select(F.lit("entities").alias("rec_table"), F.col("mention_id").cast("string").alias("rec_id"), "text"))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def encode(text: str, chunk: bool) -> str | None:
+    """A text's places as one string, all that its units need: (title's span; body's span; ends of leading dots and start of
+    trailing ones; certain start and end), then each place (whether tied, end, next start, words). None for a blank text."""
+    low = body_start(text) if chunk else len(text) - len(text.lstrip())
+    high = len(text.rstrip())
+    title = text[:low]
+    t0, t1 = len(title) - len(title.lstrip()), len(title.rstrip())
+    if not chunk or t1 <= t0:
+        t0 = t1 = 0
+    if high <= low:
+        return f"{t0}\x1f{t1}\x1f0\x1f0\x1f0\x1f0\x1f\x1f\x1f" if t1 else None
+    cut_start, cut_end = (False, False) if chunk else is_cut(text[low:high])
+    start = low
+    while text[start].isspace():
+        start += 1
+    lead = low + len(text[low:high]) - len(text[low:high].lstrip(".… ")) if cut_start else 0
+    tail = low + len(text[low:high].rstrip(".… ")) if cut_end else high + 1
+    first = "" if cut_start else _right(text, low)
+    e1, e2 = ("", "") if cut_end else _left(text, high, low)[:2]
+    out = [f"{t0}\x1f{t1}\x1f{start}\x1f{high}\x1f{lead}\x1f{tail}\x1f{first}\x1f{e1}\x1f{e2}"]
+    for end, w1, w2, nxt, tied in candidates(text, low, high, cut_start, cut_end):
+        after = end
+        while text[after].isspace():
+            after += 1
+        out.append(f"{int(tied)}\x1f{end}\x1f{after}\x1f{w1}\x1f{w2}\x1f{nxt}")
+    return "\x1e".join(out)
+
+
+def long_stretch(text: str) -> bool:
+    """Whether some stretch of a text may be unpunctuated."""
+    return any(len(piece) > 2 * LONG and _words(piece, 0, len(piece)) >= LONG for piece in _ANY_FINAL.split(text)) if len(text) > 2 * LONG else False
+
+
+def prepare(rows: DataFrame) -> DataFrame:
+    """(rec_table, rec_id, places, text): the encoded places of each record, written once; the text only where a stretch may be
+    unpunctuated. Words of the texts come as rows of their own, rec_table null: rec_id the word, places its count."""
 
     def look(batches):
-        # a task's keys are summed up before they are shuffled, and given out whenever they have become many
+        raw, out = Counter(), Counter()
+        for pdf in batches:
+            enc = [encode(text, kind == "chunks") for kind, text in zip(pdf.rec_table, pdf.text)]
+            for kind, text in zip(pdf.rec_table, pdf.text):
+                count_words(raw, text[body_start(text) :] if kind == "chunks" else text, out)
+            kept = [text if long_stretch(text) else None for text in pdf.text]
+            yield pd.DataFrame({"rec_table": pdf.rec_table, "rec_id": pdf.rec_id, "places": enc, "text": pd.Series(kept, dtype=object, index=pdf.index)}).dropna(subset=["places"])
+            # a task's words are summed up, and given out whenever they have become many
+            if len(raw) > 200_000:
+                yield words(raw, out)
+                raw, out = Counter(), Counter()
+        yield words(raw, out)
+
+    def words(raw: Counter, out: Counter) -> pd.DataFrame:
+        found = word_keys(raw, out)
+        keys = list(found)
+        return pd.DataFrame({"rec_table": pd.Series([None] * len(keys), dtype=object), "rec_id": pd.Series(keys, dtype=object), "places": pd.Series([str(n) for n in found.values()], dtype=object), "text": pd.Series([None] * len(keys), dtype=object)})
+
+    return cut(rows.mapInPandas(look, "rec_table string, rec_id string, places string, text string"), "places")
+
+
+def fit_prepared(prepared: DataFrame, rounds: int = ROUNDS) -> BoundaryModel:
+    """Expectation maximisation on counts over all prepared records. What reaches the driver in a round is at most CELLS
+    sums."""
+    spark = prepared.sparkSession
+
+    def keys_of(batches):
         total: Counter = Counter()
         for pdf in batches:
-            rows = []
-            for chunk, text in zip(pdf.chunk, pdf.text):
-                if chunk:
-                    rows.append((text, body_start(text), True, True))
-                else:
-                    cut_start, cut_end = is_cut(text)
-                    rows.append((text, 0, not cut_start, not cut_end))
-            total.update(observe(rows))
+            for enc in pdf.places:
+                head, *places = enc.split("\x1e")
+                h = head.split("\x1f")
+                if h[3] == "0":
+                    continue
+                fields = [p.split("\x1f") for p in places]
+                total.update(place_keys([(f[3], f[4], f[5], f[0] == "1") for f in fields], h[6], (h[7], h[8]) if h[7] else None))
             if len(total) > 200_000:
                 yield pd.DataFrame({"key": list(total.keys()), "n": list(total.values())})
                 total = Counter()
         yield pd.DataFrame({"key": pd.Series(list(total.keys()), dtype=object), "n": pd.Series(list(total.values()), dtype="int64")})
 
-    found = texts.filter(r"text rlike '\\S'").mapInPandas(look, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    keys = cut(found, "places")
-    places = keys.filter("key not like 'w%'")
+    def index(batches):
+        for pdf in batches:
+            yield pd.DataFrame([indexed(key, n) for key, n in zip(pdf.key, pdf.n)], columns=[c.split()[0] for c in INDEXED.split(", ")])
+
+    found = prepared.filter("rec_table is not null").select("places").mapInPandas(keys_of, "key string, n long")
+    words = prepared.filter("rec_table is null").select(F.col("rec_id").alias("key"), F.col("places").cast("long").alias("n"))
+    keys = cut(found.unionByName(words).groupBy("key").agg(F.sum("n").alias("n")).mapInPandas(index, INDEXED), "keys")
+    places = keys.filter("key is null or key not like 'w%'")
     model = None
     for r in range(rounds):
         shared, last = spark.sparkContext.broadcast(model), r + 1 == rounds
@@ -507,7 +641,7 @@ def fit(chunks: DataFrame | None, contexts: DataFrame | None, rounds: int = ROUN
         def sums(batches, shared=shared, last=last):
             total = Counts()
             for pdf in batches:
-                part = expect(shared.value, pdf.key.tolist(), pdf.n.tolist(), last)
+                part = expect(shared.value, pdf, last)
                 total.table += part.table
                 total.total += part.total
             at = np.flatnonzero(total.table.any(1)).astype(np.int32)
@@ -521,11 +655,15 @@ def fit(chunks: DataFrame | None, contexts: DataFrame | None, rounds: int = ROUN
         for k, cell in enumerate((-1, -2)):
             if (at == cell).any():
                 new.total[2 * k : 2 * k + 2] = values[at == cell][0]
-        shared.unpersist()
         model = BoundaryModel(new)
     return model
 
 
+def fit(chunks: DataFrame | None, contexts: DataFrame | None) -> BoundaryModel:
+    """The model of all of chunks.text and Entity.context."""
+    return fit_prepared(prepare(records(chunks, contexts)))
+
+
 def chunk_units(model: BoundaryModel, text: str) -> list[tuple[int, int]]:
     """Units of a chunk: its title (up to the first blank line) and the sentences of its body."""
     at = body_start(text)
@@ -551,24 +689,48 @@ def context_units(model: BoundaryModel, text: str) -> list[tuple[int, int]]:
     return units
 
 
+def encoded_units(model: BoundaryModel, enc: str) -> list[tuple[int, int]]:
+    """Units of an encoded text, as chunk_units and context_units give them."""
+    head, *places = enc.split("\x1e")
+    h = head.split("\x1f")
+    t0, t1, start, high, lead, tail = map(int, h[:6])
+    units = [(t0, t1)] if t1 else []
+    if not high:
+        return units
+    body = []
+    if places:
+        fields = [p.split("\x1f") for p in places]
+        where = [(int(f[1]), f[3], f[4], f[5], f[0] == "1") for f in fields]
+        for place, f, p in zip(where, fields, model.posteriors(where)):
+            if model.ends_unit(place, p) and place[0] > start:  # two places may share an end
+                body.append((start, place[0]))
+                start = int(f[2])
+    body.append((start, high))
+    if lead and len(body) > 1 and body[0][1] <= lead:
+        body = [(body[0][0], body[1][1])] + body[2:]
+    if len(body) > 1 and body[-1][0] >= tail:
+        body = body[:-2] + [(body[-2][0], body[-1][1])]
+    return units + body
+
+
 def sentences(chunks: DataFrame, mentions: DataFrame, model: BoundaryModel | None = None) -> DataFrame:
     """(rec_table, rec_id, unit_no, start_char, end_char) of every distinct chunk and every mention's context.
 
     Rows of one id count once: the greatest text of a chunk_id, the context of a mention's latest delivery. Null ids
     and null, empty or blank texts give no unit. Offsets count code points; an end is exclusive.
     """
-    model = model or fit(chunks, mentions)
-    shared = chunks.sparkSession.sparkContext.broadcast(model)
-    one = chunks.filter("chunk_id is not null and text is not null").groupBy("chunk_id").agg(F.max("text").alias("text"))
-    latest = mentions.filter("mention_id is not null").groupBy("mention_id").agg(F.max_by("context", F.struct("ingested_at", "context")).alias("text"))
-    rows = one.select(F.lit("chunks").alias("rec_table"), F.col("chunk_id").alias("rec_id"), "text").unionByName(latest.filter("text is not null").select(F.lit("entities").alias("rec_table"), F.col("mention_id").cast("string").alias("rec_id"), "text"))
+    prepared = prepare(records(chunks, mentions))
+    shared = chunks.sparkSession.sparkContext.broadcast(model or fit_prepared(prepared))
 
     def run(batches):
         m = shared.value
         for pdf in batches:
             tables, ids, nos, starts, ends = [], [], [], [], []
-            for kind, rec, text in zip(pdf.rec_table, pdf.rec_id, pdf.text):
-                units = chunk_units(m, text) if kind == "chunks" else context_units(m, text)
+            for kind, rec, enc, text in zip(pdf.rec_table, pdf.rec_id, pdf.places, pdf.text):
+                if text is None:
+                    units = encoded_units(m, enc)
+                else:
+                    units = chunk_units(m, text) if kind == "chunks" else context_units(m, text)
                 tables += [kind] * len(units)
                 ids += [rec] * len(units)
                 nos += range(1, len(units) + 1)
@@ -576,4 +738,4 @@ def sentences(chunks: DataFrame, mentions: DataFrame, model: BoundaryModel | Non
                 ends += [u[1] for u in units]
             yield pd.DataFrame({"rec_table": pd.Series(tables, dtype=object), "rec_id": pd.Series(ids, dtype=object), "unit_no": pd.Series(nos, dtype="int32"), "start_char": pd.Series(starts, dtype="int32"), "end_char": pd.Series(ends, dtype="int32")})
 
-    return rows.mapInPandas(run, "rec_table string, rec_id string, unit_no int, start_char int, end_char int")
+    return prepared.filter("rec_table is not null").mapInPandas(run, "rec_table string, rec_id string, unit_no int, start_char int, end_char int")
