@@ -31,7 +31,7 @@ MAX_LABELLED = 8_000  # rated documents the classifiers are trained on, chosen b
 MAX_CHARS = 16_000_000  # and their characters, on average
 UNLABELLED = 12_000  # sentences of documents rated clean, half of them from the novel layer, weighted back to its share
 STEPS, ROUNDS = 45, 2
-RARE = 0.002  # a 4-gram met fewer times than this share of the documents is rare
+RARE, FEW = 0.002, 5.0  # a 4-gram met fewer times than this share of the documents, or fewer times than this, is rare
 NOVEL = 0.98  # quantile of novelty beyond which a sentence may be what a document was rated for
 LIFT = 8.0  # least lift of a novel sentence
 SUPPORT, SURE = 3.0, 20.0  # documents and lift that tell without novelty
@@ -133,11 +133,15 @@ def gram_counts(texts: list[str]) -> np.ndarray:
     return np.bincount(_cells(grams(texts)[0][0], CORPUS_BITS), minlength=1 << CORPUS_BITS)
 
 
+def rare_below(documents: int) -> float:
+    return max(FEW, RARE * documents)
+
+
 class Background:
-    """Which 4-grams are rare in the corpus: met fewer times than RARE of its documents. Fixed size."""
+    """Which 4-grams are rare in the corpus: see rare_below. Fixed size."""
 
     def __init__(self, counts: np.ndarray, documents: int):
-        self.rare = counts < max(1.0, RARE * documents)
+        self.rare = counts < rare_below(documents)
 
     def novelty(self, units: list[str]) -> np.ndarray:
         """Share of rare 4-grams in each unit; a short unit counts as one of MIN_GRAMS."""
@@ -322,9 +326,9 @@ def corpus(documents: DataFrame) -> Background:
     sums = texts.select("text").mapInPandas(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     # only whether a cell is rare matters, so no more than the frequent ones are sent
     n = texts.count()
-    frequent = sums.filter(F.col("n") >= max(1.0, RARE * n)).select("cell").toPandas()
+    frequent = sums.filter(F.col("n") >= rare_below(n)).select("cell").toPandas()
     counts = np.zeros(1 << CORPUS_BITS)
-    counts[frequent["cell"].to_numpy(np.int64)] = max(1.0, RARE * n)
+    counts[frequent["cell"].to_numpy(np.int64)] = rare_below(n)
     return Background(counts, n)
 
 
