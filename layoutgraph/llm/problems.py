@@ -42,10 +42,10 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p5_classes(spark: SparkSession, sf: str) -> DataFrame:
-    """Every PERSON or ORG spelling with its class and the class's size."""
+    """Every PERSON or ORG spelling with its class, the class's size and the number of its links."""
     classed = names.classes(table(spark, sf, "entities"))
     sizes = classed.groupBy("kind", "cls").agg(F.count(F.lit(1)).alias("spellings"))
-    return classed.join(sizes, ["kind", "cls"]).select("value", "kind", "cls", "spellings")
+    return classed.join(sizes, ["kind", "cls"]).select("value", "kind", "cls", "spellings", (F.col("spellings") - 1).alias("links"))
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:

@@ -140,6 +140,19 @@ def test_deletes_miss_no_neighbour():
             assert names.deletes(a) & names.deletes(b), (a, b)
 
 
+def test_assignment_against_brute_force():
+    from itertools import permutations
+
+    rng = random.Random(8)
+    for _ in range(200):
+        n = rng.randrange(0, 6)
+        costs = [[rng.choice([0.0, 0.5, 1.0, 3.0, 1e6]) + rng.random() for _ in range(n)] for _ in range(n)]
+        want = min(sum(costs[i][p[i]] for i in range(n)) for p in permutations(range(n)))
+        assert math.isclose(names.assign(costs), want, abs_tol=1e-6)
+    long = [f"word{k}x" for k in range(9)]
+    assert names.align(long[::-1], long) < 0.1 and names.align(["zzzz", *long[1:]], long) == float("inf")
+
+
 def test_alignment():
     assert names.align(["mgmt", "cap"], ["capital", "management"]) < 3
     assert names.align(["e", "h"], ["energy", "holding"]) < 3
