@@ -10,9 +10,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from layoutgraph.functions import text as T
 
-LEVELS = 9  # heading levels told apart; deeper ones count as this
-
-
 def titled_blocks(blocks: DataFrame, elements: DataFrame | None = None) -> DataFrame:
     """Non-blank blocks in reading order with level, title and section number (0 = before the first heading).
 
@@ -34,12 +31,16 @@ def sections(titled: DataFrame) -> DataFrame:
 
     A heading without body gives no section but stays in the hierarchy of those below it: a section's hierarchy holds, of
     the headings before it, each that no later heading of its level or above has closed."""
-    order = Window.partitionBy("source_hash").orderBy("section")
-    heads = titled.filter("level > 0").select("source_hash", "section", F.least("level", F.lit(LEVELS)).alias("level"), "title", F.col("block_index").alias("title_index"), F.col("page_number").alias("title_page"))
-    for k in range(1, LEVELS + 1):
-        heads = heads.withColumn(f"_h{k}", F.last(F.when(F.col("level") == k, F.struct("section", "title")), True).over(order)).withColumn(f"_c{k}", F.last(F.when(F.col("level") < k, F.col("section")), True).over(order))
-    open_at = [F.when((F.col("level") >= k) & (F.col(f"_h{k}.section") > F.coalesce(F.col(f"_c{k}"), F.lit(-1))), F.col(f"_h{k}.title")) for k in range(1, LEVELS + 1)]
-    heads = heads.withColumn("hierarchy", F.filter(F.array(*open_at), lambda x: x.isNotNull())).drop(*[f"_{x}{k}" for x in "hc" for k in range(1, LEVELS + 1)])
+    heads = titled.filter("level > 0").select("source_hash", "section", "level", "title", F.col("block_index").alias("title_index"), F.col("page_number").alias("title_page"))
+    listed = heads.groupBy("source_hash").agg(F.array_sort(F.collect_list(F.struct("section", "level", "title"))).alias("hs"))
+    start = F.struct(F.expr("cast(array() as array<struct<level:int,title:string>>)").alias("open"), F.expr("cast(array() as array<array<string>>)").alias("out"))
+
+    def step(acc, h):
+        still = F.array_append(F.filter(acc["open"], lambda o: o["level"] < h["level"]), F.struct(h["level"].alias("level"), h["title"].alias("title")))
+        return F.struct(still.alias("open"), F.array_append(acc["out"], F.transform(still, lambda o: o["title"])).alias("out"))
+
+    stacks = listed.select("source_hash", F.explode(F.arrays_zip(F.transform("hs", lambda h: h["section"]).alias("section"), F.aggregate("hs", start, step)["out"].alias("hierarchy"))).alias("z")).select("source_hash", "z.section", "z.hierarchy")
+    heads = heads.join(stacks, ["source_hash", "section"])
     body = titled.filter("level = 0").groupBy("source_hash", "section").agg(
         F.array_sort(F.collect_list(F.struct("block_index", "block_id", F.col("txt").alias("text"), F.col("page_number").alias("page"), F.coalesce("block_type", F.lit("text")).alias("kind")))).alias("records")
     )

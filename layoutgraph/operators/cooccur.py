@@ -16,12 +16,13 @@ def baskets(rows: DataFrame, basket: str | Column, item: str | Column) -> DataFr
     return rows.select(col(basket).alias("basket"), col(item).alias("item")).filter(F.col("basket").rlike(r"\S") & F.col("item").rlike(r"\S")).distinct()
 
 
-def pair_counts(members: DataFrame, n: int, min_count: int = 1, min_lift: float = 0.0) -> DataFrame:
+def pair_counts(members: DataFrame, n: int, min_count: int = 1, min_lift: float = 0.0, lists: bool = False) -> DataFrame:
     """Pairs a < b of items sharing a basket: (a, b, n_ab, n_a, n_b), for the pairs with n_ab >= ``min_count`` and
     n_ab * n >= ``min_lift`` * n_a * n_b, where n is the number of baskets.
 
     ``members`` holds distinct (basket, item). As n_ab <= min(n_a, n_b), an item rarer than ``min_count`` or more
     frequent than n / ``min_lift`` is in no such pair and is dropped before pairing; no qualifying pair is lost.
+    With ``lists`` a column baskets holds the sorted baskets of each pair.
     Baskets above BASKET_LIMIT items are cut into blocks whose pairs of blocks are spread over tasks.
     """
     freq = members.groupBy("item").agg(F.count(F.lit(1)).alias("n_item"))
@@ -43,12 +44,12 @@ def pair_counts(members: DataFrame, n: int, min_count: int = 1, min_lift: float
         # two items of one block meet in every pair of blocks that holds theirs; only (block, block) itself counts
         own_of = lambda c: F.pmod(F.xxhash64(c), F.col("blocks"))
         met = met.join(large.select("basket", blocks.alias("blocks")), "basket")
-        pairs = met.filter((own_of("a") != own_of("b")) | (F.col("lo") == F.col("hi"))).select("a", "b", "n_a", "n_b")
-    lists = small_rows.groupBy("basket").agg(F.sort_array(F.collect_list(F.struct("item", "n_item"))).alias("xs")).filter(F.size("xs") > 1)
+        pairs = met.filter((own_of("a") != own_of("b")) | (F.col("lo") == F.col("hi"))).select("basket", "a", "b", "n_a", "n_b")
+    many = small_rows.groupBy("basket").agg(F.sort_array(F.collect_list(F.struct("item", "n_item"))).alias("xs")).filter(F.size("xs") > 1)
     met = F.expr("explode(flatten(transform(xs, (x, i) -> transform(slice(xs, i + 2, size(xs)), y -> struct(x.item as a, y.item as b, x.n_item as n_a, y.n_item as n_b)))))")
-    small = lists.select(met.alias("p")).select("p.*")
+    small = many.select("basket", met.alias("p")).select("basket", "p.*")
     pairs = small if pairs is None else small.unionByName(pairs)
-    found = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_ab"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
+    found = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_ab"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"), *([F.array_sort(F.collect_list("basket")).alias("baskets")] if lists else []))
     return found.filter((F.col("n_ab") >= min_count) & (F.col("n_ab") * F.lit(float(n)) >= F.lit(float(min_lift)) * F.col("n_a") * F.col("n_b")))
 
 

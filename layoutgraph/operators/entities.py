@@ -22,6 +22,7 @@ LABEL_TYPES = {
     "person": "PERSON", "organization": "ORG", "financial model": "CONCEPT", "financial instrument": "CONCEPT", "economic concept": "CONCEPT", "formula": "FORMULA", "date": "DATE", "location": "LOCATION", "publication": "WORK", "university": "ORG",
 }
 
+FAILED = "FAILED"
 MENTION_SCHEMA = "chunk_id string, ord int, text string, entity_type string, confidence double, start_char int, end_char int, engine string"
 
 
@@ -31,9 +32,10 @@ class Recogniser(Protocol):
     def extract(self, text: str, chunk_id: str): ...
 
 
-def recognise(chunks: DataFrame, factory: Callable[[], Recogniser], engine: str) -> DataFrame:
-    """Mentions of every chunk by a recogniser that is made once per Python worker. A chunk on which it fails gives no
-    mention; the others go on."""
+def recognise(chunks: DataFrame, factory: Callable[[], Recogniser], engine: str, types: dict[str, str] | None = None, upper_unknown: bool = False) -> DataFrame:
+    """Mentions of every chunk by a recogniser that is made once per Python worker. A chunk on which it fails gives one row
+    of type FAILED with the error as its text (see failures); the others go on. ``types`` maps a model's labels
+    (MODEL_TYPES, LABEL_TYPES; see map_labels)."""
 
     def run(batches: Iterator[pd.DataFrame]):
         recogniser = factory()
@@ -42,12 +44,41 @@ def recognise(chunks: DataFrame, factory: Callable[[], Recogniser], engine: str)
             for chunk, text in zip(pdf.chunk_id, pdf.text):
                 try:
                     hits = list(recogniser.extract(text or "", chunk))
-                except Exception:
+                except Exception as error:
+                    out.append((chunk, -1, f"{type(error).__name__}: {error}", FAILED, None, None, None, engine))
                     continue
                 out += [(chunk, n, *hit, engine) for n, hit in enumerate(hits)]
             yield pd.DataFrame(out, columns=["chunk_id", "ord", "text", "entity_type", "confidence", "start_char", "end_char", "engine"])
 
-    return chunks.select("chunk_id", "text").mapInPandas(run, MENTION_SCHEMA)
+    found = chunks.select("chunk_id", "text").mapInPandas(run, MENTION_SCHEMA)
+    if types is None:
+        return found
+    label = F.col("entity_type")
+    return found.withColumn("entity_type", F.when(label == FAILED, label).otherwise(map_labels(label, types, upper_unknown)))
+
+
+def failures(found: DataFrame) -> DataFrame:
+    """(chunk_id, engine, error) of the chunks on which a recogniser failed."""
+    return found.filter(F.col("entity_type") == FAILED).select("chunk_id", "engine", F.col("text").alias("error"))
+
+
+def candidate_filter(found: DataFrame, chunks: DataFrame | None = None, least_chunk: int = 20, least: int = 2, most: int = 100, threshold: float = 0.4) -> DataFrame:
+    """Candidates worth keeping: of chunks of at least ``least_chunk`` characters (where ``chunks`` is given), names of
+    ``least`` to ``most`` characters, confidence at or above ``threshold`` (an unknown one passes), no failures."""
+    kept = found.filter((F.col("entity_type") != FAILED) & F.length(T.strip(F.col("text"))).between(least, most) & (F.coalesce("confidence", F.lit(1.0)) >= threshold))
+    if chunks is not None:
+        kept = kept.join(chunks.filter(F.length(T.strip(F.col("text"))) >= least_chunk).select("chunk_id"), "chunk_id", "left_semi")
+    return kept
+
+
+def unite(*found: DataFrame) -> DataFrame:
+    """Mentions of several recognisers together, numbered anew in each chunk: by recogniser as given, then as found."""
+    out = None
+    for k, df in enumerate(found):
+        part = df.withColumn("_from", F.lit(k))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    order = Window.partitionBy("chunk_id").orderBy("_from", "ord")
+    return out.withColumn("ord", (F.row_number().over(order) - 1).cast("int")).drop("_from")
 
 
 def rule_mentions(chunks: DataFrame) -> DataFrame:
@@ -95,14 +126,20 @@ def deduplicate(mentions: DataFrame) -> DataFrame:
     order of mentions, page range, united element ids. NaN confidence counts as none; mention_id gives the order.
 
     Columns used: mention_id, text, normalized, entity_type, confidence, chunk_id, source_doc, context, page_start,
-    page_end, section_title, source_element_ids, related_element_ids. Groups are kept apart by null keys too.
+    page_end, section_title, source_element_ids, related_element_ids; engine and block_indices where they are there. Groups
+    are kept apart by null keys too.
     """
     conf = F.when(F.isnan("confidence"), None).otherwise(F.col("confidence"))
     order = F.struct(F.coalesce(conf, F.lit(-1.0)), -F.col("mention_id"))
     ids = lambda c: F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("mention_id", F.coalesce(c, F.array().cast("array<string>")).alias("x")))), lambda s: s["x"])))
+    more = []
+    if "engine" in mentions.columns:
+        more.append(F.array_sort(F.collect_set("engine")).alias("engines"))
+    if "block_indices" in mentions.columns:
+        more.append(F.array_sort(F.array_distinct(F.flatten(F.collect_set("block_indices")))).alias("block_indices"))
     return mentions.withColumn("_chunks", T.split_ids(F.col("chunk_id"))).groupBy("source_doc", "normalized", "entity_type").agg(
         F.max_by("text", order).alias("text"), F.max(conf).alias("confidence"), F.max_by("context", order).alias("context"), F.max_by("section_title", order).alias("section_title"), ids(F.col("_chunks")).alias("chunk_ids"),
-        F.min("page_start").alias("page_start"), F.max("page_end").alias("page_end"), ids(F.col("source_element_ids")).alias("source_element_ids"), ids(F.col("related_element_ids")).alias("related_element_ids"), F.count(F.lit(1)).alias("mentions"), F.min("mention_id").alias("first_mention"),
+        F.min("page_start").alias("page_start"), F.max("page_end").alias("page_end"), ids(F.col("source_element_ids")).alias("source_element_ids"), ids(F.col("related_element_ids")).alias("related_element_ids"), F.count(F.lit(1)).alias("mentions"), F.min("mention_id").alias("first_mention"), *more,
     )
 
 

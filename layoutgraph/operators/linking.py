@@ -30,14 +30,14 @@ def element_label() -> Column:
     return F.coalesce(F.when(F.coalesce("ref_label", F.lit("")) != "", F.col("ref_label")), some("caption", 80), some("text", 80), F.col("element_id"))
 
 
-def registry(elements: DataFrame, shared: DataFrame) -> DataFrame:
-    """Every element once: parsed ones first, then ones only known from elsewhere (element_id, element_type, ref_label,
-    caption, section_title and what they lack as null)."""
-    parsed = elements.withColumn("origin", F.lit(0))
-    other = shared.withColumn("origin", F.lit(1))
-    both = parsed.unionByName(other, allowMissingColumns=True)
+def registry(elements: DataFrame, *others: DataFrame) -> DataFrame:
+    """Every element once: parsed ones first, then ones only known from elsewhere (shared exhibits, summaries in chunks or
+    entities), in the order given; what they lack is null."""
+    both = elements.withColumn("origin", F.lit(0))
+    for k, other in enumerate(others, 1):
+        both = both.unionByName(other.withColumn("origin", F.lit(k)), allowMissingColumns=True)
     first = Window.partitionBy("element_id").orderBy("origin", F.col("source_hash").asc_nulls_last())
-    return both.filter("element_id is not null").withColumn("_r", F.row_number().over(first)).filter("_r = 1").drop("_r")
+    return both.filter("element_id is not null").withColumn("_r", F.row_number().over(first)).filter("_r = 1").drop("_r", "origin")
 
 
 def nodes(documents: DataFrame, chunks: DataFrame, elements: DataFrame, entities: DataFrame) -> DataFrame:
@@ -126,6 +126,35 @@ def near_edges(ranked: DataFrame) -> DataFrame:
     return ranked.select(F.col("ent").alias("source"), element_node(F.col("element_id")).alias("target"), F.lit("DISCUSSED_NEAR").alias("relation"), F.greatest(score, F.lit(1.0)).alias("weight"), F.greatest(F.size("evidence"), F.lit(1)).cast("long").alias("evidence"))
 
 
+def near_details(ranked: DataFrame, most: int = 12) -> DataFrame:
+    """DISCUSSED_NEAR edges with what they rest on: (source, target, score_e4, reasons, evidence: at most ``most`` chunks)."""
+    return ranked.select(F.col("ent").alias("source"), element_node(F.col("element_id")).alias("target"), "score_e4", "reasons", F.slice("evidence", 1, most).alias("evidence"))
+
+
+def node_type_counts(nodes_: DataFrame) -> DataFrame:
+    return nodes_.groupBy("node_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def relation_targets(nodes_: DataFrame, edges: DataFrame) -> DataFrame:
+    """(relation, target_type, n)."""
+    kinds = nodes_.groupBy(F.col("id").alias("target")).agg(F.min("node_type").alias("target_type"))
+    return edges.join(kinds, "target", "left").groupBy("relation", F.coalesce("target_type", F.lit("unknown")).alias("target_type")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def link_summary(nodes_: DataFrame, edges: DataFrame) -> DataFrame:
+    """One row: nodes by the types a report names, and links by relation and target."""
+    kinds = ("document", "entity", "chunk", "figure", "caption", "table", "formula")
+    n = nodes_.agg(F.count(F.lit(1)).alias("nodes"), *[F.count_if(F.col("node_type") == k).alias(k + "_nodes") for k in kinds])
+    t = relation_targets(nodes_, edges)
+    total = lambda test: F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0)).cast("long")
+    rel, to = F.col("relation"), F.col("target_type")
+    e = t.agg(
+        total(F.lit(True)).alias("edges"), total(rel == "HAS_CAPTION").alias("caption_links"), total(rel == "RELATED_TO").alias("chunk_related_links"), total((rel == "DISCUSSED_NEAR") & (to == "figure")).alias("entity_figure_links"),
+        total((rel == "DISCUSSED_NEAR") & (to == "table")).alias("entity_table_links"),
+    )
+    return n.crossJoin(e)  # two tables of one row
+
+
 def relation_counts(edges: DataFrame) -> DataFrame:
     return edges.groupBy("relation").agg(F.count(F.lit(1)).alias("n"), F.sum("evidence").alias("evidence"))
 

@@ -39,9 +39,9 @@ def related_elements(chunks: DataFrame, elements: DataFrame, sources: DataFrame
     c = chunks.select(
         "chunk_id", "source_hash", "page_start", "page_end", F.array_compact(F.array_append(F.coalesce("section_hierarchy", F.array().cast("array<string>")), F.col("section_title"))).alias("sections"), F.array_min("block_indices").alias("lo"), F.array_max("block_indices").alias("hi"),
     )
-    here = F.col("page_number").between(F.col("page_start"), F.col("page_end"))
+    c = c.filter("page_start <= page_end").withColumn("page_number", F.explode(F.sequence("page_start", "page_end")))
     close = F.coalesce(F.array_contains("sections", F.col("section_title")), F.lit(False)) | F.coalesce(F.col("at").between(F.col("lo") - NEAR_BLOCKS, F.col("hi") + NEAR_BLOCKS), F.lit(False))
-    around = c.join(structured, "source_hash").filter(here & close)
+    around = c.join(structured, ["source_hash", "page_number"]).filter(close)
     reverse = sources.select("chunk_id", F.col("element_id").alias("linked")).join(structured.select("element_id", "linked"), "linked").select("chunk_id", "element_id")
     every = own.unionByName(hops(src)).unionByName(around.select("chunk_id", "element_id")).unionByName(hops(around)).unionByName(reverse).distinct()
     return every.join(el.select("element_id"), "element_id", "left_semi").select("chunk_id", "element_id")

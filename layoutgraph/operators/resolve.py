@@ -57,23 +57,27 @@ def similar_names(names: DataFrame, strict: bool = True) -> DataFrame:
     """(a, b), a < b: names where one contains the other, or whose edit distance is at most 2 and under a fifth of the
     longer. Strict: containment from 4 characters, edits from 6; baseline: 3 and 5. Column: name, distinct and not null.
 
-    Candidates come from blocking that misses none: a name contained in another starts with a gram that the other holds
-    somewhere; of a name cut in three, one piece survives two edits, moved by two places at most.
+    Candidates come from blocking that misses none: a name contained in another shares all its grams with it, so they meet
+    at the rarest of them; of a name cut in three, one piece survives two edits, moved by two places at most, so names
+    meet at the piece, its place and the length of the other, and no key holds more than fits all three.
     """
     least = 4 if strict else 3
     edit = 6 if strict else 5
-    base = names.select("name").filter(F.col("name").isNotNull()).distinct().withColumn("n", F.length("name"))
-    heads = base.filter(F.col("n") >= least).select(F.col("name").alias("short"), F.col("n").alias("ns"), F.substring("name", 1, least).alias("gram"))
-    held = base.filter(F.col("n") >= least).select(F.col("name").alias("long"), F.col("n").alias("nl"), F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.col("n") - least + 1), lambda i: F.col("name").substr(i, F.lit(least))))).alias("gram"))
-    inside = heads.join(held, "gram").filter((F.col("short") != F.col("long")) & (F.col("ns") <= F.col("nl")) & F.col("long").contains(F.col("short"))).select(F.least("short", "long").alias("a"), F.greatest("short", "long").alias("b"))
+    base = cut(names.select("name").filter(F.col("name").isNotNull()).distinct().withColumn("n", F.length("name")), "names")
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.col("n") - least + 1), lambda i: F.col("name").substr(i, F.lit(least))))
+    held = base.filter(F.col("n") >= least).select("name", "n", F.explode(grams).alias("gram"))
+    common = held.groupBy("gram").agg(F.count(F.lit(1)).alias("k"))
+    rarest = held.join(common, "gram").groupBy("name", "n").agg(F.min(F.struct("k", "gram")).alias("g")).select(F.col("name").alias("short"), F.col("n").alias("ns"), F.col("g.gram").alias("gram"))
+    inside = rarest.join(held.withColumnsRenamed({"name": "long", "n": "nl"}), "gram").filter((F.col("short") != F.col("long")) & (F.col("ns") <= F.col("nl")) & F.col("long").contains(F.col("short"))).select(F.least("short", "long").alias("a"), F.greatest("short", "long").alias("b"))
     # distance 1 needs 6 characters in the longer, distance 2 needs 11; pieces are cut from the shorter
     words = base.filter(F.col("n") >= edit)
     third = F.floor(F.col("n") / 3).cast("int")
     cuts = F.array(F.struct(F.lit(1).alias("at"), third.alias("len")), F.struct((third + 1).alias("at"), third.alias("len")), F.struct((third * 2 + 1).alias("at"), (F.col("n") - third * 2).alias("len")))
-    pieces = words.select("name", "n", F.explode(cuts).alias("c")).select("name", F.col("n").alias("ns"), F.col("c.at").alias("at"), F.col("name").substr(F.col("c.at"), F.col("c.len")).alias("piece"))
-    lengths = pieces.select(F.length("piece").alias("len")).distinct()
-    spans = words.join(F.broadcast(lengths), F.col("len") <= F.col("n")).select("name", "n", "len", F.explode(F.sequence(F.lit(1), F.col("n") - F.col("len") + 1)).alias("at")).select(F.col("name").alias("other"), F.col("n").alias("no"), F.col("at").alias("there"), F.col("name").substr(F.col("at"), F.col("len")).alias("piece"))
-    met = pieces.join(spans, "piece").filter((F.col("name") != F.col("other")) & (F.col("ns") <= F.col("no")) & (F.col("no") - F.col("ns") <= 2) & (F.abs(F.col("at") - F.col("there")) <= 2)).select("name", "other", "no").distinct()
+    pieces = words.select("name", F.col("n").alias("ns"), F.explode(cuts).alias("c")).select("name", "ns", F.col("c.at").alias("at"), F.col("name").substr(F.col("c.at"), F.col("c.len")).alias("piece"))
+    lengths = pieces.select(F.length("piece").alias("len")).distinct()  # a third of a name's length: few values
+    moved = pieces.select("name", "ns", "piece", F.explode(F.sequence(F.col("at") - 2, F.col("at") + 2)).alias("there")).filter("there > 0").select("name", "ns", "piece", "there", F.explode(F.sequence(F.col("ns"), F.col("ns") + 2)).alias("no"))
+    spans = words.join(F.broadcast(lengths), F.col("len") <= F.col("n")).select("name", "n", "len", F.explode(F.sequence(F.lit(1), F.col("n") - F.col("len") + 1)).alias("there")).select(F.col("name").alias("other"), F.col("n").alias("no"), "there", F.col("name").substr(F.col("there"), F.col("len")).alias("piece"))
+    met = moved.join(spans, ["piece", "there", "no"]).filter(F.col("name") != F.col("other")).select("name", "other", "no").distinct()
     distance = F.levenshtein("name", "other", 2)
     edits = met.withColumn("d", distance).filter((F.col("d") >= 0) & (F.col("d") / F.col("no") < 0.2)).select(F.least("name", "other").alias("a"), F.greatest("name", "other").alias("b"))
     return inside.unionByName(edits).distinct()
@@ -108,7 +112,8 @@ def greedy_clusters(names: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def resolved_entities(entities: DataFrame, clusters: DataFrame) -> DataFrame:
     """One row per canonical name: the commonest text and type (first seen wins a tie), highest confidence, frequency (entity
-    records, not mentions), sorted chunks and documents, longest context, five aliases. Expects first_mention for order."""
+    records, not mentions), sorted chunks and documents, longest context, five aliases, and the united element ids, section
+    titles, recognisers and block indices (of those columns that ``entities`` has). Expects first_mention for order."""
     rows = entities.filter(F.col("normalized").isNotNull()).join(clusters.withColumnsRenamed({"name": "normalized"}), "normalized")
 
     def modal(column: str) -> DataFrame:
@@ -119,9 +124,17 @@ def resolved_entities(entities: DataFrame, clusters: DataFrame) -> DataFrame:
     main = rows.groupBy("canonical").agg(
         F.max("confidence").alias("confidence"), F.count(F.lit(1)).alias("frequency"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("chunk_ids")))).alias("chunk_ids"), F.array_sort(F.collect_set("source_doc")).alias("source_docs"), longest.alias("context"),
         F.array_sort(F.collect_set("text")).alias("texts"), F.array_distinct(F.flatten(F.collect_set("source_element_ids"))).alias("source_element_ids"), F.array_distinct(F.flatten(F.collect_set("related_element_ids"))).alias("related_element_ids"),
+        F.array_sort(F.collect_set(F.when(F.col("section_title") != "", F.col("section_title")) if "section_title" in entities.columns else F.lit(None).cast("string"))).alias("section_titles"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("engines" if "engines" in entities.columns else F.lit(None).cast("array<string>"))))).alias("engines"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("block_indices" if "block_indices" in entities.columns else F.lit(None).cast("array<int>"))))).alias("block_indices"),
     )
     out = main.join(modal("text"), "canonical").join(modal("entity_type"), "canonical", "left")
-    return out.select(F.col("canonical").alias("normalized"), F.col("best_text").alias("text"), F.col("best_entity_type").alias("entity_type"), "confidence", "frequency", "chunk_ids", "source_docs", F.substring("context", 1, 300).alias("context"), F.slice(F.array_except("texts", F.array("best_text")), 1, 5).alias("aliases"), "source_element_ids", "related_element_ids")
+    return out.select(F.col("canonical").alias("normalized"), F.col("best_text").alias("text"), F.col("best_entity_type").alias("entity_type"), "confidence", "frequency", "chunk_ids", "source_docs", F.substring("context", 1, 300).alias("context"), F.slice(F.array_except("texts", F.array("best_text")), 1, 5).alias("aliases"), "source_element_ids", "related_element_ids", "section_titles", "engines", "block_indices")
+
+
+def by_frequency(resolved: DataFrame, k: int) -> DataFrame:
+    """The ``k`` most frequent resolved entities, in order; equal frequencies by name."""
+    return resolved.orderBy(F.desc("frequency"), "normalized").limit(k)
 
 
 def related_refs(resolved: DataFrame, elements: DataFrame, element_type: str | None = None) -> DataFrame:

@@ -6,13 +6,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from layoutgraph.functions import text as T
 
-IMAGE_SUFFIXES = [".png", ".jpg", ".jpeg", ".webp", ".bmp", ".gif", ".tif", ".tiff"]  # fixed values
 TEXT_KEYS = ["text", "table_body", "table_html", "latex", "formula", "equation"]
 
 
 def distinct_rows(df: DataFrame, key: str) -> DataFrame:
-    """One row a key (exact duplicates of deliveries fall together); null keys are left out."""
-    return df.filter(F.col(key).isNotNull()).dropDuplicates([key])
+    """One row a key, its delivery with the latest ingested_at where there is that column (equal deliveries fall together);
+    null keys are left out."""
+    rows = df.filter(F.col(key).isNotNull())
+    if "ingested_at" not in df.columns:
+        return rows.dropDuplicates([key])
+    rest = [c for c in df.columns if c != key]
+    return rows.groupBy(key).agg(F.max_by(F.struct(*rest), F.coalesce(F.col("ingested_at").cast("timestamp"), F.lit(0).cast("timestamp"))).alias("_d")).select(*[F.col(c) if c == key else F.col(f"_d.{c}") for c in df.columns])
 
 
 def flatten_items(parsed: DataFrame, json: str = "json", keys: list[str] | None = None) -> DataFrame:
@@ -30,13 +34,10 @@ def flatten_items(parsed: DataFrame, json: str = "json", keys: list[str] | None
     rows = rows.filter(kind(F.col("d")).startswith("ARRAY"))
     first = F.try_variant_get("d", "$[0]", "variant")
     rows = rows.select(*keys, F.col("d"), kind(first).startswith("ARRAY").alias("paged"))
-    rows.createOrReplaceTempView("_layoutgraph_items")
-    spark = parsed.sparkSession
-    names = ", ".join(f"`{k}`" for k in keys)
-    outer = spark.sql(f"SELECT {names}, paged, o.pos AS outer_pos, o.value AS v FROM _layoutgraph_items, LATERAL variant_explode(d) AS o")
-    outer.createOrReplaceTempView("_layoutgraph_outer")
-    flat = spark.sql(f"SELECT {names}, outer_pos, 0 AS inner_pos, v AS item, CAST(NULL AS INT) AS page FROM _layoutgraph_outer WHERE NOT paged")
-    paged = spark.sql(f"SELECT {names}, outer_pos, i.pos AS inner_pos, i.value AS item, outer_pos AS page FROM _layoutgraph_outer, LATERAL variant_explode(v) AS i WHERE paged")
+    each = parsed.sparkSession.tvf.variant_explode
+    outer = rows.lateralJoin(each(F.col("d").outer())).select(*keys, "paged", F.col("pos").alias("outer_pos"), F.col("value").alias("v"))
+    flat = outer.filter("not paged").select(*keys, "outer_pos", F.lit(0).alias("inner_pos"), F.col("v").alias("item"), F.lit(None).cast("int").alias("page"))
+    paged = outer.filter("paged").lateralJoin(each(F.col("v").outer())).select(*keys, "outer_pos", F.col("pos").alias("inner_pos"), F.col("value").alias("item"), F.col("outer_pos").alias("page"))
     items = flat.unionByName(paged).filter(kind(F.col("item")).startswith("OBJECT"))
     order = Window.partitionBy(*keys).orderBy("outer_pos", "inner_pos")
     given = F.coalesce(*[F.try_variant_get("item", f"$.{k}", "int") for k in ("page_idx", "page_number", "page")])
@@ -86,7 +87,10 @@ def items_to_elements(items: DataFrame) -> DataFrame:
     order = Window.partitionBy("source_hash").orderBy("item_idx")
     carried = F.last(F.when(F.col("element_type") == "title", T.strip_wrappers(F.col("text"))), True).over(order)
     number = F.lpad((F.row_number().over(order) - 1).cast("string"), 4, "0")
-    bbox = F.coalesce(F.slice(F.try_variant_get("item", "$.bbox", "array<double>"), 1, 4), F.array(*[F.lit(0.0)] * 4))
+    side = lambda *names: F.coalesce(*[F.try_variant_get("item", f"$.bbox.{n}", "double") for n in names], F.lit(0.0))
+    boxed = F.schema_of_variant(F.try_variant_get("item", "$.bbox", "variant")).startswith("OBJECT")
+    named = F.when(boxed, F.array(side("x0", "left"), side("y0", "top"), side("x1", "right"), side("y1", "bottom")))
+    bbox = F.coalesce(F.slice(F.try_variant_get("item", "$.bbox", "array<double>"), 1, 4), named, F.array(*[F.lit(0.0)] * 4))
     return kept.select(
         "source_hash", F.concat(F.substring("source_hash", 1, 8), F.lit("_el_"), number).alias("element_id"), "element_type", "text", F.col("page_idx").alias("page_number"), bbox.alias("bbox"), F.col("item_idx").alias("block_index"),
         caption.alias("caption"), T.ref_label(F.coalesce(F.when(caption != "", caption), F.col("text"))).alias("ref_label"), F.coalesce(get("img_path"), get("image_path")).alias("image_path"), F.coalesce(get("table_body"), get("table_html")).alias("table_html"),
@@ -114,6 +118,22 @@ def markdown_blocks(documents: DataFrame, key: str = "doc_id", text: str = "text
     return blocks.select(key, (F.col("grp") - 1).cast("int").alias("block_index"), F.when(F.col("title"), "title").otherwise("text").alias("block_type"), F.when(F.col("title"), T.strip(F.regexp_replace("lines", "^[# ]+", ""))).otherwise(F.col("lines")).alias("content"))
 
 
+def markdown_elements(blocks: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Elements of markdown blocks (key, block_index, block_type, content), for documents without layout items: typed by the
+    same rules, with section carry and reference label; everything stands on page 0."""
+    no = F.lit(False)
+    text = T.strip_wrappers(F.col("content"))
+    typed = blocks.withColumns({"text": text, "element_type": element_type(F.col("block_type"), F.col("content"), no, no, no, no)})
+    order = Window.partitionBy(key).orderBy("block_index")
+    carried = F.last(F.when(F.col("element_type") == "title", F.col("text")), True).over(order)
+    number = F.lpad((F.row_number().over(order) - 1).cast("string"), 4, "0")
+    none = F.lit(None).cast("string")
+    return typed.select(
+        key, F.concat(F.substring(F.col(key).cast("string"), 1, 8), F.lit("_el_"), number).alias("element_id"), "element_type", "text", F.lit(0).alias("page_number"), F.array(*[F.lit(0.0)] * 4).alias("bbox"), "block_index", F.lit("").alias("caption"),
+        T.ref_label(F.col("text")).alias("ref_label"), none.alias("image_path"), none.alias("table_html"), none.alias("formula"), F.coalesce(carried, F.lit("")).alias("section_title"), F.lit(None).cast("int").alias("text_level"),
+    )
+
+
 def section_carry(elements: DataFrame) -> DataFrame:
     """(element_id, section): the last title at or before each element, in reading order; '' before the first."""
     order = Window.partitionBy("source_hash").orderBy("block_index", "element_id")

@@ -39,6 +39,11 @@ def md_blocks(spark, sf):
     return S.markdown_blocks(table(spark, sf, "documents"))
 
 
+def md_elements(spark, sf):
+    """Elements of documents that have markdown alone."""
+    return S.markdown_elements(S.markdown_blocks(table(spark, sf, "documents"))).select("doc_id", "block_index", "element_type", "text", "ref_label", "section_title")
+
+
 def element_types(spark, sf):
     b = _blocks(spark, sf)
     no = F.lit(False)
@@ -301,8 +306,49 @@ def graph_components(spark, sf):
     return cograph.connected(cograph.edges(_members(spark, sf), 2))
 
 
+def _ranks(spark, sf):
+    """Twenty rounds, as the SQL states them; without rounds given, pagerank goes on until the ranks settle."""
+    return cograph.pagerank(cograph.edges(_members(spark, sf), 2), rounds=20, tolerance=0)
+
+
+def pagerank_top(spark, sf):
+    return cograph.top_ranked(_ranks(spark, sf), 10)
+
+
+def component_sizes(spark, sf):
+    return cograph.group_sizes(graph_components(spark, sf), "component")
+
+
+def community_sizes(spark, sf):
+    return cograph.group_sizes(graph_communities(spark, sf), "community")
+
+
+def graph_metrics(spark, sf):
+    return cograph.metrics(cut(cograph.edges(_members(spark, sf), 2), "edges"))
+
+
+def graph_louvain(spark, sf):
+    return cograph.louvain(cograph.edges(_members(spark, sf), 2))
+
+
+def edge_chunks(spark, sf):
+    return cograph.edge_chunks(_members(spark, sf), 2).select("a", "b", "weight", F.array_join("chunks", ",").alias("chunks"))
+
+
+def resolved_graph_nodes(spark, sf):
+    return cograph.entity_nodes(_resolved(spark, sf)).select("item", "label", "entity_type", "frequency", "aliases", "engines", "source_element_count", "related_element_count")
+
+
+def resolved_graph_edges(spark, sf):
+    return cograph.edges(cograph.entity_members(_resolved(spark, sf)), 2)
+
+
+def resolved_top(spark, sf):
+    return R.by_frequency(_resolved(spark, sf), 20).select("normalized", "frequency")
+
+
 def graph_pagerank(spark, sf):
-    return cograph.pagerank(cograph.edges(_members(spark, sf), 2)).select("item", F.round("rank", 6).alias("rank"))
+    return _ranks(spark, sf).select("item", F.round("rank", 6).alias("rank"))
 
 
 def graph_communities(spark, sf):
@@ -344,6 +390,22 @@ def discussed_near_topn(spark, sf):
     return L.ranked_links(_candidates(spark, sf)).select("element_id", "ent", F.col("score_e4"), F.size("evidence").cast("long").alias("evidence"), F.col("rank").cast("long").alias("rank"), "reasons")
 
 
+def near_details(spark, sf):
+    return L.near_details(L.ranked_links(_candidates(spark, sf))).select("source", "target", "score_e4", "reasons", F.array_join("evidence", ",").alias("evidence"))
+
+
+def node_type_counts(spark, sf):
+    return L.node_type_counts(link_nodes(spark, sf))
+
+
+def relation_targets(spark, sf):
+    return L.relation_targets(*_graph(spark, sf))
+
+
+def link_summary(spark, sf):
+    return L.link_summary(*_graph(spark, sf))
+
+
 def link_metrics(spark, sf):
     return L.link_metrics(_candidates(spark, sf))
 
@@ -407,9 +469,9 @@ def artifact_checks(spark, sf):
 
 
 ALL = [
-    md_blocks, element_types, ref_labels, strip_wrappers, section_carry, caption_links, target_captions, flatten_items, clean_blocks, block_type_counts, total_pages, missing_pages, parse_validation, token_estimate, sentence_split, title_levels, section_groups, heading_hierarchy,
+    md_blocks, md_elements, element_types, ref_labels, strip_wrappers, section_carry, caption_links, target_captions, flatten_items, clean_blocks, block_type_counts, total_pages, missing_pages, parse_validation, token_estimate, sentence_split, title_levels, section_groups, heading_hierarchy,
     section_chunks, chunk_overlap, sliding_chunks, chunk_stats, chunk_histogram, chunk_source_blocks, chunk_source_elements, chunk_related_elements, text_containment_blocks, mention_provenance, normalize_entities, entity_context, sentence_context, lang_detect, text_segments, rule_mentions,
     filter_noise, dedup_entities, ranked_entities, entity_type_counts, noise_reasons, clean_entities, fuzzy_pairs, fuzzy_pairs_baseline, entity_clusters, resolve_entities, resolved_refs, cooccurrence_edges, clean_graph_edges, graph_isolates, graph_degrees, graph_density, graph_components,
-    graph_pagerank, graph_communities, graph_heavy, element_registry, link_nodes, discussed_near_topn, link_metrics, link_edges, relation_counts, view_figures, view_tables, view_core, view_core_edges, view_focus, view_page, view_section, view_search, artifact_checks,
+    graph_pagerank, pagerank_top, component_sizes, community_sizes, graph_metrics, graph_louvain, edge_chunks, resolved_graph_nodes, resolved_graph_edges, resolved_top, near_details, node_type_counts, relation_targets, link_summary, graph_communities, graph_heavy, element_registry, link_nodes, discussed_near_topn, link_metrics, link_edges, relation_counts, view_figures, view_tables, view_core, view_core_edges, view_focus, view_page, view_section, view_search, artifact_checks,
 ]
 QUERIES = {f.__name__: f for f in ALL}

@@ -155,7 +155,7 @@ scored AS (
       + CASE WHEN page BETWEEN coalesce(gs, page) AND coalesce(ge, coalesce(gs, page)) THEN 6000 ELSE 0 END + CAST(round(least(coalesce(confidence, 0.0), 1.0) * 3500) AS BIGINT) AS score
   FROM named n LEFT JOIN hits h USING (ent, rec, element_id, reason)),
 cand AS (
-  SELECT element_id, ent, max(entity_label) AS entity_label, CAST(sum(score) AS BIGINT) AS score_e4, len(list_distinct(flatten(list(found)))) AS evidence, array_to_string(list_sort(list(DISTINCT reason)), ',') AS reasons FROM scored GROUP BY ALL),
+  SELECT element_id, ent, max(entity_label) AS entity_label, CAST(sum(score) AS BIGINT) AS score_e4, len(list_distinct(flatten(list(found)))) AS evidence, list_sort(list_distinct(flatten(list(found)))) AS chunk_list, array_to_string(list_sort(list(DISTINCT reason)), ',') AS reasons FROM scored GROUP BY ALL),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY element_id ORDER BY score_e4 DESC, evidence DESC, entity_label, ent) AS rank FROM cand)
 """
 _LINK_EDGES = f"""
@@ -198,7 +198,54 @@ def _communities(rounds: int = 8) -> str:
     return _EDGES + ", " + ", ".join(steps) + f" SELECT item, community FROM l{rounds}"
 
 
+#: names of the strict filter's entity records, with the similar ones of an earlier rank
+_SDEDUP = f"""{_STRICT_M},
+sg AS (SELECT source_doc, normalized, entity_type, min(mention_id) AS first_mention, max({_CONF}) AS confidence, arg_max(text, struct_pack(a := coalesce({_CONF}, -1.0), b := -mention_id)) AS text, arg_max(coalesce(context, chr(0)), struct_pack(a := coalesce({_CONF}, -1.0), b := -mention_id)) AS ctx FROM s GROUP BY ALL),
+nm AS (SELECT normalized AS name, {_ONE.replace("translate(name", "translate(normalized")} AS t, row_number() OVER (ORDER BY count(*) DESC, min(first_mention), normalized) AS i FROM sg WHERE normalized IS NOT NULL GROUP BY normalized)
+"""
+_WALK = """
+sim AS MATERIALIZED (SELECT y.i AS i, list(x.i ORDER BY x.i) AS before FROM nm x JOIN nm y ON x.i < y.i WHERE (least(length(x.name), length(y.name)) >= 4 AND (contains(x.name, y.name) OR contains(y.name, x.name)))
+  OR (least(length(x.name), length(y.name)) >= 6 AND abs(length(x.name) - length(y.name)) <= 2 AND levenshtein(x.t, y.t) <= 2 AND levenshtein(x.t, y.t) / greatest(length(x.name), length(y.name)) < 0.2) GROUP BY y.i),
+walk(i, star, canon) AS (
+  SELECT CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST([] AS BIGINT[])
+  UNION ALL
+  SELECT w.i + 1, coalesce(list_filter(coalesce(sim.before, []), lambda x: list_contains(w.canon, x))[1], w.i + 1),
+         CASE WHEN len(list_filter(coalesce(sim.before, []), lambda x: list_contains(w.canon, x))) = 0 THEN list_append(w.canon, w.i + 1) ELSE w.canon END
+  FROM walk w LEFT JOIN sim ON sim.i = w.i + 1 WHERE w.i < (SELECT max(i) FROM nm)),
+cl AS (SELECT a.name, b.name AS canonical FROM walk w JOIN nm a ON a.i = w.i JOIN nm b ON b.i = w.star)
+"""
+_CLUSTERS = f"WITH RECURSIVE {_M}, {_SDEDUP}, {_WALK}"
+_RESOLVED = f"""{_CLUSTERS},
+rr AS (SELECT sg.*, cl.canonical FROM sg JOIN cl ON cl.name = sg.normalized),
+bt AS (SELECT canonical, text FROM (SELECT canonical, text, count(*) AS k, min(first_mention) AS f FROM rr GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY canonical ORDER BY k DESC, f, text DESC) = 1),
+fr AS (SELECT canonical AS normalized, count(*) AS frequency, max(confidence) AS confidence FROM rr GROUP BY canonical),
+rm AS (SELECT DISTINCT trim(x) AS basket, canonical AS item FROM (SELECT unnest(string_split(s.chunk_id, ',')) AS x, cl.canonical FROM s JOIN cl ON cl.name = s.normalized) WHERE trim(x) <> '' AND trim(canonical) <> ''),
+re AS (SELECT x.item AS a, y.item AS b, count(*) AS weight FROM rm x JOIN rm y ON x.basket = y.basket AND x.item < y.item GROUP BY ALL)
+"""
+_COMPONENTS = _EDGES.replace("WITH ", "WITH RECURSIVE ", 1) + ", reach AS (SELECT a AS item, a AS other FROM arcs UNION SELECT r.item, arcs.b FROM reach r JOIN arcs ON arcs.a = r.other), comp AS (SELECT item, min(other) AS component FROM reach GROUP BY item)"
+_MD = f"""l AS (SELECT doc_id, generate_subscripts(ls, 1) AS no, {_strip('unnest(ls)')} AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)),
+      s AS (SELECT *, starts_with(line, '#') AS head, coalesce(lag(starts_with(line, '#') OR line = '') OVER (PARTITION BY doc_id ORDER BY no), true) AS fresh FROM l),
+      g AS (SELECT *, sum(CASE WHEN head OR (line <> '' AND fresh) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY no) AS grp FROM s),
+      md AS (SELECT doc_id, CAST(grp - 1 AS INT) AS block_index, CASE WHEN bool_or(head) THEN 'title' ELSE 'text' END AS block_type,
+             CASE WHEN bool_or(head) THEN {_strip("regexp_replace(string_agg(line, chr(10) ORDER BY no), '^[# ]+', '')")} ELSE string_agg(line, chr(10) ORDER BY no) END AS content FROM g WHERE line <> '' GROUP BY doc_id, grp)"""
+
 SQL = {
+    "md_elements": f"""WITH {_MD}, u AS ({_unwrapped('(SELECT doc_id || chr(1) || block_index AS k, content FROM md)', 'k', 'content')}), r AS (SELECT md.*, w, CASE WHEN block_type = 'title' THEN 'title' WHEN regexp_matches(w, {_q('(?i)' + CAPTION)}) THEN 'caption' ELSE 'text' END AS element_type FROM md JOIN u ON u.k = doc_id || chr(1) || block_index)
+      SELECT doc_id, block_index, element_type, w AS text, {_label('w')} AS ref_label, coalesce(last_value(CASE WHEN element_type = 'title' THEN w END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY block_index ROWS UNBOUNDED PRECEDING), '') AS section_title FROM r""",
+    "entity_clusters": _CLUSTERS + " SELECT name, canonical FROM cl",
+    "resolved_top": _RESOLVED + " SELECT normalized, frequency FROM fr ORDER BY frequency DESC, normalized LIMIT 20",
+    "resolved_graph_edges": _RESOLVED + " SELECT * FROM re WHERE weight >= 2",
+    "mention_provenance": f"WITH {_C}, w AS (SELECT chunk_id, generate_subscripts(ws, 1) - 1 AS ord, regexp_replace(unnest(ws), '^[.,;:!?()\\[\\]{{}}\"''«»“”]+|[.,;:!?()\\[\\]{{}}\"''«»“”]+$', '', 'g') AS text FROM (SELECT chunk_id, regexp_split_to_array(coalesce(text, ''), '[ \\n\\t\\r]+') AS ws FROM c)) SELECT w.chunk_id, CAST(ord AS INT) AS ord, w.text, c.page_start, c.page_end, coalesce(c.section_title, '') AS section_title FROM w JOIN c USING (chunk_id) WHERE regexp_matches(w.text, '^[A-Z][a-z]{{3,}}$')",
+    "pagerank_top": _pagerank().replace("SELECT item, round(rank, 6) AS rank FROM r20", "SELECT item, round(rank, 6) AS rank FROM r20 ORDER BY 2 DESC, 1 LIMIT 10"),
+    "component_sizes": _COMPONENTS + " SELECT component, count(*) AS size FROM comp GROUP BY component",
+    "community_sizes": _communities().replace("SELECT item, community FROM l8", "SELECT community, count(*) AS size FROM l8 GROUP BY community"),
+    "graph_metrics": _COMPONENTS + ", cs AS (SELECT count(*) AS components, coalesce(max(k), 0) AS largest_component FROM (SELECT count(*) AS k FROM comp GROUP BY component)), dg AS (SELECT a AS item, count(*) AS d FROM arcs GROUP BY a), n AS (SELECT count(*) AS nodes, coalesce(max(d), 0) AS max_degree FROM dg), k AS (SELECT count(*) AS edges FROM p), mx AS (SELECT item AS max_degree_node FROM dg ORDER BY d DESC, item LIMIT 1) SELECT nodes, edges, round(2 * edges / (nodes * (nodes - 1)), 4) AS density, round(2 * edges / nodes, 2) AS mean_degree, max_degree, max_degree_node, components, largest_component FROM n, k, cs, mx",
+    "edge_chunks": f"WITH {_M}, {_STRICT_M}, {_PAIRS} SELECT x.item AS a, y.item AS b, count(*) AS weight, string_agg(x.basket, ',' ORDER BY x.basket) AS chunks FROM mem x JOIN mem y ON x.basket = y.basket AND x.item < y.item GROUP BY ALL HAVING count(*) >= 2",
+    "near_details": _FULL + " SELECT ent AS source, 'element::' || element_id AS target, score_e4, reasons, array_to_string(chunk_list[1:12], ',') AS evidence FROM ranked WHERE rank <= 12",
+    "node_type_counts": _FULL + " SELECT node_type, count(*) AS n FROM nodes GROUP BY node_type",
+    "relation_targets": _FULL + " SELECT relation, coalesce(t.node_type, 'unknown') AS target_type, count(*) AS n FROM alle LEFT JOIN (SELECT id, min(node_type) AS node_type FROM nodes GROUP BY id) t ON t.id = alle.target GROUP BY ALL",
+    "link_summary": _FULL + ", t AS (SELECT relation, k.node_type FROM alle LEFT JOIN (SELECT id, min(node_type) AS node_type FROM nodes GROUP BY id) k ON k.id = alle.target), e2 AS (SELECT count(*) AS edges, count(*) FILTER (relation = 'HAS_CAPTION') AS caption_links, count(*) FILTER (relation = 'RELATED_TO') AS chunk_related_links, count(*) FILTER (relation = 'DISCUSSED_NEAR' AND node_type = 'figure') AS entity_figure_links, count(*) FILTER (relation = 'DISCUSSED_NEAR' AND node_type = 'table') AS entity_table_links FROM t), "
+    "n2 AS (SELECT count(*) AS nodes, count(*) FILTER (node_type = 'document') AS document_nodes, count(*) FILTER (node_type = 'entity') AS entity_nodes, count(*) FILTER (node_type = 'chunk') AS chunk_nodes, count(*) FILTER (node_type = 'figure') AS figure_nodes, count(*) FILTER (node_type = 'caption') AS caption_nodes, count(*) FILTER (node_type = 'table') AS table_nodes, count(*) FILTER (node_type = 'formula') AS formula_nodes FROM nodes) SELECT * FROM n2, e2",
     "md_blocks": f"""WITH l AS (SELECT doc_id, generate_subscripts(ls, 1) AS no, {_strip('unnest(ls)')} AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)),
       s AS (SELECT *, starts_with(line, '#') AS head, coalesce(lag(starts_with(line, '#') OR line = '') OVER (PARTITION BY doc_id ORDER BY no), true) AS fresh FROM l),
       g AS (SELECT *, sum(CASE WHEN head OR (line <> '' AND fresh) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY no) AS grp FROM s)

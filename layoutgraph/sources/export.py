@@ -13,7 +13,7 @@ import os
 from pyspark.sql import DataFrame, functions as F
 
 HTML_LIMIT = 5_000  # edges of a page; a larger view is refused, not cut
-COLORS = {"document": "#8f8f8f", "chunk": "#4f9edc", "entity": "#1d9e75", "figure": "#d85a30", "table": "#d4a62a", "caption": "#a68fd6", "formula": "#c05a8a", "title": "#5dcaa5"}
+COLORS = {"document": "#555555", "chunk": "#2f6fb0", "entity": "#3a8f3a", "figure": "#b8452a", "table": "#9c7a00", "caption": "#7a5ab0", "formula": "#a03070", "title": "#2a8f8f"}
 
 
 def write_tables(tables: dict[str, DataFrame], folder: str, fmt: str = "json") -> None:
@@ -35,13 +35,13 @@ def _plain(df: DataFrame, c: str):
     return F.coalesce(F.to_json(c) if kind.startswith(("array", "struct", "map")) else F.col(c).cast("string"), F.lit(""))
 
 
-def graphml_lines(nodes: DataFrame, edges: DataFrame, node_id: str = "id", source: str = "source", target: str = "target") -> DataFrame:
+def graphml_lines(nodes: DataFrame, edges: DataFrame, node_id: str = "id", source: str = "source", target: str = "target", directed: bool = True) -> DataFrame:
     """(ord, line): a GraphML document, header first."""
     nk = [c for c in nodes.columns if c != node_id]
     ek = [c for c in edges.columns if c not in (source, target)]
     spark = nodes.sparkSession
     keys = [f'<key id="n_{c}" for="node" attr.name="{c}" attr.type="string"/>' for c in nk] + [f'<key id="e_{c}" for="edge" attr.name="{c}" attr.type="string"/>' for c in ek]
-    head = ['<?xml version="1.0" encoding="UTF-8"?>', '<graphml xmlns="http://graphml.graphdrawing.org/xmlns">', *keys, '<graph edgedefault="directed">']
+    head = ['<?xml version="1.0" encoding="UTF-8"?>', '<graphml xmlns="http://graphml.graphdrawing.org/xmlns">', *keys, f'<graph edgedefault="{"directed" if directed else "undirected"}">']
     first = spark.createDataFrame([(k, line) for k, line in enumerate(head)], "ord long, line string")
     data = lambda df, p, cols: [F.concat(F.lit(f'<data key="{p}_{c}">'), _xml(_plain(df, c)), F.lit("</data>")) for c in cols]
     ns = nodes.select(F.lit(10**6).alias("ord"), F.concat(F.lit('<node id="'), _xml(F.col(node_id)), F.lit('">'), *data(nodes, "n", nk), F.lit("</node>")).alias("line"))
@@ -50,7 +50,7 @@ def graphml_lines(nodes: DataFrame, edges: DataFrame, node_id: str = "id", sourc
     return first.unionByName(ns).unionByName(es).unionByName(last)
 
 
-def write_graphml(nodes: DataFrame, edges: DataFrame, folder: str, **names: str) -> None:
+def write_graphml(nodes: DataFrame, edges: DataFrame, folder: str, **names: str | bool) -> None:
     """GraphML as ordered part files below ``folder``; their concatenation is the document."""
     graphml_lines(nodes, edges, **names).orderBy("ord", "line").select("line").write.mode("overwrite").text(folder)
 

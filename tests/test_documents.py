@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from layoutgraph.operators import chunking, cleaning, provenance, structure
+from layoutgraph.operators import chunking, cleaning, provenance, structure, structure as S
 from tests.conftest import rows
 
 ITEMS = [
@@ -192,3 +192,39 @@ def test_provenance(spark):
     b = blocks(spark, [("text", "text of zero"), ("text", "absent"), ("text", " and two ")], "h")
     assert rows(provenance.blocks_in_text(c, b), "block_index") == [(0,), (2,)]
     assert rows(provenance.source_blocks(c, b), "ord", "block_id", "preview") == [(0, "h_000", "text of zero"), (1, "h_002", "and two")]
+
+
+def test_deep_headings(spark):
+    rows_ = [("title", "#" * 4 + f" T{k}") if k % 2 == 0 else ("text", f"body {k}") for k in range(4)]
+    b = blocks(spark, [*rows_])
+    e = spark.createDataFrame([("h1", f"e{k}", "title", 2 * k, {"text_level": 10 + k}) for k in range(2)], "source_hash string, element_id string, element_type string, block_index int, metadata struct<text_level:int>").withColumn("source_block_index", F.col("block_index"))
+    plain = b.withColumn("content", F.regexp_replace("content", "^#+ ", ""))
+    got = chunking.sections(chunking.titled_blocks(plain, e)).orderBy("section").select(F.array_join("hierarchy", " > ")).collect()
+    assert [r[0] for r in got] == ["T0", "T0 > T2"]
+
+
+def test_markdown_elements(spark):
+    d = spark.createDataFrame([("k1", "# Head\n\n**Figure 1.** A chart\n\nplain text"), ("k2", None), ("k3", "")], "doc_id string, text string")
+    got = S.markdown_elements(S.markdown_blocks(d)).orderBy("block_index").collect()
+    assert [(r["element_id"], r["element_type"], r["text"], r["section_title"]) for r in got][0] == ("k1_el_0000", "title", "Head", "Head")
+    assert [r["element_type"] for r in got] == ["title", "caption", "text"] and got[1]["ref_label"] == "figure 1"
+
+
+def test_bbox_forms(spark):
+    df = parsed(spark, [{"type": "text", "text": "a", "bbox": {"x0": 1, "y0": 2, "x1": 3, "y1": 4}}, {"type": "text", "text": "b", "bbox": {"left": 5, "top": 6, "right": 7, "bottom": 8}}, {"type": "text", "text": "c", "bbox": [1, 2, 3, 4, 9]}, {"type": "text", "text": "d"}])
+    got = S.items_to_elements(S.flatten_items(df)).orderBy("block_index").collect()
+    assert [list(r["bbox"]) for r in got] == [[1, 2, 3, 4], [5, 6, 7, 8], [1, 2, 3, 4], [0, 0, 0, 0]]
+
+
+def test_latest_delivery_counts(spark):
+    df = spark.createDataFrame([("a", "old", "2024-01-01"), ("a", "new", "2024-02-01"), ("b", "only", None), (None, "x", None)], "k string, v string, at string").withColumn("ingested_at", F.col("at").cast("timestamp_ntz")).drop("at")
+    assert rows(S.distinct_rows(df, "k"), "k", "v") == [("a", "new"), ("b", "only")]
+
+
+def test_noise_reasons_and_missing_pages(spark):
+    from layoutgraph.operators import cleaning, resolve as R
+
+    e = spark.createDataFrame([("7", "NUMBER", "7"), ("ab", "ORG", "ab"), ("AB1", "ORG", "ab1"), ("x" * 101, "ORG", "x"), ("Bank", "ORG", "bank")], "text string, entity_type string, normalized string")
+    assert [r[0] for r in e.select(R.noise_reason()).collect()] == ["skip_type", "too_short", "noise_pattern", "too_long", None]
+    b = spark.createDataFrame([("h", 0), ("h", 3)], "source_hash string, page_number int")
+    assert rows(cleaning.missing_pages(b, b.filter("page_number = 1")), "source_hash", "page_number") == [("h", 1), ("h", 2)]

@@ -112,7 +112,7 @@ def test_graph_metrics(spark):
             new[a] += 0.85 * rank[b] * w / out[b]
             new[b] += 0.85 * rank[a] * w / out[a]
         rank = new
-    got = dict(rows(cograph.pagerank(edges), "item", "rank"))
+    got = dict(rows(cograph.pagerank(edges, rounds=20, tolerance=0), "item", "rank"))
     assert all(abs(got[n] - rank[n]) < 1e-9 for n in rank)
     com = dict(rows(cograph.communities(edges), "item", "community"))
     assert com["a"] == com["b"] == com["c"] and com["d"] == com["e"] and com["x"] == com["y"] and com["x"] != com["a"]
@@ -177,7 +177,9 @@ class Keyword:
 
 def test_recogniser(spark):
     df = spark.createDataFrame([("c1", "The CAPM model"), ("c2", "none"), ("bad", "CAPM"), ("c3", None)], "chunk_id string, text string")
-    assert rows(E.recognise(df, Keyword, "rule"), "chunk_id", "text", "start_char", "engine") == [("c1", "CAPM", 4, "rule")]
+    found = E.recognise(df, Keyword, "rule")
+    assert rows(E.failures(found), "chunk_id") == [("bad",)]
+    assert rows(E.candidate_filter(found), "chunk_id", "text", "start_char", "engine") == [("c1", "CAPM", 4, "rule")]
 
 
 def test_model_answers():
@@ -191,3 +193,61 @@ def test_resolved(spark):
     cl = spark.createDataFrame([("capm", "capm"), ("capms", "capm")], "name string, canonical string")
     r = R.resolved_entities(df, cl).first()
     assert (r["text"], r["entity_type"], r["confidence"], r["frequency"], r["chunk_ids"], r["source_docs"], r["context"], r["aliases"]) == ("CAPM", "CONCEPT", 0.9, 3, ["c1", "c2"], ["d1", "d2"], "long context", ["CAPMs", "Capm"])
+
+
+def test_pagerank_settles(spark):
+    edges = spark.createDataFrame([("a", "b", 5), ("b", "c", 5), ("c", "d", 1), ("d", "e", 5)], "a string, b string, weight long")
+    short, long = (dict(rows(cograph.pagerank(edges, **kw), "item", "rank")) for kw in ({}, {"rounds": 150, "tolerance": 0}))
+    assert all(abs(short[k] - long[k]) < 1e-4 for k in long)
+    assert rows(cograph.top_ranked(cograph.pagerank(edges), 2), "item") == [("b",), ("d",)]
+
+
+def test_metrics_row(spark):
+    edges = spark.createDataFrame([("a", "b", 5), ("b", "c", 5), ("x", "y", 1)], "a string, b string, weight long")
+    assert rows(cograph.metrics(edges), "nodes", "edges", "density", "mean_degree", "max_degree", "max_degree_node", "components", "largest_component") == [(5, 3, 0.3, 1.2, 2, "b", 2, 3)]
+    assert rows(cograph.metrics(edges.limit(0)), "nodes", "max_degree_node", "components") == [(0, None, 0)]
+
+
+def test_louvain(spark):
+    rng = random.Random(4)
+    groups = [[f"{g}{k}" for k in range(8)] for g in "abcd"]
+    pairs = {p: 3 for g in groups for p in combinations(g, 2) if rng.random() < 0.8} | {("a0", "b0"): 1, ("b1", "c1"): 1, ("c2", "d2"): 1, ("a3", "d3"): 1}
+    edges = spark.createDataFrame([(a, b, w) for (a, b), w in pairs.items()], "a string, b string, weight long")
+    found = cograph.louvain(edges)
+    assert dict(rows(found, "item", "community")) == {n: g[0] for g in groups for n in g}
+    want = sum(w for (a, b), w in pairs.items() if a[0] == b[0]) / sum(pairs.values()) - sum((sum(w * ((a[0] == g) + (b[0] == g)) for (a, b), w in pairs.items()) / 2 / sum(pairs.values())) ** 2 for g in "abcd")
+    assert abs(cograph.modularity(edges, found) - want) < 1e-9
+    noisy = spark.createDataFrame([(f"n{a:02}", f"n{b:02}", rng.randrange(1, 4)) for a, b in {tuple(sorted(rng.sample(range(60), 2))) for _ in range(200)}], "a string, b string, weight long")
+    assert cograph.modularity(noisy, cograph.louvain(noisy)) >= cograph.modularity(noisy, cograph.communities(noisy)) - 1e-9
+    assert cograph.louvain(edges.limit(0)).count() == 0
+
+
+def test_edge_chunks_and_resolved_nodes(spark):
+    members = spark.createDataFrame([("c1", "a"), ("c1", "b"), ("c2", "b"), ("c2", "a"), ("c3", "a")], "basket string, item string")
+    assert rows(cograph.edge_chunks(members), "a", "b", "weight", "chunks") == [("a", "b", 2, ["c1", "c2"])]
+
+
+def test_recogniser_failures_and_unions(spark):
+    class Picky:
+        def extract(self, text, chunk_id):
+            if "boom" in text:
+                raise RuntimeError("no model")
+            return [(w, "ORG", 0.3 if w == "Weak" else 0.9, 0, 4) for w in text.split() if w[0].isupper()]
+
+    chunks = spark.createDataFrame([("c1", "The Bank of somewhere Weak"), ("c2", "boom boom boom boom boom"), ("c3", "Short")], "chunk_id string, text string")
+    found = E.recognise(chunks, Picky, "picky")
+    assert rows(E.failures(found), "chunk_id", "error") == [("c2", "RuntimeError: no model")]
+    assert rows(E.candidate_filter(found, chunks), "chunk_id", "text") == [("c1", "Bank"), ("c1", "The")]
+    named = E.recognise(chunks, Picky, "picky", types={"ORG": "COMPANY"})
+    assert {r["entity_type"] for r in named.collect()} == {"COMPANY", "FAILED"}
+    both = E.unite(E.candidate_filter(found), E.candidate_filter(found).limit(1))
+    assert sorted(r["ord"] for r in both.filter("chunk_id = 'c1'").collect()) == list(range(both.filter("chunk_id = 'c1'").count()))
+
+
+def test_link_summary(spark):
+    nodes = spark.createDataFrame([("d", "document"), ("e", "entity"), ("f", "figure"), ("t", "table"), ("c", "caption")], "id string, node_type string")
+    edges = spark.createDataFrame([("e", "f", "DISCUSSED_NEAR"), ("e", "t", "DISCUSSED_NEAR"), ("f", "c", "HAS_CAPTION"), ("e", "gone", "RELATED_TO")], "source string, target string, relation string")
+    one = L.link_summary(nodes, edges).first().asDict()
+    assert (one["nodes"], one["edges"], one["figure_nodes"], one["caption_links"], one["chunk_related_links"], one["entity_figure_links"], one["entity_table_links"]) == (5, 4, 1, 1, 1, 1, 1)
+    assert ("RELATED_TO", "unknown", 1) in rows(L.relation_targets(nodes, edges), "relation", "target_type", "n")
+    assert L.link_summary(nodes.limit(0), edges.limit(0)).first()["edges"] == 0

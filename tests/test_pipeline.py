@@ -91,3 +91,15 @@ def test_streaming(spark, tmp_path):
     (tmp_path / "in/2.json").write_text(line("b" * 32) + line("a" * 32))
     run()
     assert rows(spark.read.parquet(str(tmp_path / "out/elements")).groupBy("source_hash").count(), "source_hash", "count") == [("a" * 32, 4), ("b" * 32, 4)]
+
+
+def test_pipeline_reads_markdown_and_twins(spark, tmp_path):
+    doc = json.dumps([{"type": "text", "text": "Head", "text_level": 1, "page_idx": 0}, {"type": "text", "text": "Some Bank wrote this long sentence about the market and its many risks.", "page_idx": 0}])
+    md = "# Overview\n\nAnother Company wrote this other long sentence about the market and its many risks."
+    parsed = spark.createDataFrame([("a" * 32, "one", doc, None), ("b" * 32, "two", doc, None), ("c" * 32, "three", None, md), ("d" * 32, "four", "[]", md), ("e" * 32, "five", None, None)], "source_hash string, source_doc string, json string, markdown string")
+    made = pipeline.run(spark, parsed, str(tmp_path / "out"))
+    assert rows(made["chunks"].groupBy("source_doc").count(), "source_doc", "count") == [("four", 1), ("one", 1), ("three", 1), ("two", 1)]
+    assert made["elements"].groupBy("element_id").count().filter("count > 1").count() == 0
+    assert made["link_summary"].first()["document_nodes"] == 5 and "degree" in made["co_nodes"].columns and "community" in made["co_nodes"].columns
+    lines = [r[1] for r in export.graphml_lines(made["co_nodes"], made["co_edges"], "item", "a", "b", directed=False).orderBy("ord").collect()]
+    assert any('edgedefault="undirected"' in x for x in lines)
