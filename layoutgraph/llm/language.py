@@ -80,21 +80,47 @@ def _points(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return points[keep].astype(np.uint64), owner[keep]
 
 
-def _hash(points: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(points) < n:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int32)
-    h = np.full(len(points) - n + 1, n, np.uint64)
-    for k in range(n):
-        h ^= points[k : len(points) - n + 1 + k]
-        h *= _MULT[0]
-        h ^= h >> np.uint64(31)
-    inside = owner[: len(h)] == owner[n - 1 :]
-    return h[inside], owner[: len(h)][inside]
+def _mix(h: np.ndarray, k: int) -> np.ndarray:
+    h = h * _MULT[k]
+    return h ^ (h >> np.uint64(31))
+
+
+def _hashes(points: np.ndarray, owner: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each length of GRAMS: (hash of every n-gram, number of its unit). Longer ones are built from shorter ones."""
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+    out = dict.fromkeys(GRAMS, none)
+    if len(points) < 2:
+        return out
+    two = _mix((points[:-1] << np.uint64(16)) | points[1:], 0)
+    three = _mix(two[:-1] ^ (points[2:] << np.uint64(20)), 1)
+    five = _mix(three[:-2] ^ (three[2:] >> np.uint64(9)), 2) if len(three) > 2 else none[0]
+    for n, h in ((2, two), (3, three), (5, five)):
+        if len(h):
+            inside = owner[: len(h)] == owner[n - 1 :]
+            out[n] = h[inside], owner[: len(h)][inside]
+    return out
 
 
 def gram_hashes(units: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every n-gram, number of the unit it stands in), in the order of units."""
-    return _hash(*_points(units), n)
+    return _hashes(*_points(units))[n]
+
+
+_PACK = 6  # counters of ten bits in a 64-bit number
+_RUN = 1000  # n-grams added up before a counter could overflow
+_PACKED: dict[int, np.ndarray] = {}
+
+
+def _packed(size: int) -> np.ndarray:
+    """Mask -> its bits as counters packed into 64-bit numbers."""
+    if size not in _PACKED:
+        bits = (np.arange(1 << size)[:, None] >> np.arange(size)) & 1
+        words = -(-size // _PACK)
+        table = np.zeros((1 << size, words), np.uint64)
+        for b in range(size):
+            table[:, b // _PACK] |= bits[:, b].astype(np.uint64) << np.uint64(10 * (b % _PACK))
+        _PACKED[size] = table
+    return _PACKED[size]
 
 
 def _slots(h: np.ndarray, probe: int) -> np.ndarray:
@@ -117,17 +143,23 @@ class MaskFilter:
         """(units x languages) corrected popcounts, and the numbers of n-grams and of letters of each unit."""
         points, at = _points(units)
         size = len(self.false_rate)
-        bits = ((np.arange(1 << size)[:, None] >> np.arange(size)) & 1).astype(np.float32)
+        table = _packed(size)
         seen, n = np.zeros((len(units), size), np.float64), np.zeros(len(units))
-        for length in GRAMS:
-            h, owner = _hash(points, at, length)
+        for h, owner in _hashes(points, at).values():
             if not len(h):
                 continue
             mask = self.masks[_slots(h, 0)]
             for p in range(1, PROBES):
                 mask &= self.masks[_slots(h, p)]
-            starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-            seen[owner[starts]] += np.add.reduceat(bits[mask], starts, axis=0)
+            change = np.concatenate([[True], owner[1:] != owner[:-1]])
+            change[::_RUN] = True
+            starts = np.flatnonzero(change)
+            whose = owner[starts]
+            for w in range(table.shape[1]):
+                sums = np.add.reduceat(table[mask, w], starts)
+                for b in range(w * _PACK, min(size, (w + 1) * _PACK)):
+                    count = (sums >> np.uint64(10 * (b % _PACK))) & np.uint64(1023)
+                    seen[:, b] += np.bincount(whose, weights=count, minlength=len(units))
             n += np.bincount(owner, minlength=len(units))
         letters = np.bincount(at, weights=(points != 32) & (points != 39), minlength=len(units))
         return np.maximum(0.0, (seen - n[:, None] * self.false_rate) / (1 - self.false_rate)), n, letters
@@ -215,25 +247,25 @@ def label_units(found: MaskFilter, groups: list[list[str]]) -> list[list[tuple[s
     if not flat:
         return [[] for _ in groups]
     counts, n, letters = found.counts(flat)
-    counts = merged(counts)
-    out, i = [], 0
-    for g in groups:
-        c, m = counts[i : i + len(g)], n[i : i + len(g)]
-        weak = letters[i : i + len(g)] < MIN_LETTERS
-        i += len(g)
-        total = c[~weak].sum(0) if (~weak).any() else c.sum(0)
-        main = int(total.argmax()) if len(g) else 0
-        marks = []
-        for k in range(len(g)):
-            best = int(c[k].argmax())
-            # what tells the languages apart must not be a few n-grams; else the neighbours' language holds
-            if weak[k] or c[k, best] - c[k, main] < max(3.0, 0.06 * m[k]):
-                best = main
-            others = np.delete(c[k], best)
-            top = c[k, best] + others.max()
-            marks.append((LANGUAGES[best], round(float(c[k, best] / top), 4) if top > 0 else 0.0))
-        out.append(marks)
-    return out
+    counts, weak = merged(counts), letters < MIN_LETTERS
+    sizes = np.array([len(g) for g in groups])
+    own = np.repeat(np.arange(len(groups)), sizes)
+    # a group's main language is told by its units with letters, or by all where none has enough
+    told = np.bincount(own, weights=~weak, minlength=len(groups)) > 0
+    used = ~weak | ~told[own]
+    total = np.stack([np.bincount(own, weights=counts[:, k] * used, minlength=len(groups)) for k in range(counts.shape[1])], 1)
+    main, rows = total.argmax(1)[own], np.arange(len(flat))
+    best = counts.argmax(1)
+    # what tells the languages apart must not be a few n-grams; else the neighbours' language holds
+    best = np.where(weak | (counts[rows, best] - counts[rows, main] < np.maximum(3.0, 0.06 * n)), main, best)
+    high = counts[rows, best]
+    rest = counts.copy()
+    rest[rows, best] = -1.0
+    top = high + rest.max(1)
+    sure = np.round(np.where(top > 0, high / np.where(top > 0, top, 1.0), 0.0), 4)
+    marks = [(LANGUAGES[k], c) for k, c in zip(best.tolist(), sure.tolist())]
+    ends = np.cumsum(sizes).tolist()
+    return [marks[e - k : e] for e, k in zip(ends, sizes.tolist())]
 
 
 def languages(chunks: DataFrame, model: S.BoundaryModel | None = None, found: MaskFilter | None = None) -> DataFrame:
@@ -253,8 +285,7 @@ def languages(chunks: DataFrame, model: S.BoundaryModel | None = None, found: Ma
         for pdf in batches:
             spans, groups = [], []
             for text in pdf.text:
-                at = S.body_start(text)
-                body = m.split(text, at, len(text))
+                body = S.body_units(m, text)
                 spans.append(body)
                 groups.append([text[a:b] for a, b in body] if body else ([text.strip()] if text.strip() else []))
             rows = []

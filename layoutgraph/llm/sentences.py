@@ -31,7 +31,7 @@ _FINAL, _WIDE, _CLOSE, _THAI = ".!?…।॥", "。！？", "\"'»”“’)\\]}
 _TIGHT = "\"'»”’)\\]}」』）】"  # what may close before a word without a blank; “ would open there
 _PAIRS = {"«": "»", "„": "“”", "“": "”", "「": "」", "『": "』", "(": ")", "（": "）", "[": "]", "【": "】"}
 _QUOTE = re.compile(r"[«»„“”「」『』()（）\[\]【】\"]")
-_PLACES = rf"[{_FINAL}]+[{_CLOSE}]*(?=\s)|[{_WIDE}]+[{_TIGHT}]*|(?<=[^\W_]{{2}})[{_FINAL}]+[{_TIGHT}]*(?=[^\W\d_a-zа-яёіїєґ])"
+_PLACES = rf"[{_FINAL}]+[{_CLOSE}]*(?=\s)|[{_WIDE}]+[{_TIGHT}]*|[{_FINAL}](?<=[^\W_]{{2}}[{_FINAL}])[{_FINAL}]*[{_TIGHT}]*(?=[^\W\d_a-zа-яёіїєґ])"
 _SPACED = re.compile(_PLACES)
 _SPACED_THAI = re.compile(rf"{_PLACES}|(?<=\S)(?=\s+[{_THAI}])|(?<=\S)(?=\s+[^\W\d_a-zа-яёіїєґ]\w)")
 _HAS_THAI = re.compile(f"[{_THAI}]")
@@ -137,7 +137,7 @@ def _right(text: str, start: int) -> str:
 def candidates(text: str, low: int, high: int, cut_start: bool = False, cut_end: bool = False) -> list[tuple[int, str, str, str, bool]]:
     """Places in text[low:high] where a boundary may stand: (position, word before, word before that, word after,
     whether the place before it is one word away)."""
-    pattern = _SPACED_THAI if _HAS_THAI.search(text) else _SPACED
+    pattern = _SPACED_THAI if not text.isascii() and _HAS_THAI.search(text) else _SPACED
     spans = quoted_spans(text[low:high], cut_start, cut_end) if _QUOTE.search(text, low, high) else []
     out, k, last = [], 0, -1
     for m in pattern.finditer(text, low, high):
@@ -364,7 +364,10 @@ class BoundaryModel:
 
 
 def _words(text: str, a: int, b: int) -> float:
-    return sum(0.5 if m.end() - m.start() == 1 and not m.group().isascii() else 1 for m in _GAP_TOKEN.finditer(text, a, b))
+    piece = text[a:b]
+    if piece.isascii() or not _RUN.search(piece):
+        return len(piece.split())
+    return sum(0.5 if m.end() - m.start() == 1 and not m.group().isascii() else 1 for m in _GAP_TOKEN.finditer(piece))
 
 
 def forward_backward(steps: list[tuple[float, float]]) -> list[float]:
@@ -480,10 +483,11 @@ def indexed(key: str, n: int) -> tuple:
 INDEXED = "key string, n long, guess double, c1 int, c2 int, c3 int, cn int, cs int, ce int, cb int"
 
 
-def expect(model: BoundaryModel | None, rows: pd.DataFrame, last: bool) -> Counts:
+def expect(model: BoundaryModel | None, rows: pd.DataFrame, last: bool, into: Counts | None = None) -> Counts:
     """Expected counts of indexed keys under ``model``; without one, from the first guess, where only certain starts say which
-    words begin a unit. Single places are counted as vectors, chains of places one word apart by forward-backward."""
-    new = Counts()
+    words begin a unit. Single places are counted as vectors, chains of places one word apart by forward-backward. Added to
+    ``into`` where it is given."""
+    new = Counts() if into is None else into
     one = rows[rows.key.isna()]
     if len(one):
         c1, c2, c3, cn, cs, ce, cb = (one[c].to_numpy(np.int64) for c in ("c1", "c2", "c3", "cn", "cs", "ce", "cb"))
@@ -606,10 +610,12 @@ def prepare(rows: DataFrame) -> DataFrame:
     return cut(rows.mapInPandas(look, "rec_table string, rec_id string, places string, text string"), "places")
 
 
-def fit_prepared(prepared: DataFrame, rounds: int = ROUNDS) -> BoundaryModel:
-    """Expectation maximisation on counts over all prepared records. What reaches the driver in a round is at most CELLS
-    sums."""
-    spark = prepared.sparkSession
+def _key_rows(total: Counter) -> pd.DataFrame:
+    return pd.DataFrame({"key": pd.Series(list(total.keys()), dtype=object), "n": pd.Series(list(total.values()), dtype="int64")})
+
+
+def prepared_keys(prepared: DataFrame) -> DataFrame:
+    """(key, n) of prepared records, summed up by task."""
 
     def keys_of(batches):
         total: Counter = Counter()
@@ -622,17 +628,43 @@ def fit_prepared(prepared: DataFrame, rounds: int = ROUNDS) -> BoundaryModel:
                 fields = [p.split("\x1f") for p in places]
                 total.update(place_keys([(f[3], f[4], f[5], f[0] == "1") for f in fields], h[6], (h[7], h[8]) if h[7] else None))
             if len(total) > 200_000:
-                yield pd.DataFrame({"key": list(total.keys()), "n": list(total.values())})
+                yield _key_rows(total)
                 total = Counter()
-        yield pd.DataFrame({"key": pd.Series(list(total.keys()), dtype=object), "n": pd.Series(list(total.values()), dtype="int64")})
+        yield _key_rows(total)
+
+    found = prepared.filter("rec_table is not null").select("places").mapInPandas(keys_of, "key string, n long")
+    return found.unionByName(prepared.filter("rec_table is null").select(F.col("rec_id").alias("key"), F.col("places").cast("long").alias("n")))
+
+
+def text_keys(rows: DataFrame) -> DataFrame:
+    """(key, n) straight from records, where their units aren't asked for."""
+
+    def look(batches):
+        total: Counter = Counter()
+        for pdf in batches:
+            texts = []
+            for kind, text in zip(pdf.rec_table, pdf.text):
+                low = body_start(text) if kind == "chunks" else len(text) - len(text.lstrip())
+                cut_start, cut_end = (False, False) if kind == "chunks" else is_cut(text[low:].rstrip())
+                texts.append((text, low, not cut_start, not cut_end))
+            total.update(observe(texts))
+            if len(total) > 200_000:
+                yield _key_rows(total)
+                total = Counter()
+        yield _key_rows(total)
+
+    return rows.mapInPandas(look, "key string, n long")
+
+
+def fit_keys(found: DataFrame, rounds: int = ROUNDS) -> BoundaryModel:
+    """Expectation maximisation on counts of keys over all records. What reaches the driver in a round is at most CELLS sums."""
+    spark = found.sparkSession
 
     def index(batches):
         for pdf in batches:
             yield pd.DataFrame([indexed(key, n) for key, n in zip(pdf.key, pdf.n)], columns=[c.split()[0] for c in INDEXED.split(", ")])
 
-    found = prepared.filter("rec_table is not null").select("places").mapInPandas(keys_of, "key string, n long")
-    words = prepared.filter("rec_table is null").select(F.col("rec_id").alias("key"), F.col("places").cast("long").alias("n"))
-    keys = cut(found.unionByName(words).groupBy("key").agg(F.sum("n").alias("n")).mapInPandas(index, INDEXED), "keys")
+    keys = cut(found.groupBy("key").agg(F.sum("n").alias("n")).mapInPandas(index, INDEXED), "keys")
     places = keys.filter("key is null or key not like 'w%'")
     model = None
     for r in range(rounds):
@@ -641,9 +673,7 @@ def fit_prepared(prepared: DataFrame, rounds: int = ROUNDS) -> BoundaryModel:
         def sums(batches, shared=shared, last=last):
             total = Counts()
             for pdf in batches:
-                part = expect(shared.value, pdf, last)
-                total.table += part.table
-                total.total += part.total
+                expect(shared.value, pdf, last, total)
             at = np.flatnonzero(total.table.any(1)).astype(np.int32)
             yield pd.DataFrame({"cell": at, "no": total.table[at, 0].astype(float), "yes": total.table[at, 1].astype(float)})
             yield pd.DataFrame({"cell": np.array([-1, -2], np.int32), "no": total.total[[0, 2]], "yes": total.total[[1, 3]]})
@@ -661,7 +691,7 @@ def fit_prepared(prepared: DataFrame, rounds: int = ROUNDS) -> BoundaryModel:
 
 def fit(chunks: DataFrame | None, contexts: DataFrame | None) -> BoundaryModel:
     """The model of all of chunks.text and Entity.context."""
-    return fit_prepared(prepare(records(chunks, contexts)))
+    return fit_keys(text_keys(records(chunks, contexts)))
 
 
 def chunk_units(model: BoundaryModel, text: str) -> list[tuple[int, int]]:
@@ -713,6 +743,14 @@ def encoded_units(model: BoundaryModel, enc: str) -> list[tuple[int, int]]:
     return units + body
 
 
+def body_units(model: BoundaryModel, text: str) -> list[tuple[int, int]]:
+    """Sentences of a chunk's body."""
+    if long_stretch(text):
+        return model.split(text, body_start(text), len(text))
+    enc = encode(text, True)
+    return encoded_units(model, enc)[enc.split("\x1f", 2)[1] != "0" :] if enc else []
+
+
 def sentences(chunks: DataFrame, mentions: DataFrame, model: BoundaryModel | None = None) -> DataFrame:
     """(rec_table, rec_id, unit_no, start_char, end_char) of every distinct chunk and every mention's context.
 
@@ -720,7 +758,7 @@ def sentences(chunks: DataFrame, mentions: DataFrame, model: BoundaryModel | Non
     and null, empty or blank texts give no unit. Offsets count code points; an end is exclusive.
     """
     prepared = prepare(records(chunks, mentions))
-    shared = chunks.sparkSession.sparkContext.broadcast(model or fit_prepared(prepared))
+    shared = chunks.sparkSession.sparkContext.broadcast(model or fit_keys(prepared_keys(prepared)))
 
     def run(batches):
         m = shared.value

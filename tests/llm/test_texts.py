@@ -96,7 +96,21 @@ def test_counts_of_tables_and_of_texts_agree(spark):
     texts = [" ".join(made_text(rng, 3)) for _ in range(200)]
     c = spark.createDataFrame([(f"c{k}", t) for k, t in enumerate(texts)], "chunk_id string, text string").repartition(7)
     one, two = sentences.train([(t, 0, True, True) for t in texts]), sentences.fit(c, None)
-    assert np.allclose(one.counts.table, two.counts.table, rtol=1e-4, atol=1e-3) and np.allclose(one.counts.total, two.counts.total, rtol=1e-4)
+    three = sentences.fit_keys(sentences.prepared_keys(sentences.prepare(sentences.records(c, None))))
+    for other in (two, three):
+        assert np.allclose(one.counts.table, other.counts.table, rtol=1e-4, atol=1e-3) and np.allclose(one.counts.total, other.counts.total, rtol=1e-4)
+
+
+def test_encoded_units_are_the_units():
+    rng = random.Random(6)
+    model = trained(rng)
+    for _ in range(300):
+        text = ("Head\n\n" * (rng.random() < 0.5)) + "  " * (rng.random() < 0.2) + " ".join(made_text(rng, 3)) + " \n" * (rng.random() < 0.3)
+        units = sentences.chunk_units(model, text)
+        assert sentences.encoded_units(model, sentences.encode(text, True)) == units
+        assert sentences.body_units(model, text) == units[text.startswith("Head") :]
+        piece = "..." + text.strip()[rng.randrange(5, 40) : -rng.randrange(1, 9)] + "..."
+        assert sentences.encoded_units(model, sentences.encode(piece, False)) == sentences.context_units(model, piece)
 
 
 CHUNKS = "chunk_id string, text string, lang string, extra string"
