@@ -5,8 +5,9 @@ words and initials. Each name has one telling word, a surname or an organisation
 given name or what kind of organisation it is. Telling words within one edit of each other are found by a
 symmetric-delete index: words that share a form with one letter deleted meet, and every such meeting place holds at
 most (length + 1) * alphabet words, so no group grows with the data. The other words are aligned by optimal
-assignment, permitting initials, abbreviations, nicknames and slips. Names with a full given name form classes (connected
-components of the index); names with only initials, or a surname alone, join the class that fits them best.
+assignment, permitting initials, abbreviations, nicknames and slips. Common words and kinds of organisation are tables that
+are joined, so any number of them counts. Names with a full given name form classes (connected components of the index);
+names with only initials, or a surname alone, join the class that fits them best.
 """
 
 from __future__ import annotations
@@ -18,11 +19,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, Window
 
 from layoutgraph.operators.components import components
-from layoutgraph.plans.bounded import most_frequent
+from layoutgraph.operators.resolve import greedy_clusters
 from layoutgraph.plans.session import cut
 
-COMMON_LIMIT = 20_000  # words with several partners that are broadcast
-PHRASE_LIMIT = 2_000
+FAR = 1e6  # cost of two words that don't match
 
 #: Romanisation, look-alikes by script, titles and legal forms, given names with their short and Russian
 #: forms, words of organisations with their Russian forms.
@@ -125,47 +125,44 @@ def deletes(word: str) -> set[str]:
     return {word, *(word[:k] + word[k + 1 :] for k in range(len(word)))}
 
 
-class Vocabulary:
-    """Common words of names: how many partners each has, found also through one slip."""
-
-    def __init__(self, partners: dict[tuple[str, str], int]):
-        self.partners = partners
-        self.known = {"PERSON": CANON_GIVEN, "ORG": CANON_ORG}
-        self.index: dict[str, dict[str, list[str]]] = {"PERSON": {}, "ORG": {}}
-        for kind in self.index:
-            for w in sorted({*self.known[kind], *(w for k, w in partners if k == kind and partners[k, w] >= 6)}):
-                if len(w) >= 4:
-                    for d in deletes(w):
-                        self.index[kind].setdefault(d, []).append(w)
-        self.memo: dict[tuple[str, str], tuple[str, int]] = {}
-
-    def common(self, kind: str, word: str) -> tuple[str, int]:
-        """(canonical form, weight): 0 for a word that is not common; the fixed lists outweigh counts."""
-        key = (kind, word)
-        found = self.memo.get(key)
-        if found is None:
-            known = self.known[kind]
-            if word in known:
-                found = (known[word], 1_000_000 + self.partners.get(key, 0))
-            else:
-                own = self.partners.get(key, 0)
-                best = ("", own)
-                if len(word) >= 4:
-                    for d in sorted(deletes(word) | ({word.replace("rn", "m")} if "rn" in word else set())):
-                        for w in self.index[kind].get(d, ()):
-                            if w != word and (near(w, word) or w == word.replace("rn", "m")):
-                                weight = self.partners.get((kind, w), 0) + (500_000 if w in known else 0)
-                                if weight > best[1] * 4:
-                                    best = (w, weight)
-                found = (known.get(best[0], best[0]), best[1]) if best[0] else (word, own)
-            self.memo[key] = found
-        return found
-
-    def __getstate__(self):
-        return {"partners": self.partners, "known": self.known, "index": self.index}
-
-    def __setstate__(self, state):
-        self.__dict__.update(state, memo={})
+def word_readings(words: DataFrame, common: DataFrame) -> DataFrame:
+    """(kind, w, canon, weight) of distinct ``words`` (kind, w): canonical form, and how many partners the word has by
+    ``common`` (kind, w, k), found also through one slip; 0 for a word that is not common; the fixed lists outweigh counts.
+
+    Of the common words one slip away, in the order of the first form with one letter deleted that they share, one is taken
+    that outweighs the best so far four times.
+    """
+    lists = [(kind, w, canon) for kind, known in (("PERSON", CANON_GIVEN), ("ORG", CANON_ORG)) for w, canon in known.items()]
+    fixed = words.sparkSession.createDataFrame(lists, "kind string, w string, canon string")
+    count = F.coalesce("k", F.lit(0)).cast("long")
+    asked = cut(words.join(common, ["kind", "w"], "left").join(F.broadcast(fixed), ["kind", "w"], "left").select("kind", "w", "canon", count.alias("own")), "asked")
+
+    @F.pandas_udf("array<string>")
+    def shorter(s: pd.Series) -> pd.Series:
+        return s.map(lambda w: sorted(deletes(w)))
+
+    @F.pandas_udf("array<string>")
+    def shorter_or_misread(s: pd.Series) -> pd.Series:
+        return s.map(lambda w: sorted(deletes(w) | {w.replace("rn", "m")}))
+
+    @F.pandas_udf("boolean")
+    def slipped(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([near(p, q) or p.replace("rn", "m") == q for p, q in zip(a, b)], dtype=bool)
+
+    listed = fixed.join(common, ["kind", "w"], "left").select("kind", "w", "canon", (count + 500_000).alias("weight"))
+    counted = common.filter("k >= 6").join(F.broadcast(fixed), ["kind", "w"], "left_anti").select("kind", "w", F.col("w").alias("canon"), F.col("k").cast("long").alias("weight"))
+    index = listed.unionByName(counted).filter(F.length("w") >= 4).select("kind", F.col("w").alias("to"), "canon", "weight", F.explode(shorter("w")).alias("form"))
+    open_words = asked.filter(F.col("canon").isNull() & (F.length("w") >= 4)).select("kind", "w", "own", F.explode(shorter_or_misread("w")).alias("form"))
+    # the forms are many times the words that the planner sees, so they aren't broadcast
+    met = open_words.join(index.hint("merge"), ["kind", "form"]).filter((F.col("w") != F.col("to")) & (F.col("weight") > F.col("own") * 4))
+    met = met.groupBy("kind", "w", "own", "to", "canon", "weight").agg(F.min("form").alias("form")).filter(slipped("w", "to"))
+    found = met.groupBy("kind", "w", "own").agg(F.array_sort(F.collect_list(F.struct("form", "to", "canon", "weight"))).alias("all"))
+    start = F.struct(F.lit("").alias("canon"), F.col("own").alias("weight"))
+    best = F.aggregate("all", start, lambda b, x: F.when(x["weight"] > b["weight"] * 4, F.struct(x["canon"].alias("canon"), x["weight"].alias("weight"))).otherwise(b))
+    best = found.select("kind", "w", best.alias("best"))
+    canon = F.coalesce("canon", "best.canon", "w")
+    weight = F.when(F.col("canon").isNotNull(), F.col("own") + 1_000_000).otherwise(F.coalesce("best.weight", "own"))
+    return asked.join(best, ["kind", "w"], "left").select("kind", "w", canon.alias("canon"), weight.alias("weight"))
 
 
 def abbreviates(short: str, full: str) -> bool:
@@ -180,22 +177,25 @@ def abbreviates(short: str, full: str) -> bool:
     return True
 
 
+def cost(a: str, b: str) -> float:
+    """What it costs to read the word ``a`` as ``b``; FAR if they don't match."""
+    if a == b:
+        return 0.0
+    if len(a) > 3 and near(a, b):
+        return 0.5
+    return 1.0 if abbreviates(a, b) else FAR
+
+
 def align(words: list[str], phrase: list[str]) -> float:
     """Cost of the best assignment of ``words`` to the words of ``phrase`` (0 = the same words); inf without one."""
     n = len(words)
     if n != len(phrase):
         return float("inf")
-    far = 1e6  # no match; the sum tells whether one had to be taken
-
-    def cost(a: str, b: str) -> float:
-        if a == b:
-            return 0.0
-        if len(a) > 3 and near(a, b):
-            return 0.5
-        return 1.0 if abbreviates(a, b) else far
-
-    total = assign([[cost(a, b) + 0.01 * (i != j) for j, b in enumerate(phrase)] for i, a in enumerate(words)])
-    return total if total < far else float("inf")
+    costs = [[cost(a, b) for b in phrase] for a in words]
+    if any(min(row) >= FAR for row in costs):
+        return float("inf")
+    total = assign([[c + 0.01 * (i != j) for j, c in enumerate(row)] for i, row in enumerate(costs)])
+    return total if total < FAR else float("inf")  # the sum tells whether words had to be taken that don't match
 
 
 def assign(costs: list[list[float]]) -> float:
@@ -228,38 +228,103 @@ def assign(costs: list[list[float]]) -> float:
     return sum(costs[owner[c]][c] for c in range(n))
 
 
-def read_person(words: list[str], initials: list[str], comma: bool, vocab: Vocabulary) -> tuple[str, str, str]:
-    """(surname, canonical given name or '', initial of the given name or '')."""
-    words = [w for w in words if w not in TITLES] or words
+def asked_keys(word: str) -> list[str]:
+    """A word that ``cost`` matches with another shares one of these with ``target_keys`` of the other: a form with one
+    letter deleted, or its first, second and last letter, which stand in what it abbreviates in this order."""
+    short = word if len(word) < 3 else word[:2] + word[-1]
+    return ["=" + d for d in sorted(deletes(word) if len(word) > 3 else {word})] + ["<" + short]
+
+
+def target_keys(word: str) -> list[str]:
+    later: set[str] = set()
+    pairs: set[str] = set()
+    for ch in word[1:]:
+        pairs |= {x + ch for x in later}
+        later.add(ch)
+    return ["=" + d for d in sorted(deletes(word))] + ["<" + word[:1] + x for x in ["", *sorted(later), *sorted(pairs)]]
+
+
+def alignments(asked: DataFrame, phrases: DataFrame) -> DataFrame:
+    """(p, q, cost): all phrases ``q`` that a group of words ``p`` can be aligned with, and the cost. Both columns are of
+    distinct strings, words with one blank between.
+
+    Each word of ``p`` matches a word of ``q``, so it is enough to look where the word of ``p`` does that fewest phrases
+    hold a match of; words that match are found through ``asked_keys`` and ``target_keys``.
+    """
+
+    def words_of(df: DataFrame, column: str, word: str) -> DataFrame:
+        split = F.split(column, " ")
+        return df.select(column, F.size(split).alias("size"), F.explode(F.array_distinct(split)).alias(word))
+
+    @F.pandas_udf("array<string>")
+    def keys_a(s: pd.Series) -> pd.Series:
+        return s.map(asked_keys)
+
+    @F.pandas_udf("array<string>")
+    def keys_b(s: pd.Series) -> pd.Series:
+        return s.map(target_keys)
+
+    @F.pandas_udf("boolean")
+    def match(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([cost(x, y) < FAR for x, y in zip(a, b)], dtype=bool)
+
+    @F.pandas_udf("double")
+    def costs(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([align(x.split(" "), y.split(" ")) for x, y in zip(a, b)], dtype=float)
+
+    of_p, of_q = cut(words_of(asked, "p", "a"), "askedwords"), cut(words_of(phrases, "q", "b"), "phrasewords")
+    x = of_p.select("a").distinct().select("a", F.explode(keys_a("a")).alias("key"))
+    y = of_q.select("b").distinct().select("b", F.explode(keys_b("b")).alias("key"))
+    longer = F.col("key").startswith("=") | (F.length("a") < F.length("b"))
+    alike = cut(x.join(y.hint("merge"), "key").filter(longer).select("a", "b").distinct().filter(match("a", "b")), "alike")
+    held = of_q.groupBy("size", "b").agg(F.count(F.lit(1)).alias("k"))
+    load = alike.join(held, "b").groupBy("size", "a").agg(F.sum("k").alias("k"))
+    fewest = of_p.join(load, ["size", "a"], "left").groupBy("p", "size").agg(F.min(F.struct("k", "a")).alias("least"), F.count("k").alias("found"), F.count(F.lit(1)).alias("words"))
+    fewest = fewest.filter("found = words").select("p", "size", F.col("least.a").alias("a"))
+    met = fewest.join(alike, "a").join(of_q, ["size", "b"]).select("p", "q").distinct()
+    return met.withColumn("cost", costs("p", "q")).filter(F.col("cost") < FAR)
+
+
+def kinds_of_organisation(phrases: DataFrame, aligned: DataFrame) -> DataFrame:
+    """(q, count): the ``phrases`` (p, count), most frequent first and then by name, but for those that abbreviate a more
+    frequent one of them, which are no kind of their own. ``aligned``: from ``alignments``."""
+    x, y = phrases.withColumnRenamed("count", "cp"), phrases.withColumnsRenamed({"p": "q", "count": "cq"})
+    before = aligned.join(x, "p").join(y, "q").filter((F.col("cq") > F.col("cp")) | ((F.col("cq") == F.col("cp")) & (F.col("q") < F.col("p"))))
+    stars = greedy_clusters(phrases.select(F.col("p").alias("name"), F.col("count").alias("size"), F.lit(0).alias("first")), before.select(F.col("p").alias("a"), F.col("q").alias("b")))
+    return phrases.join(stars.filter("name = canonical").select(F.col("name").alias("p")), "p").select(F.col("p").alias("q"), "count")
+
+
+def read_person(words: list[str], initials: list[str], comma: bool, canonical: list[tuple[str, int]]) -> tuple[str, str, str]:
+    """(surname, canonical given name or '', initial of the given name or ''). ``canonical``: each word's form and weight."""
+    read = [(w, *r) for w, r in zip(words, canonical) if w not in TITLES] or [(w, *r) for w, r in zip(words, canonical)]
     first = initials[0] if initials else ""
-    if not words:
+    if not read:
         return "", "", first
-    if len(words) == 1:
-        return words[0], "", first
-    weights = [vocab.common("PERSON", w)[1] for w in words]
+    if len(read) == 1:
+        return read[0][0], "", first
     if comma:
         at = 1
     else:
-        at = max(range(len(words)), key=lambda k: (weights[k], -k))
-    rest = [k for k in range(len(words)) if k != at]
-    surname = min(rest, key=lambda k: (weights[k], -len(words[k])))
-    given = vocab.common("PERSON", words[at])[0]
-    return words[surname], given, given[:1]
-
-
-def read_org(words: list[str], initials: list[str], vocab: Vocabulary, phrases: list[tuple[str, ...]]) -> tuple[str, str]:
-    """(own word, kind of organisation: its other words in canonical form, in the order of a known phrase)."""
-    words = [w for w in words if w not in LEGAL] or words
-    if not words:
-        return "", " ".join(i.removeprefix("c:") for i in initials)
-    read = [vocab.common("ORG", w) for w in words]
-    own = min(range(len(words)), key=lambda k: (read[k][1] >= 500_000, read[k][1] if len(words[k]) > 4 else 10**5, k))
-    rest = [read[k][0] if read[k][1] >= 6 else words[k] for k in range(len(words)) if k != own] + [i.removeprefix("c:") for i in initials]
-    if rest and phrases and tuple(rest) not in phrases:
-        costs = sorted((align(rest, list(p)), n) for n, p in enumerate(phrases) if len(p) == len(rest))
-        if costs and costs[0][0] < float("inf"):
-            rest = list(phrases[costs[0][1]])
-    return words[own], " ".join(rest)
+        at = max(range(len(read)), key=lambda k: (read[k][2], -k))
+    rest = [k for k in range(len(read)) if k != at]
+    surname = min(rest, key=lambda k: (read[k][2], -len(read[k][0])))
+    given = read[at][1]
+    return read[surname][0], given, given[:1]
+
+
+def read_org(words: list[str], initials: list[str], canonical: list[tuple[str, int]]) -> tuple[str, str, str | None]:
+    """(own word, its other words in canonical form, the same if it tells a kind of organisation: all of them are common
+    words). ``canonical``: each word's form and weight."""
+    named = [(w, *r) for w, r in zip(words, canonical) if w not in LEGAL]
+    common = [canon for _, canon, weight in named if weight >= 6]
+    phrase = " ".join(common) if common and len(common) == len(named) - 1 else None
+    read = named or [(w, *r) for w, r in zip(words, canonical)]
+    letters = [i.removeprefix("c:") for i in initials]
+    if not read:
+        return "", " ".join(letters), phrase
+    own = min(range(len(read)), key=lambda k: (read[k][2] >= 500_000, read[k][2] if len(read[k][0]) > 4 else 10**5, k))
+    rest = [canon if weight >= 6 else w for k, (w, canon, weight) in enumerate(read) if k != own]
+    return read[own][0], " ".join(rest + letters), phrase
 
 
 def classes(mentions: DataFrame) -> DataFrame:
@@ -281,44 +346,33 @@ def classes(mentions: DataFrame) -> DataFrame:
     parts = values.select("kind", F.array_distinct(F.filter("words", lambda w: ~F.array_contains(listed(TITLES | LEGAL), w))).alias("ws")).filter(F.size("ws") >= 2)
     pairs = parts.select("kind", F.explode("ws").alias("w"), "ws").select("kind", "w", F.array_join(F.array_sort(F.array_except("ws", F.array("w"))), " ").alias("others"))
     common = pairs.groupBy("kind", "w").agg(F.countDistinct("others").alias("k")).filter("k >= 3")
-    vocab = Vocabulary({(r["kind"], r["w"]): r["k"] for r in most_frequent(cut(common, "common"), "k", COMMON_LIMIT)})
-    spark = mentions.sparkSession
-    shared = spark.sparkContext.broadcast(vocab)
-
-    @F.pandas_udf("string")
-    def phrase_of(s: pd.Series) -> pd.Series:
-        v = shared.value
-
-        def one(given):
-            words = [w for w in given if w not in LEGAL]
-            read = [v.common("ORG", w) for w in words]
-            rest = [c for c, weight in read if weight >= 6]
-            return " ".join(rest) if rest and len(rest) == len(words) - 1 else None
-
-        return s.map(one)
-
-    seen = values.filter("kind = 'ORG'").select(phrase_of("words").alias("p")).filter("p is not null").groupBy("p").count().filter("count >= 2")
-    known_phrases: list[tuple[str, ...]] = []
-    for r in most_frequent(cut(seen, "phrases"), "count", PHRASE_LIMIT):  # most frequent first; a phrase that abbreviates a more frequent one is no kind of its own
-        phrase = tuple(r["p"].split())
-        if not any(len(q) == len(phrase) and align(list(phrase), list(q)) < float("inf") for q in known_phrases):
-            known_phrases.append(phrase)
-    listed = spark.sparkContext.broadcast(known_phrases)
+    spread = values.select("*", F.posexplode_outer("words").alias("at", "w"))
+    weighed = word_readings(spread.filter("w is not null").select("kind", "w").distinct(), cut(common, "common"))
+    reading = F.array_sort(F.collect_list(F.when(F.col("w").isNotNull(), F.struct("at", "canon", "weight")))).alias("reading")
+    told = spread.join(weighed, ["kind", "w"], "left").groupBy("value", "kind").agg(*[F.first(c).alias(c) for c in ("n", "words", "initials", "comma")], reading)
+    told = told.select("value", "kind", "n", "words", "initials", "comma", F.col("reading.canon").alias("canons"), F.col("reading.weight").alias("weights"))
 
     def read(batches):
-        v, phrases = shared.value, listed.value
         for pdf in batches:
             out = []
-            for value, kind, n, words, initials, comma in zip(pdf.value, pdf.kind, pdf.n, pdf.words, pdf.initials, pdf.comma):
+            for value, kind, n, words, initials, comma, canons, weights in zip(*[pdf[c] for c in pdf.columns]):
+                canonical = list(zip(canons, weights))
                 if kind == "PERSON":
-                    token, group, initial = read_person(list(words), list(initials), comma, v)
+                    (token, group, initial), phrase = read_person(list(words), list(initials), comma, canonical), None
                 else:
-                    (token, group), initial = read_org(list(words), list(initials), v, phrases), ""
+                    (token, group, phrase), initial = read_org(list(words), list(initials), canonical), ""
                 if token:
-                    out.append((value, kind, n, token, group, initial))
-            yield pd.DataFrame(out, columns=["value", "kind", "n", "token", "grp", "initial"])
+                    out.append((value, kind, n, token, group, initial, phrase))
+            yield pd.DataFrame(out, columns=["value", "kind", "n", "token", "grp", "initial", "phrase"])
+
+    told = cut(told.mapInPandas(read, "value string, kind string, n long, token string, grp string, initial string, phrase string"), "told")
 
-    parsed = cut(values.mapInPandas(read, "value string, kind string, n long, token string, grp string, initial string"), "parsed")
+    # organisations whose other words are those of a kind, in another order, shortened or with slips
+    phrases = cut(told.filter("phrase is not null").groupBy(F.col("phrase").alias("p")).count().filter("count >= 2"), "phrases")
+    aligned = cut(alignments(told.filter("kind = 'ORG' and grp <> ''").select(F.col("grp").alias("p")).union(phrases.select("p")).distinct(), phrases.select(F.col("p").alias("q"))), "aligned")
+    kinds = kinds_of_organisation(phrases, aligned)
+    fitting = aligned.join(kinds, "q").groupBy("p").agg(F.min(F.struct("cost", -F.col("count"), "q")).alias("best")).select(F.lit("ORG").alias("kind"), F.col("p").alias("grp"), F.col("best.q").alias("q"))
+    parsed = cut(told.join(fitting, ["kind", "grp"], "left").select("value", "kind", "n", "token", F.coalesce("q", "grp").alias("grp"), "initial"), "parsed")
 
     # telling words within one edit, through the forms with one letter deleted
     @F.pandas_udf("array<string>")

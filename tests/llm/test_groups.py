@@ -190,3 +190,73 @@ def test_name_edge_cases(spark):
     people = [(None, "d"), ("  ", "d"), ("...", "d"), ("x" * 5000, "d"), ("anna", "d"), ("anna", "d")]
     assert variants(spark, people) == set()
     assert names.classes(mentions(spark, [mention()]).limit(0)).count() == 0
+
+
+def sequential_reading(kind, word, partners):
+    """(canonical form, weight) of a word, one candidate after the other."""
+    known = {"PERSON": names.CANON_GIVEN, "ORG": names.CANON_ORG}[kind]
+    own = partners.get((kind, word), 0)
+    if word in known:
+        return known[word], 1_000_000 + own
+    best = ("", own)
+    if len(word) >= 4:
+        targets = sorted(w for w in {*known, *(w for k, w in partners if k == kind and partners[k, w] >= 6)} if len(w) >= 4)
+        for d in sorted(names.deletes(word) | {word.replace("rn", "m")}):
+            for w in targets:
+                if d in names.deletes(w) and w != word and (names.near(w, word) or w == word.replace("rn", "m")):
+                    weight = partners.get((kind, w), 0) + (500_000 if w in known else 0)
+                    if weight > best[1] * 4:
+                        best = (w, weight)
+    return (known.get(best[0], best[0]), best[1]) if best[0] else (word, own)
+
+
+def test_word_readings_one_by_one(spark):
+    rng = random.Random(4)
+    pool = ["".join(rng.choice("abrnm") for _ in range(rng.randrange(2, 8))) for _ in range(400)] + ["robert", "robet", "bank", "bamk", "bnak", "energo", "enegro", "rnaria", "maria"]
+    words = sorted({(rng.choice(["PERSON", "ORG"]), w) for w in pool})
+    partners = {key: rng.choice([3, 5, 6, 30, 200, 1000]) for key in words if rng.random() < 0.6}
+    common = spark.createDataFrame([(k, w, n) for (k, w), n in partners.items()], "kind string, w string, k long")
+    got = {(r["kind"], r["w"]): (r["canon"], r["weight"]) for r in names.word_readings(spark.createDataFrame(words, "kind string, w string"), common).collect()}
+    assert got == {key: sequential_reading(*key, partners) for key in words}
+
+
+def test_alignments_and_kinds_brute_force(spark):
+    rng = random.Random(6)
+    vocabulary = ["energy", "enrgy", "eenrgy", "energies", "holding", "hldng", "bank", "bnak", "bk", "commercial", "cml", "capital", "cap", "group"]
+    made = {" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(1, 4))) for _ in range(150)}
+    counts = {p: rng.randrange(2, 9) for p in sorted(made)}
+    asked = made | {"", "b", "b c", " b", "e h", "x", "h e b", "energy x", "bank bank b"}
+    aligned = names.alignments(spark.createDataFrame([(p,) for p in sorted(asked)], "p string"), spark.createDataFrame([(p,) for p in sorted(made)], "q string"))
+    cost = lambda p, q: names.align(p.split(" "), q.split(" "))
+    assert rows(aligned, "p", "q", "cost") == sorted(((p, q, cost(p, q)) for p in asked for q in made if cost(p, q) < 1e6), key=repr)
+    kinds = []
+    for p in sorted(made, key=lambda p: (-counts[p], p)):
+        if not any(cost(p, q) < 1e6 for q in kinds):
+            kinds.append(p)
+    phrases = spark.createDataFrame([(p, n) for p, n in counts.items()], "p string, count long")
+    assert rows(names.kinds_of_organisation(phrases, aligned), "q") == sorted(((q,) for q in kinds), key=repr)
+
+
+def test_any_number_of_common_words(spark):
+    """20,000 words with seven partners each don't keep words with six from counting."""
+    letters = "bcdfghjklmnpqrstvwxz"
+    words = [a + "o" + b + "u" + c + "i" + d for a in letters for b in letters for c in letters for d in letters][::8]
+    people = [" ".join([*words[k : k + 20], f"qy{n}".translate(str.maketrans("0123456", "abcdefg")) * 2]) for k in range(0, 20_000, 20) for n in range(7)]
+    orgs = [f"{own} kyrbano velmyta" for own in ("toluroko", "sezokusi", "fesomitre", "votrusepa", "gikresure", "limestutu")]
+    items = [mention(normalized=v, entity_type="PERSON", source_doc=None) for v in people] + [mention(normalized=v) for v in [*orgs, "velmyta kyrbano toluroko"]]
+    classed = dict(rows(names.classes(mentions(spark, items)).filter("kind = 'ORG'"), "value", "cls"))
+    assert len(words) == 20_000 and len(set(classed.values())) == 6
+    assert classed["velmyta kyrbano toluroko"] == classed["toluroko kyrbano velmyta"]
+
+
+def test_any_number_of_kinds_of_organisation(spark):
+    """2,000 kinds with three names each don't keep a kind with two from being known."""
+    letters = "bcdfghjklmnpqrstvwxz"
+    words = [a + "a" + b + "e" + a + "a" + b for a in letters for b in letters][::6]
+    kinds = list(combinations(words, 2))[:2_000]
+    own = [a + "o" + b + "u" + c + "i" + d for a in letters for b in letters for c in letters for d in letters][::26]
+    orgs = [f"{own[3 * k + n]} {a} {b}" for k, (a, b) in enumerate(kinds) for n in range(3)]
+    rare = [f"{w} {words[-1]} {words[-2]}" for w in ("toluroko", "sezokusi")]
+    other = f"toluroko {words[-2]} {words[-1]}"
+    classed = dict(rows(names.classes(mentions(spark, [mention(normalized=v) for v in [*orgs, *rare, other]])), "value", "cls"))
+    assert len(kinds) == 2_000 and classed[other] == classed[rare[0]] != classed[rare[1]]
