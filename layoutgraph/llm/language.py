@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from layoutgraph.llm import sentences as S
-from layoutgraph.plans.bounded import sample
+from layoutgraph.plans.bounded import samples
 
 LANGUAGES = ["en", "ru", "uk", "de", "fr", "es", "zh", "ja", "th", "hi"]
 #: Other forms of the ten labels (three letters, English and own names), in lower case.
@@ -31,6 +31,7 @@ CANON = {form: lang for lang, forms in FORMS.items() for form in [lang, *forms.s
 #: Russian and Ukrainian are also written in Latin letters: their training texts count a second time, romanised, as
 #: classes of their own, which are reported as the language. A common romanisation.
 ROMAN = dict(zip("абвгдеёжзийклмнопрстуфхцчшщъыьэюяіїєґ", "a b v g d e yo zh z i y k l m n o p r s t u f kh ts ch sh shch  y ' e yu ya i yi ye g".split(" ")))
+_ROMAN = str.maketrans(ROMAN)
 CLASSES = [*LANGUAGES, "ru", "uk"]
 ROMANISED = {LANGUAGES.index("ru"): 10, LANGUAGES.index("uk"): 11}
 
@@ -40,6 +41,7 @@ PROBES = 2
 SHARE_FIRST, SHARE = 0.4, 0.12  # the first round must bear wrong labels
 PER_LABEL = 300  # labelled texts a language that the filter is trained on
 MIN_LETTERS = 6  # a sentence with fewer takes the language of its neighbours
+BLOCK = 1 << 15  # characters looked up at a time, so that the vectors stay in the processor's cache
 _MULT = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -128,6 +130,13 @@ def _slots(h: np.ndarray, probe: int) -> np.ndarray:
     return ((x ^ (x >> np.uint64(29))) & np.uint64(SLOTS - 1)).astype(np.int32)
 
 
+def _blocks(units: list[str]) -> list[list[str]]:
+    """Units in blocks of about BLOCK characters, at least one block."""
+    block = np.cumsum([len(u) + 2 for u in units]) // BLOCK
+    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(units)]
+    return [units[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
 class MaskFilter:
     """Bit-sliced Bloom filter over language sets. Its size is fixed: SLOTS masks of 16 bits."""
 
@@ -141,6 +150,10 @@ class MaskFilter:
 
     def counts(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(units x languages) corrected popcounts, and the numbers of n-grams and of letters of each unit."""
+        parts = [self._counts(block) for block in _blocks(units)]
+        return tuple(np.concatenate(x) for x in zip(*parts))
+
+    def _counts(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         points, at = _points(units)
         size = len(self.false_rate)
         table = _packed(size)
@@ -166,7 +179,7 @@ class MaskFilter:
 
 
 def romanise(text: str) -> str:
-    return "".join(ROMAN.get(ch, ch) for ch in text.lower())
+    return text.lower().translate(_ROMAN)
 
 
 def merged(counts: np.ndarray) -> np.ndarray:
@@ -186,17 +199,18 @@ def _members(units: list[str], labels: np.ndarray, share: float = SHARE) -> list
     out: list[list[np.ndarray]] = [[] for _ in CLASSES]
     for n in GRAMS:  # one length at a time keeps the driver's memory low
         h, owner = gram_hashes(units, n)
-        # once a unit: the pairs are sorted by hash, then by unit
-        order = np.lexsort((owner, h))
+        order = np.argsort(h)
         h, owner = h[order], owner[order]
-        first = np.ones(len(h), bool)
-        first[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-        h, lab = h[first], labels[owner[first]]
-        grams, at = np.unique(h, return_inverse=True)
-        rates = np.zeros((len(grams), len(CLASSES)), np.float32)
-        for b in range(len(CLASSES)):
-            c = np.bincount(at[lab == b], minlength=len(grams))
-            rates[:, b] = np.where(c >= (2 if sizes[b] > 40 else 1), c / max(1, sizes[b]), 0)
+        new = np.ones(len(h), bool)
+        new[1:] = h[1:] != h[:-1]
+        grams = h[new]
+        # once a unit: an n-gram and its unit as one number
+        pairs = np.sort((np.cumsum(new) - 1) * len(units) + owner)
+        first = np.ones(len(pairs), bool)
+        first[1:] = pairs[1:] != pairs[:-1]
+        at, owner = np.divmod(pairs[first], len(units))
+        counts = np.bincount(at * len(CLASSES) + labels[owner], minlength=len(grams) * len(CLASSES)).reshape(-1, len(CLASSES))
+        rates = np.where(counts >= np.where(sizes > 40, 2, 1), counts / np.maximum(1, sizes), 0).astype(np.float32)
         top = rates.max(1)
         for b in range(len(CLASSES)):
             out[b].append(grams[(rates[:, b] > 0) & (rates[:, b] >= share * top)])
@@ -234,8 +248,9 @@ def fit(chunks: DataFrame, model: S.BoundaryModel, per_label: int = PER_LABEL) -
     label = F.coalesce(F.element_at(forms, low), F.element_at(forms, F.split(F.regexp_replace(low, "_", "-"), "-")[0]))
     rows = chunks.filter("lang is not null and text is not null").select("text", label.alias("label")).filter("label is not null")
     texts, labels = [], []
+    found = samples(rows, per_label, "label", "text")
     for lang in LANGUAGES:
-        for r in sample(rows.filter(F.col("label") == lang), per_label, "text"):
+        for r in found.get(lang, []):
             texts.append(r["text"])
             labels.append(lang)
     return train(texts, labels, model)

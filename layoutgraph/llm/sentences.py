@@ -17,7 +17,9 @@ characters on the left of a place and its first 24 on the right.
 from __future__ import annotations
 
 import re
+import struct
 from collections import Counter
+from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -31,7 +33,8 @@ _FINAL, _WIDE, _CLOSE, _THAI = ".!?…।॥", "。！？", "\"'»”“’)\\]}
 _TIGHT = "\"'»”’)\\]}」』）】"  # what may close before a word without a blank; “ would open there
 _PAIRS = {"«": "»", "„": "“”", "“": "”", "「": "」", "『": "』", "(": ")", "（": "）", "[": "]", "【": "】"}
 _QUOTE = re.compile(r"[«»„“”「」『』()（）\[\]【】\"]")
-_PLACES = rf"[{_FINAL}]+[{_CLOSE}]*(?=\s)|[{_WIDE}]+[{_TIGHT}]*|[{_FINAL}](?<=[^\W_]{{2}}[{_FINAL}])[{_FINAL}]*[{_TIGHT}]*(?=[^\W\d_a-zа-яёіїєґ])"
+# one set of signs in front lets the search skip to the next sign
+_PLACES = rf"[{_FINAL}{_WIDE}](?:(?<=[{_FINAL}])[{_FINAL}]*[{_CLOSE}]*(?=\s)|(?<=[{_WIDE}])[{_WIDE}]*[{_TIGHT}]*|(?<=[^\W_]{{2}}[{_FINAL}])[{_FINAL}]*[{_TIGHT}]*(?=[^\W\d_a-zа-яёіїєґ]))"
 _SPACED = re.compile(_PLACES)
 _SPACED_THAI = re.compile(rf"{_PLACES}|(?<=\S)(?=\s+[{_THAI}])|(?<=\S)(?=\s+[^\W\d_a-zа-яёіїєґ]\w)")
 _HAS_THAI = re.compile(f"[{_THAI}]")
@@ -108,17 +111,39 @@ def _shape(word: str) -> str:
     return word[:1] or "$"
 
 
+_MEMO = 1 << 16  # words of which the normal form is remembered
+
+
+@lru_cache(_MEMO)
+def _before(word: str) -> tuple[str, str | None]:
+    """(word in front of a place, the piece before it where the script has no blanks)."""
+    tail = word[-12:]
+    if not tail.isascii() and (_WIDE_CHAR.search(tail) or _HAS_THAI.search(tail)):
+        word = _DIGITS.sub("#", word)
+        return word[-4:], word[-7:-4]
+    return _symbol(word.lower()) if "." not in word or not _INITIALS.match(word) else "<init>", None
+
+
+@lru_cache(_MEMO)
+def _second(word: str) -> str:
+    return _symbol(word).lower()
+
+
+@lru_cache(_MEMO)
+def _after(word: str) -> str:
+    if not word.isascii() and (_WIDE_CHAR.search(word) or _HAS_THAI.match(word[0])):
+        return _DIGITS.sub("#", word)[:4]
+    return _symbol(word)
+
+
 def _left(text: str, end: int, low: int) -> tuple[str, str, int]:
     """(word before, the one before it, start of the first) of a position; pieces of unspaced scripts stand for words."""
     parts = text[max(low, end - 160) : end].rsplit(None, 2)
     word = parts[-1][-40:] if parts else ""
-    a = end - len(word)
-    tail = word[-12:]
-    if not tail.isascii() and (_WIDE_CHAR.search(tail) or _HAS_THAI.search(tail)):
-        word = _DIGITS.sub("#", word)
-        return word[-4:], word[-7:-4], a
-    before = parts[-2][-24:] if len(parts) > 1 else ""
-    return _symbol(word.lower()) if "." not in word or not _INITIALS.match(word) else "<init>", _symbol(before).lower(), a
+    w1, w2 = _before(word)
+    if w2 is None:
+        w2 = _second(parts[-2][-24:]) if len(parts) > 1 else ""
+    return w1, w2, end - len(word)
 
 
 def _right(text: str, start: int) -> str:
@@ -126,12 +151,7 @@ def _right(text: str, start: int) -> str:
     while start < n and text[start].isspace():
         start += 1
     word = text[start : start + 24].split(None, 1)
-    if not word:
-        return ""
-    word = word[0]
-    if not word.isascii() and (_WIDE_CHAR.search(word) or _HAS_THAI.match(word[0])):
-        return _DIGITS.sub("#", word)[:4]
-    return _symbol(word)
+    return _after(word[0]) if word else ""
 
 
 def candidates(text: str, low: int, high: int, cut_start: bool = False, cut_end: bool = False) -> list[tuple[int, str, str, str, bool]]:
@@ -149,7 +169,7 @@ def candidates(text: str, low: int, high: int, cut_start: bool = False, cut_end:
         if k < len(spans) and spans[k][0] + low < m.start() and end - 1 < spans[k][1] + low:
             continue
         w1, w2, at = _left(text, end, low)
-        out.append((end, w1, w2, _right(text, end), last >= 0 and not text[last:at].strip()))
+        out.append((end, w1, w2, _right(text, end), last >= 0 and (at <= last or text[last:at].isspace())))
         last = end
     return out
 
@@ -179,47 +199,17 @@ class Counts:
         self.table = np.zeros((CELLS, 2), np.float32)
         self.total = np.zeros(4)  # next words without and with a boundary before; gaps, boundaries among them
 
-    def add(self, w1: str, w2: str, nxt: str, p: float, n: float, starts: bool = True, gaps: bool = False) -> None:
-        yes, no = n * p, n * (1 - p)
-        for history in (f"3{w2}\x1f{w1}", f"2{w1}", f"1{w1[-2:]}"):
-            c = _cell(history)
-            self.table[c, 0] += no
-            self.table[c, 1] += yes
-        if nxt:
-            for key in ("n" + nxt, "s" + _shape(nxt)):
-                c = _cell(key)
-                if starts:
-                    self.table[c, 1] += yes
-                self.table[c, 0] += no
-            if starts:
-                self.total[1] += yes
-            self.total[0] += no
-        if gaps and p > 0.01:
-            self.gap_end(w1, yes)
-            if nxt:
-                self.gap_start(nxt, yes)
-
-    def first(self, word: str, n: float, gaps: bool = False) -> None:
-        for key in ("n" + word, "s" + _shape(word)):
-            self.table[_cell(key), 1] += n
-        self.total[1] += n
-        if gaps:
-            self.gap_start(word, n)
-
-    def gap_end(self, w1: str, n: float) -> None:
-        self.table[_cell("e" + gap_word(w1, True)), 1] += n
-        self.total[3] += n
-
-    def gap_start(self, nxt: str, n: float) -> None:
-        self.table[_cell("b" + gap_word(nxt, False)), 1] += n
-
-    def word(self, word: str, n: float) -> None:
-        self.table[_cell("e" + word), 0] += n
-        self.table[_cell("b" + word), 0] += n
-        self.total[2] += n
+    def add(self, cells: np.ndarray, no: np.ndarray | None, yes: np.ndarray | None) -> None:
+        for k, n in enumerate((no, yes)):
+            if n is not None:
+                np.add.at(self.table[:, k], cells, n)
+
+    def used(self) -> np.ndarray:
+        """Cells that hold something."""
+        return np.flatnonzero(self.table.view(np.uint64)).astype(np.int32)
 
     def __getstate__(self):
-        at = np.flatnonzero(self.table.any(1)).astype(np.int32)
+        at = self.used()
         return {"at": at, "values": self.table[at], "total": self.total}
 
     def __setstate__(self, state):
@@ -249,19 +239,18 @@ class BoundaryModel:
         every, ends = self.counts.table[_cell("e" + gap_word(place[1], True))].tolist()
         return bool(_HAS_THAI.search(place[1][-1:])) or ends >= RARE_END * every
 
-    def posterior_cells(self, c1, c2, c3, cn, cs) -> np.ndarray:
-        """Posteriors of single places by their cells; as odds()."""
+    def odds_cells(self, c1, c2, c3, cn, cs) -> np.ndarray:
+        """odds() by the cells of the histories, the next word and its shape."""
         table, total = self.counts.table, self.counts.total
         p = np.full(len(c1), 0.5)
         for c, k in ((c1, 2.0), (c2, 3.0), (c3, 3.0)):
-            no, yes = table[c, 0].astype(float), table[c, 1].astype(float)
+            no, yes = table[c].astype(float).T
             p = np.where(no + yes > 0, (yes + k * p) / (no + yes + k), p)
-        b_shape, n_shape = (table[cs, 1] + 0.1) / (total[1] + 2), (table[cs, 0] + 0.1) / (total[0] + 2)
-        b = (table[cn, 1] + 0.06 * b_shape) / (total[1] + 3)
-        n = (table[cn, 0] + 0.06 * n_shape) / (total[0] + 3)
+        (n_shape, b_shape), (n_word, b_word) = table[cs].astype(float).T, table[cn].astype(float).T
+        b = (b_word + 0.06 * ((b_shape + 0.1) / (total[1] + 2))) / (total[1] + 3)
+        n = (n_word + 0.06 * ((n_shape + 0.1) / (total[0] + 2))) / (total[0] + 3)
         p = np.clip(p, 1e-4, 1 - 1e-4)
-        o = p * b / np.maximum((1 - p) * n, 1e-12)
-        return o / (1 + o)
+        return p * b / np.maximum((1 - p) * n, 1e-12)
 
     def odds(self, w1: str, w2: str, nxt: str) -> float:
         """P(boundary, next word | history) : P(no boundary, next word | history)."""
@@ -469,64 +458,117 @@ def observe(texts: list[tuple[str, int, bool, bool]]) -> Counter:
     return word_keys(raw, out)
 
 
-def indexed(key: str, n: int) -> tuple:
-    """A key as cells: (key or None, n, first guess, cells of the three histories, of the next word and its shape, of the
-    gap's two sides). Only a single place has cells; other kinds keep their key."""
-    if key[0] != "c" or "\x1e" in key:
-        return key, n, 0.0, -1, -1, -1, -1, -1, -1, -1
-    w1, w2, nxt = key[1:].split("\x1f")
-    return (
-        None, n, _first_guess(w1, w2, nxt), _cell(f"1{w1[-2:]}"), _cell(f"2{w1}"), _cell(f"3{w2}\x1f{w1}"), _cell("n" + nxt), _cell("s" + _shape(nxt)), _cell("e" + gap_word(w1, True)), _cell("b" + gap_word(nxt, False)),
-    )
-
-
-INDEXED = "key string, n long, guess double, c1 int, c2 int, c3 int, cn int, cs int, ce int, cb int"
+#: A place as cells: its first guess, the cells of the three histories, of the third after a boundary, of the next word and its
+#: shape, of the gap's two sides.
+PLACE = np.dtype([("guess", "<f8"), *((c, "<i4") for c in ("c1", "c2", "c3", "cb3", "cn", "cs", "ce", "cb"))])
+_PACK = struct.Struct("<d8i").pack
+
+
+def indexed(key: str, n: int) -> tuple[str, int, bytes]:
+    """A key as (kind, n, its places as PLACE records). A text's start fills the cells of the next word only, its end those of
+    the word before; of a word on its own only the gap's sides are used."""
+    kind, rest = key[0], key[1:]
+    if kind == "w":
+        return kind, n, _PACK(0.0, 0, 0, 0, 0, 0, 0, _cell("e" + rest), _cell("b" + rest))
+    if kind == "s":
+        return kind, n, _PACK(0.0, 0, 0, 0, 0, _cell("n" + rest), _cell("s" + _shape(rest)), 0, _cell("b" + gap_word(rest, False)))
+    if kind == "e":
+        w1, _, w2 = rest.partition("\x1f")
+        return kind, n, _PACK(0.0, _cell(f"1{w1[-2:]}"), _cell(f"2{w1}"), _cell(f"3{w2}\x1f{w1}"), 0, 0, 0, _cell("e" + gap_word(w1, True)), 0)
+    out = []
+    for part in rest.split("\x1e"):
+        w1, w2, nxt = part.split("\x1f")
+        out.append(
+            _PACK(
+                _first_guess(w1, "" if out else w2, nxt), _cell(f"1{w1[-2:]}"), _cell(f"2{w1}"), _cell(f"3{w2}\x1f{w1}"), _cell(f"3<b>\x1f{w1}") if out else 0, _cell("n" + nxt), _cell("s" + _shape(nxt)), _cell("e" + gap_word(w1, True)), _cell("b" + gap_word(nxt, False)),
+            )
+        )
+    return kind, n, b"".join(out)
+
+
+INDEXED = "kind string, n long, places binary"
+
+
+def chain_posteriors(free: np.ndarray, after: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """forward_backward() of many chains at once, which lie one behind the other: the odds of a boundary after none and after
+    a boundary, the number of places of each chain."""
+    out = free / (1 + free)
+    long = np.flatnonzero(sizes > 1)
+    long = long[np.argsort(-sizes[long], kind="stable")]  # those still going on at a step come first
+    if not len(long):
+        return out
+    starts, sizes = (np.cumsum(sizes) - sizes)[long], sizes[long]
+    going = [int(np.searchsorted(-sizes, -k)) for k in range(int(sizes[0]))]  # more than k places
+    chance = np.stack([np.stack([1 / (1 + o), o / (1 + o)], 1) for o in (free, after)], 1)
+    forward = np.zeros((len(free), 2))
+    forward[starts] = chance[starts, 0]
+    for k, m in enumerate(going[1:], 1):
+        at = starts[:m] + k
+        a = forward[at - 1]
+        f = a[:, :1] * chance[at, 0] + a[:, 1:] * chance[at, 1]
+        z = f.sum(1, keepdims=True)
+        forward[at] = f / np.where(z > 0, z, 1.0)
+    backward = np.ones((len(long), 2))
+    for k in range(len(going) - 1, -1, -1):
+        at, m = starts[: going[k]] + k, going[k]
+        both = forward[at] * backward[:m]
+        z = both.sum(1)
+        out[at] = both[:, 1] / np.where(z > 0, z, 1.0)
+        backward[:m] = (chance[at] * backward[:m, None, :]).sum(2)
+    return out
 
 
 def expect(model: BoundaryModel | None, rows: pd.DataFrame, last: bool, into: Counts | None = None) -> Counts:
     """Expected counts of indexed keys under ``model``; without one, from the first guess, where only certain starts say which
-    words begin a unit. Single places are counted as vectors, chains of places one word apart by forward-backward. Added to
-    ``into`` where it is given."""
+    words begin a unit. All kinds are counted as vectors. Added to ``into`` where it is given."""
     new = Counts() if into is None else into
-    one = rows[rows.key.isna()]
-    if len(one):
-        c1, c2, c3, cn, cs, ce, cb = (one[c].to_numpy(np.int64) for c in ("c1", "c2", "c3", "cn", "cs", "ce", "cb"))
-        n = one.n.to_numpy(float)
-        p = one.guess.to_numpy(float) if model is None else model.posterior_cells(c1, c2, c3, cn, cs)
+    kind, every, places = rows.kind.to_numpy(object), rows.n.to_numpy(float), rows.places.to_numpy(object)
+
+    def of(which: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at = np.flatnonzero(kind == which)
+        data = places[at].tolist()
+        sizes = np.array([len(x) for x in data], np.int64) // PLACE.itemsize
+        return np.frombuffer(b"".join(data), PLACE), sizes, np.repeat(every[at], sizes)
+
+    c, sizes, n = of("c")
+    if len(c):
+        tied = np.ones(len(c), bool)
+        tied[np.cumsum(sizes) - sizes] = False
+        if model is None:
+            p = c["guess"]
+        else:
+            free, after = model.odds_cells(c["c1"], c["c2"], c["c3"], c["cn"], c["cs"]), np.zeros(len(c))
+            after[tied] = model.odds_cells(*(c[x][tied] for x in ("c1", "c2", "cb3", "cn", "cs")))
+            p = chain_posteriors(free, np.where(tied, after, free), sizes)
         yes, no = n * p, n * (1 - p)
-        for c in (c1, c2, c3):
-            np.add.at(new.table[:, 0], c, no)
-            np.add.at(new.table[:, 1], c, yes)
-        for c in (cn, cs):
-            np.add.at(new.table[:, 0], c, no)
-            if model is not None:
-                np.add.at(new.table[:, 1], c, yes)
+        ended = np.zeros(len(c), bool)
+        ended[1:] = tied[1:] & (p[:-1] > 0.5)
+        for cells in (c["c1"], c["c2"], np.where(ended, c["cb3"], c["c3"])):
+            new.add(cells, no, yes)
+        for cells in (c["cn"], c["cs"]):
+            new.add(cells, no, None if model is None else yes)
         new.total[0] += no.sum()
         if model is not None:
             new.total[1] += yes.sum()
         if last:
-            np.add.at(new.table[:, 1], ce, yes)
-            np.add.at(new.table[:, 1], cb, yes)
-            new.total[3] += yes.sum()
-    rest = rows[rows.key.notna()]
-    for key, n in zip(rest.key.tolist(), rest.n.tolist()):
-        kind, rest_of = key[0], key[1:]
-        if kind == "c":
-            places = [(0, *part.split("\x1f"), k > 0) for k, part in enumerate(rest_of.split("\x1e"))]
-            posterior = model.posteriors(places) if model else [_first_guess(c[1], "" if c[4] else c[2], c[3]) for c in places]
-            before = 0.0
-            for (_, w1, w2, nxt, tied), p in zip(places, posterior):
-                new.add(w1, "<b>" if tied and before > 0.5 else w2, nxt, p, n, model is not None, last)
-                before = p
-        elif kind == "s":
-            new.first(rest_of, n, last)
-        elif kind == "e":
-            w1, _, w2 = rest_of.partition("\x1f")
-            new.add(w1, w2, "", 1.0, 3 * n)
-            if last:
-                new.gap_end(w1, n)
-        elif last:
-            new.word(rest_of, n)
+            sides = np.where((np.repeat(sizes, sizes) == 1) | (p > 0.01), yes, 0.0)
+            new.add(c["ce"], None, sides)
+            new.add(c["cb"], None, sides)
+            new.total[3] += sides.sum()
+    c, _, n = of("s")
+    for cells in ("cn", "cs", "cb")[: 3 if last else 2]:
+        new.add(c[cells], None, n)
+    new.total[1] += n.sum()
+    c, _, n = of("e")
+    for cells in ("c1", "c2", "c3"):
+        new.add(c[cells], None, 3 * n)
+    if last:
+        new.add(c["ce"], None, n)
+        new.total[3] += n.sum()
+        c, _, n = of("w")
+        new.add(c["ce"], n, None)
+        new.add(c["cb"], n, None)
+        new.total[2] += n.sum()
     return new
 
 
@@ -665,7 +707,7 @@ def fit_keys(found: DataFrame, rounds: int = ROUNDS) -> BoundaryModel:
             yield pd.DataFrame([indexed(key, n) for key, n in zip(pdf.key, pdf.n)], columns=[c.split()[0] for c in INDEXED.split(", ")])
 
     keys = cut(found.groupBy("key").agg(F.sum("n").alias("n")).mapInPandas(index, INDEXED), "keys")
-    places = keys.filter("key is null or key not like 'w%'")
+    places = keys.filter("kind <> 'w'")
     model = None
     for r in range(rounds):
         shared, last = spark.sparkContext.broadcast(model), r + 1 == rounds
@@ -674,7 +716,7 @@ def fit_keys(found: DataFrame, rounds: int = ROUNDS) -> BoundaryModel:
             total = Counts()
             for pdf in batches:
                 expect(shared.value, pdf, last, total)
-            at = np.flatnonzero(total.table.any(1)).astype(np.int32)
+            at = total.used()
             yield pd.DataFrame({"cell": at, "no": total.table[at, 0].astype(float), "yes": total.table[at, 1].astype(float)})
             yield pd.DataFrame({"cell": np.array([-1, -2], np.int32), "no": total.total[[0, 2]], "yes": total.total[[1, 3]]})
 
@@ -745,10 +787,22 @@ def encoded_units(model: BoundaryModel, enc: str) -> list[tuple[int, int]]:
 
 def body_units(model: BoundaryModel, text: str) -> list[tuple[int, int]]:
     """Sentences of a chunk's body."""
+    low, high = body_start(text), len(text.rstrip())
     if long_stretch(text):
-        return model.split(text, body_start(text), len(text))
-    enc = encode(text, True)
-    return encoded_units(model, enc)[enc.split("\x1f", 2)[1] != "0" :] if enc else []
+        return model.split(text, low, len(text))
+    if high <= low:
+        return []
+    places = candidates(text, low, high)
+    units, start = [], low
+    while text[start].isspace():
+        start += 1
+    for place, p in zip(places, model.posteriors(places)):
+        if model.ends_unit(place, p) and place[0] > start:  # two places may share an end
+            units.append((start, place[0]))
+            start = place[0]
+            while text[start].isspace():
+                start += 1
+    return [*units, (start, high)]
 
 
 def sentences(chunks: DataFrame, mentions: DataFrame, model: BoundaryModel | None = None) -> DataFrame:

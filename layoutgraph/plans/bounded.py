@@ -31,6 +31,21 @@ def sample(df: DataFrame, n: int, *on: str) -> list[Row]:
     return hashed.filter(F.col("_hash") == least).drop("_hash").limit(n).collect()
 
 
+def samples(df: DataFrame, n: int, by: str, *on: str) -> dict[object, list[Row]]:
+    """``sample`` of the rows of each value of ``by``, of which there must be few: the same rows, from three passes over ``df``
+    for all values together. Only where the first threshold lets no row or too many pass is a value sampled on its own."""
+    limits = {r[by]: SPACE if r["_rows"] <= n else int(max(n - 4 * n**0.5, n / 2) / r["_rows"] * SPACE) for r in df.groupBy(by).agg(F.count(F.lit(1)).alias("_rows")).collect()}
+    if not limits:
+        return {}
+    bound = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
+    low = df.withColumn("_hash", F.pmod(F.xxhash64(*on), F.lit(SPACE))).filter(F.col("_hash") < bound[F.col(by)]).drop("_hash")
+    fit = [r[by] for r in low.groupBy(by).agg(F.count(F.lit(1)).alias("_rows")).collect() if r["_rows"] <= n]
+    out: dict[object, list[Row]] = {v: [] for v in fit}
+    for r in low.filter(F.col(by).isin(fit)).collect() if fit else []:
+        out[r[by]].append(r)
+    return out | {v: sample(df.filter(F.col(by) == v), n, *on) for v in limits if v not in out}
+
+
 def most_frequent(df: DataFrame, count: str, n: int) -> list[Row]:
     """The ``n`` rows with the highest ``count``, most frequent first; equal counts in the order of the other columns. The
     counts' histogram tells the boundary level; of that level, ordered by the driver's bound, only what fits is sent."""

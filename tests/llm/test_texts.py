@@ -113,6 +113,44 @@ def test_encoded_units_are_the_units():
         assert sentences.encoded_units(model, sentences.encode(piece, False)) == sentences.context_units(model, piece)
 
 
+def test_chains_of_places_as_vectors():
+    """Many chains at once give what forward_backward gives one by one, and an expectation step the counts of each place."""
+    rng = random.Random(7)
+    sizes = [rng.choice([1, 1, 2, 3, 7, 40]) for _ in range(60)]
+    free = [rng.lognormvariate(0, 3) for _ in range(sum(sizes))]
+    after = [rng.lognormvariate(0, 3) for _ in range(sum(sizes))]
+    got, at = sentences.chain_posteriors(np.array(free), np.array(after), np.array(sizes)), 0
+    for k in sizes:
+        assert np.allclose(got[at : at + k], sentences.forward_backward([(o if j == 0 else free[at + j], after[at + j]) for j, o in enumerate(free[at : at + k])]))
+        at += k
+    assert len(sentences.chain_posteriors(np.zeros(0), np.zeros(0), np.zeros(0, int))) == 0
+
+    model = trained(rng)
+    texts = ["Dr. A. B. Smith left. He. She. It rose.", "Yes. No. The index fell, cf. p. 12. We", "U. S. A. prices rose."]
+    keys = sentences.observe([(t, 0, True, True) for t in texts])
+    table = sentences.pd.DataFrame([sentences.indexed(k, n) for k, n in keys.items()], columns=["kind", "n", "places"])
+    new = sentences.expect(model, table, False)
+    want, total = np.zeros((sentences.CELLS, 2)), np.zeros(2)
+    for key, n in keys.items():
+        if key[0] == "s":
+            for x in ("n" + key[1:], "s" + sentences._shape(key[1:])):
+                want[sentences._cell(x), 1] += n
+            total[1] += n
+        elif key[0] == "e":
+            w1, w2 = key[1:].split("\x1f")
+            for x in (f"1{w1[-2:]}", f"2{w1}", f"3{w2}\x1f{w1}"):
+                want[sentences._cell(x), 1] += 3 * n
+        elif key[0] == "c":
+            places = [(0, *part.split("\x1f"), k > 0) for k, part in enumerate(key[1:].split("\x1e"))]
+            before = 0.0
+            for (_, w1, w2, nxt, _), p in zip(places, model.posteriors(places)):
+                for x in (f"1{w1[-2:]}", f"2{w1}", f"3{'<b>' if before > 0.5 else w2}\x1f{w1}", "n" + nxt, "s" + sentences._shape(nxt)):
+                    want[sentences._cell(x)] += (n * (1 - p), n * p)
+                total += (n * (1 - p), n * p)
+                before = p
+    assert any("\x1e" in key for key in keys) and np.allclose(new.table, want, rtol=1e-4, atol=1e-5) and np.allclose(new.total[:2], total)
+
+
 CHUNKS = "chunk_id string, text string, lang string, extra string"
 MENTIONS = "mention_id long, text string, context string, ingested_at timestamp"
 
@@ -163,6 +201,27 @@ def test_language_accuracy_in_spite_of_wrong_labels():
     assert language.label_units(found, [[roman]])[0][0][0] == "ru"
 
 
+def test_training_texts_in_few_passes(spark):
+    """All languages are sampled together: a pass over the table for each language was most of what the sample cost."""
+    rng = random.Random(8)
+    c = spark.createDataFrame([(spoken(rng, lang), lang) for lang in WORDS for _ in range(30)], "text string, lang string")
+    spark.sparkContext.setJobGroup("passes", "")
+    try:
+        language.fit(c, sentences.train([]), 20)
+        assert 0 < len(spark.sparkContext.statusTracker().getJobIdsForGroup("passes")) < 10
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_counts_by_blocks_of_units(monkeypatch):
+    rng = random.Random(9)
+    units = [spoken(rng, rng.choice(list(WORDS))) for _ in range(200)]
+    found = language.train(units, [rng.choice(list(WORDS)) for _ in units], sentences.train([]))
+    whole = found.counts(units)
+    monkeypatch.setattr(language, "BLOCK", 100)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, found.counts(units))) and found.counts([])[0].shape == (0, len(language.CLASSES))
+
+
 def test_language_table(spark):
     rng = random.Random(6)
     data = [(f"c{k}", t, d, "x") for k, (t, _, d) in enumerate(corpus(rng, 30))]

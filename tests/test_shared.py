@@ -28,6 +28,17 @@ def test_bounded_results(spark):
     assert spread[0] == spread[1]
 
 
+def test_samples_are_the_sample_of_each_value(spark):
+    from layoutgraph.plans.bounded import sample, samples
+
+    df = spark.range(3000).selectExpr("case when id < 2000 then 'many' when id < 2010 then 'few' when id < 2500 then 'alike' else 'more' end as kind", "if(id between 2010 and 2499, 0, id) as id")
+    got = samples(df, 100, "kind", "id")
+    assert set(got) == {"many", "few", "alike", "more"} and len(got["few"]) == 10 and len(got["alike"]) == 100
+    for kind, found in got.items():
+        assert sorted(found) == sorted(sample(df.filter(df.kind == kind), 100, "id"))
+    assert samples(df.limit(0), 100, "kind", "id") == {} and samples(df, 0, "kind", "id")["many"] == []
+
+
 def test_pairs_of_large_baskets(spark, monkeypatch):
     from layoutgraph.operators import cooccur
 
