@@ -59,7 +59,8 @@ def similar_names(names: DataFrame, strict: bool = True) -> DataFrame:
 
     Candidates come from blocking that misses none: a name contained in another shares all its grams with it, so they meet
     at the rarest of them; of a name cut in three, one piece survives two edits, moved by two places at most, so names
-    meet at the piece, its place and the length of the other, and no key holds more than fits all three.
+    meet at the piece, its place and the length of the shorter, and no key holds more than fits all three. The planner takes
+    a list of grams or pieces to be as small as the names it is made from, so these joins are never left to a broadcast.
     """
     least = 4 if strict else 3
     edit = 6 if strict else 5
@@ -67,17 +68,23 @@ def similar_names(names: DataFrame, strict: bool = True) -> DataFrame:
     grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.col("n") - least + 1), lambda i: F.col("name").substr(i, F.lit(least))))
     held = base.filter(F.col("n") >= least).select("name", "n", F.explode(grams).alias("gram"))
     common = held.groupBy("gram").agg(F.count(F.lit(1)).alias("k"))
-    rarest = held.join(common, "gram").groupBy("name", "n").agg(F.min(F.struct("k", "gram")).alias("g")).select(F.col("name").alias("short"), F.col("n").alias("ns"), F.col("g.gram").alias("gram"))
-    inside = rarest.join(held.withColumnsRenamed({"name": "long", "n": "nl"}), "gram").filter((F.col("short") != F.col("long")) & (F.col("ns") <= F.col("nl")) & F.col("long").contains(F.col("short"))).select(F.least("short", "long").alias("a"), F.greatest("short", "long").alias("b"))
+    rarest = held.join(common.hint("merge"), "gram").groupBy("name", "n").agg(F.min(F.struct("k", "gram")).alias("g")).select(F.col("name").alias("short"), F.col("n").alias("ns"), F.col("g.gram").alias("gram"))
+    inside = rarest.join(held.withColumnsRenamed({"name": "long", "n": "nl"}).hint("merge"), "gram").filter((F.col("short") != F.col("long")) & (F.col("ns") <= F.col("nl")) & F.col("long").contains(F.col("short"))).select(F.least("short", "long").alias("a"), F.greatest("short", "long").alias("b"))
     # distance 1 needs 6 characters in the longer, distance 2 needs 11; pieces are cut from the shorter
     words = base.filter(F.col("n") >= edit)
-    third = F.floor(F.col("n") / 3).cast("int")
-    cuts = F.array(F.struct(F.lit(1).alias("at"), third.alias("len")), F.struct((third + 1).alias("at"), third.alias("len")), F.struct((third * 2 + 1).alias("at"), (F.col("n") - third * 2).alias("len")))
-    pieces = words.select("name", F.col("n").alias("ns"), F.explode(cuts).alias("c")).select("name", "ns", F.col("c.at").alias("at"), F.col("name").substr(F.col("c.at"), F.col("c.len")).alias("piece"))
-    lengths = pieces.select(F.length("piece").alias("len")).distinct()  # a third of a name's length: few values
-    moved = pieces.select("name", "ns", "piece", F.explode(F.sequence(F.col("at") - 2, F.col("at") + 2)).alias("there")).filter("there > 0").select("name", "ns", "piece", "there", F.explode(F.sequence(F.col("ns"), F.col("ns") + 2)).alias("no"))
-    spans = words.join(F.broadcast(lengths), F.col("len") <= F.col("n")).select("name", "n", "len", F.explode(F.sequence(F.lit(1), F.col("n") - F.col("len") + 1)).alias("there")).select(F.col("name").alias("other"), F.col("n").alias("no"), "there", F.col("name").substr(F.col("there"), F.col("len")).alias("piece"))
-    met = moved.join(spans, ["piece", "there", "no"]).filter(F.col("name") != F.col("other")).select("name", "other", "no").distinct()
+
+    def cuts(n: Column) -> Column:
+        third = F.floor(n / 3).cast("int")
+        return F.array(F.struct(F.lit(1).alias("at"), third.alias("len")), F.struct((third + 1).alias("at"), third.alias("len")), F.struct((third * 2 + 1).alias("at"), (n - third * 2).alias("len")))
+
+    def moved(ns: Column, c: Column) -> Column:
+        fits = F.filter(F.sequence(c["at"] - 2, c["at"] + 2), lambda t: (t > 0) & (t + c["len"] - 1 <= F.col("n")))
+        return F.transform(fits, lambda t: F.struct(F.col("name").substr(t, c["len"]).alias("piece"), c["at"].alias("at"), ns.alias("ns")))
+
+    pieces = words.select("name", F.col("n").alias("ns"), F.explode(cuts(F.col("n"))).alias("c")).select("name", "ns", F.col("c.at").alias("at"), F.col("name").substr(F.col("c.at"), F.col("c.len")).alias("piece"))
+    shorter = F.sequence(F.greatest(F.col("n") - 2, F.lit(edit)), F.col("n"))
+    spans = words.select(F.col("name").alias("other"), F.col("n").alias("no"), F.explode(F.array_distinct(F.flatten(F.transform(shorter, lambda ns: F.flatten(F.transform(cuts(ns), lambda c: moved(ns, c))))))).alias("s")).select("other", "no", "s.piece", "s.at", "s.ns")
+    met = pieces.join(spans.hint("merge"), ["piece", "at", "ns"]).filter(F.col("name") != F.col("other")).select("name", "other", "no").distinct()
     distance = F.levenshtein("name", "other", 2)
     edits = met.withColumn("d", distance).filter((F.col("d") >= 0) & (F.col("d") / F.col("no") < 0.2)).select(F.least("name", "other").alias("a"), F.greatest("name", "other").alias("b"))
     return inside.unionByName(edits).distinct()

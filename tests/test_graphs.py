@@ -251,3 +251,14 @@ def test_link_summary(spark):
     assert (one["nodes"], one["edges"], one["figure_nodes"], one["caption_links"], one["chunk_related_links"], one["entity_figure_links"], one["entity_table_links"]) == (5, 4, 1, 1, 1, 1, 1)
     assert ("RELATED_TO", "unknown", 1) in rows(L.relation_targets(nodes, edges), "relation", "target_type", "n")
     assert L.link_summary(nodes.limit(0), edges.limit(0)).first()["edges"] == 0
+
+
+def joins_by_broadcast(df):
+    """Broadcasts in the plan of small tables under Spark's own threshold, where a list's size is guessed from its source."""
+    return df._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange")
+
+
+def test_grams_and_pieces_are_not_broadcast(spark):
+    df = spark.createDataFrame([(w,) for w in random_names(random.Random(3), 20)], "name string")
+    for strict in (True, False):
+        assert joins_by_broadcast(R.similar_names(df, strict)) == 0
