@@ -101,7 +101,7 @@ def greedy_clusters(names: DataFrame, pairs: DataFrame) -> DataFrame:
     order = F.struct((-F.col("size")).alias("s"), F.col("first").alias("f"), F.col("name").alias("n"))
     ranked = cut(names.select("name", order.alias("rk")), "ranks")
     x, y = ranked.select(F.col("name").alias("a"), F.col("rk").alias("ra")), ranked.select(F.col("name").alias("b"), F.col("rk").alias("rb"))
-    both = pairs.filter("a <> b").join(x, "a").join(y, "b")
+    both = pairs.filter("a <> b").join(x.hint("merge"), "a").join(y.hint("merge"), "b")
     earlier = cut(both.select(F.when(F.col("ra") < F.col("rb"), F.col("b")).otherwise(F.col("a")).alias("name"), F.when(F.col("ra") < F.col("rb"), F.col("a")).otherwise(F.col("b")).alias("before"), F.least("ra", "rb").alias("rk")), "earlier")
     state = cut(ranked.join(earlier.select("name").distinct().withColumn("waits", F.lit(True)), "name", "left").select("name", F.when(F.col("waits").isNull(), F.col("name")).alias("canonical"), F.col("waits").isNull().alias("done")), "state")
     last = None

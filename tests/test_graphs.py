@@ -6,6 +6,7 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from layoutgraph.operators import cograph, entities as E, linking as L, resolve as R
+from layoutgraph.plans.session import cut
 from tests.conftest import rows
 
 MENTIONS = "mention_id long, text string, normalized string, entity_type string, confidence double, chunk_id string, source_doc string, context string, page_start int, page_end int, section_title string, source_element_ids array<string>, related_element_ids array<string>"
@@ -262,3 +263,12 @@ def test_grams_and_pieces_are_not_broadcast(spark):
     df = spark.createDataFrame([(w,) for w in random_names(random.Random(3), 20)], "name string")
     for strict in (True, False):
         assert joins_by_broadcast(R.similar_names(df, strict)) == 0
+
+
+def test_ranks_of_names_are_not_broadcast(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(R, "cut", lambda df, label: (seen.setdefault(label, joins_by_broadcast(df)), cut(df, label))[1])
+    df = spark.createDataFrame([("ab", 2, 0), ("abc", 1, 1)], "name string, size long, first long")
+    pairs = spark.createDataFrame([("ab", "abc")], "a string, b string")
+    assert rows(R.greedy_clusters(df, pairs), "name", "canonical") == [("ab", "ab"), ("abc", "ab")]
+    assert seen["earlier"] == 0
