@@ -149,4 +149,4 @@ def related_refs(resolved: DataFrame, elements: DataFrame, element_type: str | N
     label = F.coalesce(*[F.when(T.strip(F.col(c)) != "", F.col(c)) for c in ("ref_label", "caption", "text")], F.col("element_id"))
     chosen = elements if element_type is None else elements.filter(F.col("element_type") == element_type)
     at = resolved.select("normalized", F.explode("related_element_ids").alias("element_id"))
-    return at.join(chosen.select("element_id", label.alias("label")), "element_id").groupBy("normalized").agg(F.array_sort(F.collect_set("label")).alias("refs"))
+    return at.join(chosen.select("element_id", label.alias("label")).hint("merge"), "element_id").groupBy("normalized").agg(F.array_sort(F.collect_set("label")).alias("refs"))

@@ -272,3 +272,12 @@ def test_ranks_of_names_are_not_broadcast(spark, monkeypatch):
     pairs = spark.createDataFrame([("ab", "abc")], "a string, b string")
     assert rows(R.greedy_clusters(df, pairs), "name", "canonical") == [("ab", "ab"), ("abc", "ab")]
     assert seen["earlier"] == 0
+
+
+def test_related_elements_are_not_broadcast(spark, tmp_path):
+    """A short table of long lists: what the planner takes for small is the table."""
+    spark.createDataFrame([("x", ["e1", "e2"]), ("y", ["e1"])], "normalized string, related_element_ids array<string>").write.parquet(f"{tmp_path}/r")
+    el = spark.createDataFrame([("e1", "figure", "Fig. 1", None, "t"), ("e2", "table", None, "C", "t")], "element_id string, element_type string, ref_label string, caption string, text string")
+    refs = R.related_refs(spark.read.parquet(f"{tmp_path}/r"), el)
+    assert rows(refs, "normalized", "refs") == [("x", ["C", "Fig. 1"]), ("y", ["Fig. 1"])]
+    assert joins_by_broadcast(refs) == 0
