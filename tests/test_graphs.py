@@ -3,9 +3,11 @@
 import random
 from itertools import combinations
 
+import pytest
 from pyspark.sql import functions as F
 
 from layoutgraph.operators import cograph, entities as E, linking as L, resolve as R
+from layoutgraph.plans import catalogue
 from layoutgraph.plans.session import cut
 from tests.conftest import rows
 
@@ -281,3 +283,23 @@ def test_related_elements_are_not_broadcast(spark, tmp_path):
     refs = R.related_refs(spark.read.parquet(f"{tmp_path}/r"), el)
     assert rows(refs, "normalized", "refs") == [("x", ["C", "Fig. 1"]), ("y", ["Fig. 1"])]
     assert joins_by_broadcast(refs) == 0
+
+
+@pytest.mark.parametrize("name", ["fuzzy_pairs_baseline"])
+def test_resolution_builds_no_list_on_the_driver(spark, data, monkeypatch, name):
+    """The pairs of names behind each query; where they feed clusters, it is stopped once they are planned."""
+
+    class Planned(Exception):
+        pass
+
+    def stop(df, label):
+        if label != "earlier":
+            return cut(df, label)
+        raise Planned(joins_by_broadcast(df))
+
+    monkeypatch.setattr(R, "cut", stop)
+    try:
+        found = joins_by_broadcast(catalogue.queries()[name](spark, data))
+    except Planned as planned:
+        found = planned.args[0]
+    assert found == 0
