@@ -285,7 +285,7 @@ def test_related_elements_are_not_broadcast(spark, tmp_path):
     assert joins_by_broadcast(refs) == 0
 
 
-@pytest.mark.parametrize("name", ["fuzzy_pairs_baseline", "resolved_graph_edges", "resolved_refs", "resolve_entities", "resolved_graph_nodes"])
+@pytest.mark.parametrize("name", ["fuzzy_pairs_baseline", "resolved_graph_edges", "resolved_refs", "resolve_entities", "resolved_graph_nodes", "resolved_top"])
 def test_resolution_builds_no_list_on_the_driver(spark, data, monkeypatch, name):
     """The pairs of names behind each query; where they feed clusters, it is stopped once they are planned."""
 
